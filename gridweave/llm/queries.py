@@ -7,24 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridweave.llm.bpe import encoding_digests
 from gridweave.llm.ngram_join import ngram_components
+from gridweave.llm.online_packing import pack_online
+from gridweave.llm.pii import span_digests
 from gridweave.llm.quality import quality_rules
+from gridweave.llm.token_packing import pack_documents
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(_table(spark, sf_dir, "documents"))
+
+
+def op6_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_online(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("n_removed_words"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_ngram_jaccard_join, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_token_packing, op3_ngram_jaccard_join, op4_pii, op6_online_packing, op7_quality_rules, op9_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
