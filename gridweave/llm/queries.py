@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridweave.llm.ann import nearest
 from gridweave.llm.bpe import encoding_digests
+from gridweave.llm.langid import language_ids
 from gridweave.llm.ngram_join import ngram_components
 from gridweave.llm.online_packing import pack_online
 from gridweave.llm.pii import span_digests
 from gridweave.llm.quality import quality_rules
+from gridweave.llm.sharding import balanced_shards
 from gridweave.llm.token_packing import pack_documents
+from gridweave.llm.url_filter import filter_urls
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -31,6 +35,32 @@ def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+#: Dated entries of the filter list: host, day from which the action holds, action.
+URL_LIST = (
+    ("spam-farm.example.org", "2024-01-10", "block"),
+    ("spam-farm.example.org", "2024-06-01", "remove"),
+    ("spam-farm.example.org", "2024-09-15", "block"),
+    ("cheap-pills.example.com", "2024-03-01", "block"),
+    ("cheap-pills.example.com", "2024-11-01", "allow"),
+    ("tionsh.example.net", "2024-02-01", "block"),
+    ("tionsh.example.net", "2024-02-20", "remove"),
+    ("tionsh.example.net", "2024-07-04", "block"),
+    ("tionsh.example.net", "2024-07-05", "remove"),
+    ("example.org", "2024-04-01", "block"),
+    ("example.org", "2024-04-08", "remove"),
+    ("blog.tionble.example.com", "2024-01-01", "allow"),
+    ("tionble.example.com", "2024-05-05", "block"),
+    ("m.tiontion.example.com", "2024-08-01", "block"),
+)
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages carry no fetch time: page p counts as fetched 4099 * p minutes into 2024, wrapped after 366 days."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(pmod(page_id * 4099, 527040)), 0)").alias("fetched_at"))
+    entries = spark.createDataFrame(list(URL_LIST), "host string, at string, action string").withColumn("at", F.to_timestamp_ntz("at", F.lit("yyyy-MM-dd")))
+    return filter_urls(pages, entries)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +69,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(_table(spark, sf_dir, "documents"))
+
+
 def op6_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_online(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -47,12 +81,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("n_removed_words"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = balanced_shards(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_packing, op3_ngram_jaccard_join, op4_pii, op6_online_packing, op7_quality_rules, op9_bpe)}
+    return {f.__name__: f for f in (op1_token_packing, op2_url_filter, op3_ngram_jaccard_join, op4_pii, op5_language_id, op6_online_packing, op7_quality_rules, op8_ann, op9_bpe, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
