@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -71,6 +72,7 @@ class BpeModel:
             if self.rank[k] < 0:
                 self.left[k], self.right[k], self.rank[k] = a, b, n
         self._apart: dict[int, bool] = {}
+        self._library: tiktoken.Encoding | bool | None = None
 
     def apart(self, a: int, b: int) -> bool:
         """Whether a and b, side by side, are encoded as just these two.
@@ -129,6 +131,20 @@ class BpeModel:
         return out
 
 
+    def library_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
+        """The same ids from tiktoken's merge loop, for operators that only need ids. It takes ranks for ids, so
+        the ids have to rise with the merges; else the trie does the work."""
+        if self._library is None:
+            merged = [self.rank[k] for k in range(len(self.rank)) if self.rank[k] >= 0]
+            bytes_first = all(self.rank[k] < 0 for k in range(256))
+            ranks = {b: k for b, k in self.id_of.items()}
+            self._library = tiktoken.Encoding("merges", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}) if bytes_first and merged == sorted(merged) else False
+        if not self._library:
+            return self.encode_words(words)
+        encode = self._library.encode_ordinary
+        return {w: encode(w.decode("utf-8")) for w in words}
+
+
 def load_model(path: str) -> BpeModel:
     if path not in _loaded:
         _loaded[path] = BpeModel(path)
@@ -192,8 +208,9 @@ def word_starts(codes: np.ndarray, bounds: np.ndarray, kinds: np.ndarray) -> np.
 class TextEncoder:
     """Ids of whole texts; one per Python worker."""
 
-    def __init__(self, path: str, most: int = CACHE_WORDS):
+    def __init__(self, path: str, most: int = CACHE_WORDS, trie: bool = True):
         self.model, self.most = load_model(path), most
+        self.encode_words = self.model.encode_words if trie else self.model.library_words
         self.kinds, self.numbers = _code_tables(path)
         self._special = [(x.encode(), k) for x, k in self.model.special.items()]
         self._reset()
@@ -208,7 +225,7 @@ class TextEncoder:
             self._reset()
         raw = [w.encode() for w in words]
         special = self.model.special
-        known = self.model.encode_words([b for b, w in zip(raw, words, strict=True) if w not in special])
+        known = self.encode_words([b for b, w in zip(raw, words, strict=True) if w not in special])
         ids = [[special[w]] if w in special else known[b] for b, w in zip(raw, words, strict=True)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         first, total = len(self.slots), int(sizes.sum())

@@ -82,7 +82,7 @@ class _Rows:
 
 def _pack(path: str, capacity: int, most_open: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, open_windows, rows = TextEncoder(path), BestFit(capacity), _Rows(with_ids)
+        encoder, open_windows, rows = TextEncoder(path, trie=False), BestFit(capacity), _Rows(with_ids)
         sequence = (TaskContext.get().partitionId()) << _LOCAL_BITS
         kind = pa.int64()
         for batch in batches:

@@ -76,7 +76,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 def _packed(path: str, capacity: int, end_id: int, pad_id: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(path)
+        encoder = TextEncoder(path, trie=False)
         kind = np.dtype("<u2" if len(encoder.model.bytes_of) <= 1 << 16 else "<u4")
         spots = np.dtype("<u2" if capacity <= 1 << 16 else "<u4")
         counting = np.arange(capacity, dtype=spots)
