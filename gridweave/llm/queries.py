@@ -15,6 +15,7 @@ from gridweave.llm.online_packing import pack_online
 from gridweave.llm.pii import span_digests
 from gridweave.llm.quality import quality_rules
 from gridweave.llm.sharding import balanced_shards
+from gridweave.llm.spark_util import importable
 from gridweave.llm.token_packing import pack_documents
 from gridweave.llm.url_filter import filter_urls
 
@@ -22,6 +23,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "gridweave-checkpoints"))
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies, if they share the driver's disk; on a cluster it is installed
+    or shipped with the job."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, root) if p)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there, so that lost executors
     cost a reread and several readers don't compute it twice."""
