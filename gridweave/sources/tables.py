@@ -72,16 +72,16 @@ class KeyedTable:
     def _pointer(self) -> dict[str, list[str]]:
         """Folders that make up each bucket."""
         jvm, fs = self._fs()
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_current")
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/current.json")
         if not fs.exists(at):
             return {}
-        return json.loads(self.spark.read.text(f"{self.path}/_current", wholetext=True).first()[0])
+        return json.loads(self.spark.read.text(f"{self.path}/current.json", wholetext=True).first()[0])
 
     def _publish(self, pointer: dict[str, list[str]]) -> None:
         jvm, fs = self._fs()
         path = jvm.org.apache.hadoop.fs.Path
         fs.mkdirs(path(self.path))
-        draft = path(f"{self.path}/_draft-{uuid.uuid4().hex}")
+        draft = path(f"{self.path}/draft-{uuid.uuid4().hex}")
         out = fs.create(draft)
         out.write(bytearray(json.dumps(pointer).encode()))
         out.close()
@@ -89,7 +89,7 @@ class KeyedTable:
         overwrite = self.spark.sparkContext._gateway.new_array(options, 1)
         overwrite[0] = options.OVERWRITE
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        context.rename(fs.makeQualified(draft), fs.makeQualified(path(f"{self.path}/_current")), overwrite)
+        context.rename(fs.makeQualified(draft), fs.makeQualified(path(f"{self.path}/current.json")), overwrite)
 
     def exists(self) -> bool:
         return bool(self._pointer())
