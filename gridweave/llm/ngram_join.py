@@ -8,8 +8,8 @@ order, take up prefix places, and are dropped as soon as they are counted. That
 postings, joined on the n-gram, with filters on length, position and suffix, then verified once per pair.
 
 Postings of one n-gram are not paired with each other. First each is compared with the list's hub, which
-links most groups; then only lists that still hold several components are taken up, pairing nodes of different
-components. A pair inside one component can't change the result, so no link between components is lost.
+links most groups; then only lists that still hold several components are taken up, pairing nodes outside
+its largest component with the rest. A pair inside one component can't change the result, so no link between components is lost.
 
 Counting: documents are hashed twice from their texts (cheaper than keeping the sets). The first pass finds
 n-grams that fill more than a share of the documents; their count is their order, and they are not dealt out
@@ -17,7 +17,7 @@ by n-gram, so no list grows past that share. The second deals (n-gram, node) blo
 frequencies are counted, and back by node.
 
 Null, empty and blank texts have no n-grams and link with nothing; texts shorter than n words are one n-gram.
-Null and repeated ids keep their rows. n-grams are compared by 64-bit hashes.
+Null and repeated ids keep their rows. n-grams are told apart by hashes.
 """
 
 from __future__ import annotations
@@ -38,10 +38,13 @@ NGRAM = 5
 OVER, UNDER = 80, 100
 #: Counters of the first pass, and the share of documents from which an n-gram counts as frequent.
 COUNTER_BITS, FREQUENT_SHARE = 18, 0.01
-#: (n-gram, node) entries counted by one task, gathered by one blob, and parts of the suffix filter.
-ENTRIES_PER_TASK, ENTRIES_PER_BLOB, SUFFIX_PARTS = 4_000_000, 4_000_000, 16
+#: (n-gram, node) entries counted by one task, gathered by one blob, and hash parts of the suffix filter.
+ENTRIES_PER_TASK, ENTRIES_PER_BLOB, SUFFIX_BITS = 4_000_000, 4_000_000, 2048
 
 _SHIFT = np.uint64(64 - COUNTER_BITS)
+#: Sizes of sets go by 64 bits of a hash; these 48 are sent and compared.
+_SENT_BITS = 48
+_SENT = np.uint64(2**64 - 2 ** (64 - _SENT_BITS))
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -102,18 +105,26 @@ _BLOB_NAMES = ["key", "nodes", "sizes", "grams", "where", "counts"]
 
 def _blob(key: int, nodes=None, sizes=None, grams=None, where=None, counts=None) -> tuple:
     pack = lambda x, kind: None if x is None else np.ascontiguousarray(x, kind).tobytes()
-    return key, pack(nodes, np.int64), pack(sizes, np.uint32), None if grams is None else _squeeze(grams), pack(where, np.uint32), pack(counts, np.uint32)
+    return key, pack(nodes, np.int64), pack(sizes, np.uint32), None if grams is None else _squeeze(grams), None if where is None else _planes(where, ">u4"), pack(counts, np.uint32)
+
+
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """Like bytes together: high bytes are mostly zero, which compression then takes away."""
+    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unplanes(data: bytes, kind: str) -> np.ndarray:
+    rows = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T
+    return np.ascontiguousarray(rows).view(kind).ravel()
 
 
 def _squeeze(grams: np.ndarray) -> bytes:
-    """Sorted hashes as differences, like bytes together: their high bytes are mostly zero."""
-    steps = np.diff(grams, prepend=np.uint64(0)).astype(">u8")
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted hashes as differences."""
+    return _planes(np.diff(grams, prepend=np.uint64(0)), ">u8")
 
 
 def _unsqueeze(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(steps).view(">u8").ravel().astype(np.uint64), dtype=np.uint64)
+    return np.cumsum(_unplanes(data, ">u8").astype(np.uint64), dtype=np.uint64)
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
@@ -127,7 +138,7 @@ def _second_pass(width: int, n_gram_parts: int, n_node_parts: int, frequent):
     def flush(nodes: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         counts = frequent.value
         ids, sizes = np.array(nodes, np.int64), np.array([len(x) for x in sets], np.int64)
-        grams, where = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
+        grams, where = np.concatenate(sets) & _SENT, np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
         count = counts[(grams >> _SHIFT).astype(np.int64)]
         part = (ids.view(np.uint64) % np.uint64(n_node_parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -196,7 +207,7 @@ def _count(n_gram_parts: int, n_node_parts: int):
         for batch in batches:
             for ids, own, where in zip(batch.column("nodes"), batch.column("grams"), batch.column("where"), strict=True):
                 grams.append(_unsqueeze(own.as_py()))
-                nodes.append(np.frombuffer(ids.as_py(), np.int64)[np.frombuffer(where.as_py(), np.uint32)])
+                nodes.append(np.frombuffer(ids.as_py(), np.int64)[_unplanes(where.as_py(), ">u4")])
         grams, nodes = np.concatenate(grams), np.concatenate(nodes)
         order = np.argsort(grams, kind="stable")
         shared = np.zeros(len(order), bool)
@@ -234,7 +245,7 @@ def _assemble(over: int, under: int):
                     known.append(ids)
                     known_n.append(np.frombuffer(sizes.as_py(), np.uint32))
                 grams.append(_unsqueeze(own.as_py()))
-                nodes.append(ids[np.frombuffer(where.as_py(), np.uint32)])
+                nodes.append(ids[_unplanes(where.as_py(), ">u4")])
                 # frequent n-grams come after all that were counted by range
                 counts.append(np.frombuffer(count.as_py(), np.uint32).astype(np.int64) + (1 << 40) * sizes.is_valid)
         known, first = np.unique(np.concatenate(known), return_index=True)
@@ -250,11 +261,12 @@ def _assemble(over: int, under: int):
             own = enough[at : at + 2000]
             u = (end - begin)[own]
             take = np.repeat(begin[own], u) + K.ranges(u)
-            parts = np.zeros((len(own), SUFFIX_PARTS), np.int32)
-            np.add.at(parts, (np.repeat(np.arange(len(own)), u), (grams[take] & np.uint64(SUFFIX_PARTS - 1)).astype(int)), 1)
+            held = np.zeros((len(own), SUFFIX_BITS), bool)
+            held[np.repeat(np.arange(len(own)), u), (grams[take] >> np.uint64(64 - _SENT_BITS) & np.uint64(SUFFIX_BITS - 1)).astype(int)] = True
+            bits = np.packbits(held, axis=1).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(u))), pa.int32()), pa.array(K.signed(grams[take])))
-            rests = pa.ListArray.from_arrays(pa.array(np.arange(0, parts.size + 1, SUFFIX_PARTS), pa.int32()), pa.array(parts.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(known[own]), pa.array(n[own]), pa.array(u), lists, rests], ["node", "n", "u", "grams", "parts"])
+            rests = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, bits.shape[1]), pa.int32()), pa.array(bits.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(known[own]), pa.array(n[own]), pa.array(u), lists, rests], ["node", "n", "u", "grams", "bits"])
 
     return run
 
@@ -264,13 +276,17 @@ def _needed(over: int, under: int, a: str, b: str) -> str:
     return f"(({a} + {b}) * {over} + {under + over - 1}) div {under + over}"
 
 
+def _suffix(over: int, under: int, a: str, b: str) -> Column:
+    """Suffix filter: what two sets don't share is at least the hash parts that only one of them fills."""
+    apart = " + ".join(f"bit_count({a}.bits[{k}] ^ {b}.bits[{k}])" for k in range(SUFFIX_BITS // 64))
+    return F.expr(f"{a}.u + {b}.u - ({apart}) >= 2 * ({_needed(over, under, f'{a}.n', f'{b}.n')})")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, over: int, under: int) -> DataFrame:
     """Of (a, b) pairs, each tested once: those that link."""
-    side = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("grams").alias(f"grams_{k}"), F.col("parts").alias(f"parts_{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    need = _needed(over, under, "n_a", "n_b")
-    suffix = both.where(f"aggregate(zip_with(parts_a, parts_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x) >= {need}")
-    return suffix.where(f"size(array_intersect(grams_a, grams_b)) >= {need}").select("a", "b")
+    side = lambda k: sets.select(F.col("node").alias(k), F.struct("n", "u", "grams", "bits").alias(f"s{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_suffix(over, under, "sa", "sb"))
+    return both.where(f"size(array_intersect(sa.grams, sb.grams)) >= {_needed(over, under, 'sa.n', 'sb.n')}").select("a", "b")
 
 
 def _promising(over: int, under: int, a: str, b: str) -> Column:
@@ -281,7 +297,7 @@ def _promising(over: int, under: int, a: str, b: str) -> Column:
 
 
 def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: int = UNDER, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(id, node, n) of every document, and the nodes that could link: node, n, u, grams, parts."""
+    """(id, node, n) of every document, and the nodes that could link: node, n, u, grams, bits."""
     spark = docs.sparkSession
     named = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     first = cut(named.mapInArrow(_first_pass(width, FREQUENT_SHARE), "kind tinyint, id bigint, node bigint, n bigint"))
@@ -293,7 +309,7 @@ def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: in
     parts = max(4, -(-int(total) // ENTRIES_PER_TASK))
     blobs = named.mapInArrow(_second_pass(width, parts, parts, spark.sparkContext.broadcast(frequent)), _BLOB)
     counted = blobs.groupBy("key").applyInArrow(_count(parts, parts), _BLOB)
-    sets = counted.groupBy("key").applyInArrow(_assemble(over, under), "node bigint, n bigint, u bigint, grams array<bigint>, parts array<int>")
+    sets = counted.groupBy("key").applyInArrow(_assemble(over, under), "node bigint, n bigint, u bigint, grams array<bigint>, bits array<bigint>")
     return members, cut(sets)
 
 
@@ -307,15 +323,16 @@ def ngram_links(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFr
     links = cut(_verified(pairs, sets, over, under))
     labels = connected_components(links)
     labelled = postings.select("gram", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "p", F.coalesce("component", "node").alias("c"))
-    # lists with several components still: components are paired first, so members of one are never paired
-    groups = labelled.groupBy("gram", "c").agg(F.min("p.n").alias("least_n"), F.max("p.n").alias("most_n"))
-    several = groups.groupBy("gram").agg(F.count("*").alias("groups")).where("groups > 1").select("gram")
-    groups = cut(groups.join(several, "gram"))
-    left, right = (groups.select("gram", F.col("c").alias(k), F.col("least_n").alias(f"{k}_least"), F.col("most_n").alias(f"{k}_most")) for k in ("ca", "cb"))
-    fits = f"ca < cb AND ca_most * {under} >= cb_least * {over} AND cb_most * {under} >= ca_least * {over}"
-    open_pairs = left.join(right, "gram").where(fits).select("gram", "ca", "cb")
-    members = lambda c, p: labelled.select("gram", F.col("c").alias(c), F.col("p").alias(p))
-    rest = open_pairs.join(members("ca", "pa"), ["gram", "ca"]).join(members("cb", "pb"), ["gram", "cb"]).where(_promising(over, under, "pa", "pb"))
+    # Of lists with several components still, nodes outside the largest are compared with it and with each other.
+    groups = labelled.groupBy("gram", "c").agg(F.count("*").alias("m"))
+    mixed = groups.groupBy("gram").agg(F.max_by("c", F.struct("m", "c")).alias("major"), F.count("*").alias("groups")).where("groups > 1").select("gram", "major")
+    filters = sets.select("node", "u", "bits")
+    members = labelled.join(mixed, "gram").withColumn("node", F.col("p.node")).join(filters, "node")
+    members = cut(members.select("gram", "major", "c", F.struct("p.node", "p.n", "p.pos", "u", "bits").alias("p")))
+    minor = members.where("c <> major").select("gram", F.col("c").alias("ca"), F.col("p").alias("pa"))
+    others = members.select("gram", "major", F.col("c").alias("cb"), F.col("p").alias("pb"))
+    apart = F.expr("ca <> cb AND (cb = major OR ca < cb)") & _promising(over, under, "pa", "pb") & _suffix(over, under, "pa", "pb")
+    rest = minor.join(others, (minor["gram"] == others["gram"]) & apart)
     rest = rest.select(F.least("pa.node", "pb.node").alias("a"), F.greatest("pa.node", "pb.node").alias("b")).distinct()
     return links.unionByName(_verified(rest, sets, over, under))
 
