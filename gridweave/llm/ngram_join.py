@@ -110,7 +110,7 @@ def _blob(key: int, nodes=None, sizes=None, grams=None, where=None, counts=None)
 
 def _planes(values: np.ndarray, kind: str) -> bytes:
     """Like bytes together: high bytes are mostly zero, which compression then takes away."""
-    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
 
 
 def _unplanes(data: bytes, kind: str) -> np.ndarray:
