@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import random
 import re
@@ -189,14 +190,12 @@ def messy_texts():
 
 @pytest.mark.parametrize("trie", [True, False])
 def test_bpe_equals_the_library(tokenizer_file, trie):
-    from tokenizers import Tokenizer
-
-    texts, encoder, library = messy_texts(), bpe.TextEncoder(tokenizer_file, most=500, trie=trie), Tokenizer.from_file(tokenizer_file)
+    texts, encoder = messy_texts(), bpe.TextEncoder(tokenizer_file, most=500, trie=trie)
     data, offsets = K.string_buffers(pa.array(texts))
     got = [ids[i:j].tolist() for _, _, part, at in K.slices(data, offsets, 20_000) for ids, ends in [encoder.encode(part, at)] for i, j in zip(ends[:-1], ends[1:], strict=True)]
-    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    want = [e.ids for e in library(tokenizer_file).encode_batch(texts, add_special_tokens=False)]
     assert got == want
-    assert [bpe.decode(encoder.model, ids) for ids in want] == [library.decode(ids, skip_special_tokens=False) for ids in want] == texts
+    assert [bpe.decode(encoder.model, ids) for ids in want] == [library(tokenizer_file).decode(ids, skip_special_tokens=False) for ids in want] == texts
 
 
 def test_encode_decode_round_trip(spark, tokenizer_file, messy):
@@ -205,10 +204,15 @@ def test_encode_decode_round_trip(spark, tokenizer_file, messy):
     assert Counter(r.text for r in bpe.decode_documents(encoded, tokenizer_file).collect()) == texts
 
 
-def token_ids(path, text, end):
+@functools.cache
+def library(path):
     from tokenizers import Tokenizer
 
-    return [*Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids, end]
+    return Tokenizer.from_file(path)
+
+
+def token_ids(path, text, end):
+    return [*library(path).encode(text or "", add_special_tokens=False).ids, end]
 
 
 def small_docs(spark, n=400):
@@ -258,7 +262,7 @@ def test_best_fit_decreasing_matches_plain_search():
     rng = np.random.default_rng(1)
     for _ in range(30):
         sizes = rng.integers(1, 101, rng.integers(0, 60))
-        rooms, want = [], []
+        rooms = []
         for item in np.argsort(-sizes, kind="stable").tolist():
             fits = [k for k, room in enumerate(rooms) if room >= sizes[item]]
             if not fits:
@@ -267,4 +271,4 @@ def test_best_fit_decreasing_matches_plain_search():
             rooms[k] -= sizes[item]
         got = token_packing.best_fit_decreasing(sizes, 100)
         assert sorted(i for row in got for i in row) == list(range(len(sizes)))
-        assert sorted(100 - sum(sizes[i] for i in row) for row in got) == sorted(rooms), want
+        assert sorted(100 - sum(sizes[i] for i in row) for row in got) == sorted(rooms)
