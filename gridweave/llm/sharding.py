@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 
 from gridweave.llm.spark_util import cut
 
-SHARDS, ROUNDS, BINS, ROWS_PER_TASK = 40, 8, 1024, 20_000
+SHARDS, ROUNDS, BINS, ROWS_PER_TASK = 40, 16, 1024, 20_000
 
 
 def numbered(df: DataFrame, key: Column, row: str, bins: int, name: str) -> DataFrame:
@@ -37,7 +37,7 @@ def _propagate(linked: DataFrame, shards: int, room_for: int) -> DataFrame:
     for turn in range(ROUNDS):
         loads = dict(labels.groupBy("shard").agg(F.count("*")).collect())  # one row per shard
         room = {s: max(0, room_for - loads.get(s, 0)) for s in range(shards)}
-        open_shards = [s for s in room if room[s]]
+        open_shards = [s for s in room if room[s] > room_for // 50]  # a shard nearly full would cost a round for a few rows
         if not open_shards:
             break
         spread = labels.groupBy("grp", "shard").agg(F.count("*").alias("n"))
