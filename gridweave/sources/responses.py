@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridweave.sources.tables import APPEND, UPSERT, KeyedTable
+
 RAW_DDL = "url string, ok boolean, status int, body string"
 
 
@@ -41,6 +43,12 @@ def only_new(responses: DataFrame, cached: DataFrame) -> DataFrame:
     return responses.join(cached.select("url").distinct(), "url", "left_anti")
 
 
+def cache_raw(responses: DataFrame, cache: KeyedTable, upsert: bool) -> None:
+    """Keep raw responses by url: those that may change (see plans.requests.must_upsert) are replaced, others stay as first
+    stored."""
+    cache.insert(responses.where("ok").select("url", "ok", "status", "body"), UPSERT if upsert else APPEND)
+
+
 def catalog_from_csv(spark: SparkSession, path: str) -> DataFrame:
     """Curves from a CSV whose nested columns are written as literals (single quotes, None)."""
     raw = spark.read.csv(path, header=True, quote='"', escape='"')

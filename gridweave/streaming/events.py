@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 EVENT_DDL = "event_id string, event_type string, ts timestamp, curve_name string, begin timestamp, end timestamp, tags array<string>, area string, data_type string, commodity string, categories array<string>"
 CURVE_UPDATE = "CURVE_UPDATE"
@@ -79,3 +79,24 @@ def drain(events: DataFrame, handle: Callable[[DataFrame, int], None], checkpoin
 def follow(events: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str = "300 seconds") -> StreamingQuery:
     """Handle batches as they come, at most one in each interval."""
     return events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
+class Progress(StreamingQueryListener):
+    """Counts batches and rows of all queries and hands a line per batch to ``say``."""
+
+    def __init__(self, say: Callable[[str], None] = print):
+        self.say, self.batches, self.rows = say, 0, 0
+
+    def onQueryStarted(self, event) -> None:
+        self.say(f"started {event.name or event.id}")
+
+    def onQueryProgress(self, event) -> None:
+        self.batches += 1
+        self.rows += event.progress.numInputRows
+        self.say(f"batch {event.progress.batchId}: {event.progress.numInputRows} rows, {self.rows} in {self.batches} batches")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.say(f"ended {event.id}" + (f": {event.exception}" if event.exception else ""))
