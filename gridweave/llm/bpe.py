@@ -61,8 +61,7 @@ class BpeModel:
         self.id_of = {b: k for k, b in enumerate(self.bytes_of) if b}
         for text, k in self.special.items():
             self.bytes_of[k] = text.encode()
-        # every suffix of a token; with the token's id where it is one itself
-        self.suffixes: dict[bytes, int] = {b[i:]: -1 for b in self.id_of for i in range(len(b))} | self.id_of
+        self.suffixes: dict[bytes, int] = {}
         self.left, self.right, self.rank = [0] * size, [0] * size, [-1] * size
         self.pairs: dict[int, int] = {}
         for n, merge in enumerate(spec["model"]["merges"]):
@@ -101,6 +100,8 @@ class BpeModel:
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """Token ids of each word, in one depth-first walk over the trie of all words."""
+        if not self.suffixes:  # every suffix of a token; with the token's id where it is one itself
+            self.suffixes = {b[i:]: -1 for b in self.id_of for i in range(len(b))} | self.id_of
         get, apart, bytes_of = self.suffixes.get, self.apart, self.bytes_of
         out: dict[bytes, list[int]] = {}
         last: list[int] = [-1]  # last token of the encoding, for each depth of the current path
@@ -298,6 +299,7 @@ def decode(model: BpeModel, ids: list[int]) -> str:
 
 
 def _digests(path: str):
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(path)
         numbers = [str(k) for k in range(len(encoder.model.bytes_of))]
@@ -314,6 +316,7 @@ def _digests(path: str):
 
 
 def _ids(path: str, names: list[str]):
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(path)
         for batch in batches:
@@ -333,6 +336,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id, text of rows with doc_id, ids; null ids give null."""
 
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load_model(path)
         for batch in batches:

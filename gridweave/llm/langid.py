@@ -24,7 +24,7 @@ from gridweave.llm import textkernel as K
 
 UNKNOWN = "und"
 PER_LANG, SWITCH_PENALTY = 3000, 6.0
-TABLE_BITS, SLICE_BYTES = 16, 4 << 20
+TABLE_BITS, SLICE_BYTES = 16, 2 << 20
 
 #: Scripts by the lead bytes of their letters in UTF-8.
 SCRIPTS = {"latin": (0xC3, 0xC9), "greek": (0xCD, 0xCF), "cyrillic": (0xD0, 0xD4), "hebrew": (0xD6, 0xD7), "arabic": (0xD8, 0xDD), "indic": (0xE0, 0xE0), "other": (0xE1, 0xE2), "cjk": (0xE3, 0xE9), "hangul": (0xEA, 0xED), "astral": (0xF0, 0xF4)}
@@ -166,6 +166,7 @@ def _labelled(data: np.ndarray, offsets: np.ndarray, model: LanguageModel, penal
 
 
 def _predict(model, keep: list[str], penalty: float):
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = model.value.langs
         for batch in batches:
@@ -197,6 +198,7 @@ def language_spans(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id"
     """doc_id, spans array<struct<start, end, lang>> in code points: runs of words of one language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = shared.value.langs
         for batch in batches:

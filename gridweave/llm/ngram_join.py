@@ -39,7 +39,7 @@ OVER, UNDER = 80, 100
 #: Counters of the first pass, and the share of documents from which an n-gram counts as frequent.
 COUNTER_BITS, FREQUENT_SHARE = 18, 0.01
 #: (n-gram, node) entries counted by one task, gathered by one blob, and hash parts of the suffix filter.
-ENTRIES_PER_TASK, ENTRIES_PER_BLOB, SUFFIX_BITS = 4_000_000, 4_000_000, 2048
+ENTRIES_PER_TASK, ENTRIES_PER_BLOB, SUFFIX_BITS = 1_500_000, 2_000_000, 2048
 
 _SHIFT = np.uint64(64 - COUNTER_BITS)
 #: Sizes of sets go by 64 bits of a hash; these 48 are sent and compared.
@@ -71,6 +71,7 @@ def _first_pass(width: int, share: float):
 
     An n-gram frequent in the whole is frequent in some task. Copies within a task count once."""
 
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, seen, total = np.zeros(1 << COUNTER_BITS, np.int64), set(), 0
         for batch in batches:
@@ -161,6 +162,7 @@ def _second_pass(width: int, n_gram_parts: int, n_node_parts: int, frequent):
             used, local = np.unique(where[a:b], return_inverse=True)
             yield _table([_blob(int(part[a]), ids[used], None, grams[a:b], local)])
 
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, sets, seen, held = [], [], set(), 0
         for batch in batches:
@@ -198,6 +200,7 @@ def _groups(keys: np.ndarray, order: np.ndarray) -> tuple[list, list]:
 def _count(n_gram_parts: int, n_node_parts: int):
     """Of all blobs of one range of n-grams: the entries in two nodes or more, with frequencies, by node."""
 
+    @K.tidy_group
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key[0].as_py() >= n_gram_parts:
             for batch in batches:
@@ -236,6 +239,7 @@ def _assemble(over: int, under: int):
     """Of all blobs of one range of nodes: nodes whose shared n-grams could be enough, each with those n-grams,
     rare ones first."""
 
+    @K.tidy_group
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, grams, counts, known, known_n = [], [], [], [], []
         for batch in batches:

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridweave.llm import textkernel as K
 from gridweave.llm.bpe import TextEncoder, encoded_slices
 from gridweave.llm.spark_util import cut
 
@@ -81,6 +82,7 @@ class _Rows:
 
 
 def _pack(path: str, capacity: int, most_open: int, end_id: int, with_ids: bool):
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, open_windows, rows = TextEncoder(path, trie=False), BestFit(capacity), _Rows(with_ids)
         sequence = (TaskContext.get().partitionId()) << _LOCAL_BITS
@@ -123,6 +125,7 @@ def _pack(path: str, capacity: int, most_open: int, end_id: int, with_ids: bool)
 def _merge(capacity: int, names: list[str]):
     """Left-over windows of some partitions, by falling length, each into the window where it fits best."""
 
+    @K.tidy_group
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches)
         sequence, length = table.column("sequence_id").to_numpy(), table.column("length").to_numpy()

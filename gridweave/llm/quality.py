@@ -99,6 +99,7 @@ def _slice_stats(data: np.ndarray, offsets: np.ndarray) -> tuple[dict, np.ndarra
 
 
 def _stats_of(keep: list[str]):
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = K.string_buffers(batch.column("text"))
@@ -162,6 +163,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
 def _strip(names: list[str], max_removed: float):
     """Of each text: leave out limited lines; drop rows that fail the rules."""
 
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = K.string_buffers(batch.column("text"))

@@ -7,7 +7,9 @@ slice (or by the longest single text). A word is a maximal run of bytes outside
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,40 @@ _IDENTITY = np.arange(256, dtype=np.uint8)
 _BASE = 0x9E3779B97F4A7C13
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` (a function over Arrow batches) that gives free memory back to the system when it ends: Python workers are
+    used again, and what one stage needed at most would otherwise stay with its executor."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
+def tidy_group(run: Callable) -> Callable:
+    """The same for a function of a key and its batches."""
+
+    @functools.wraps(run)
+    def wrapped(key, batches):
+        try:
+            yield from run(key, batches)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))

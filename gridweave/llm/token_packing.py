@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridweave.llm import textkernel as K
 from gridweave.llm.bpe import TextEncoder, encoded_slices
 
 CAPACITY, BLOCK_IDS = 2048, 8_000_000
@@ -75,6 +76,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def _packed(path: str, capacity: int, end_id: int, pad_id: int, block: int):
+    @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(path, trie=False)
         kind = np.dtype("<u2" if len(encoder.model.bytes_of) <= 1 << 16 else "<u4")
