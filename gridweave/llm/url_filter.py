@@ -44,18 +44,20 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
 
 def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetched_at: str = "fetched_at") -> DataFrame:
-    """``captures`` with url_host, listed_host, list_action, listed_from; the last three are null if nothing applies."""
-    kept = captures.columns
-    keyed = captures.select("*", url_host(F.col(url)).alias("url_host"))
-    seen = keyed.select(F.col("url_host").alias("h"), F.col(fetched_at).alias("t")).where("h IS NOT NULL AND t IS NOT NULL").distinct()
-    labels = F.split("h", r"\.")
+    """``captures`` with url_host, listed_host, list_action, listed_from; the last three are null if nothing applies. Columns of
+    these names that captures have are replaced."""
+    made = ("url_host", "listed_host", "list_action", "listed_from")
+    kept = [c for c in captures.columns if c not in made]
+    keyed = captures.withColumn("url_host", url_host(F.col(url)))
+    seen = keyed.select(F.col("url_host").alias("__host"), F.col(fetched_at).alias("__at")).where("__host IS NOT NULL AND __at IS NOT NULL").distinct()
+    labels = F.split("__host", r"\.")
     above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    wanted = seen.select("h", "t", F.explode(above).alias("entry_host"), _span(F.col("t")).alias("span"))
-    bounds = seen.agg(F.min("t").alias("low"), F.max("t").alias("high"))
-    intervals = validity_intervals(entries).join(F.broadcast(bounds)).where("valid_from <= high AND (valid_to IS NULL OR valid_to > low)")  # one row
-    spans = F.sequence(_span(F.greatest("valid_from", "low")), _span(F.least("valid_to", "high")))
-    spread = intervals.select("entry_host", "action", "valid_from", "valid_to", F.explode(spans).alias("span"))
-    hits = wanted.join(spread, ["entry_host", "span"]).where("valid_from <= t AND (valid_to IS NULL OR t < valid_to)")
-    verdicts = hits.groupBy("h", "t").agg(F.max(F.struct(F.length("entry_host").alias("depth"), "entry_host", "action", "valid_from")).alias("v"))
-    joined = keyed.join(verdicts, (F.col("url_host") == F.col("h")) & (F.col(fetched_at) == F.col("t")), "left")
-    return joined.select(*kept, "url_host", F.col("v.entry_host").alias("listed_host"), F.col("v.action").alias("list_action"), F.col("v.valid_from").alias("listed_from"))
+    wanted = seen.select("__host", "__at", F.explode(above).alias("entry_host"), _span(F.col("__at")).alias("span"))
+    low, high = wanted.agg(F.coalesce(F.min("span"), F.lit(0)), F.coalesce(F.max("span"), F.lit(-1))).first()
+    first, last = F.greatest(_span(F.col("valid_from")), F.lit(low)), F.least(_span(F.col("valid_to")), F.lit(high))
+    intervals = validity_intervals(entries).where(first <= last)
+    spread = intervals.select("entry_host", "action", "valid_from", "valid_to", F.explode(F.sequence(first, last)).alias("span"))
+    hits = wanted.join(spread, ["entry_host", "span"]).where("valid_from <= __at AND (valid_to IS NULL OR __at < valid_to)")
+    verdicts = hits.groupBy("__host", "__at").agg(F.max(F.struct(F.length("entry_host").alias("depth"), "entry_host", "action", "valid_from")).alias("__verdict"))
+    joined = keyed.join(verdicts, (F.col("url_host") == F.col("__host")) & (F.col(fetched_at) == F.col("__at")), "left")
+    return joined.select(*kept, "url_host", F.col("__verdict.entry_host").alias("listed_host"), F.col("__verdict.action").alias("list_action"), F.col("__verdict.valid_from").alias("listed_from"))
