@@ -1,7 +1,7 @@
 """Personal data: patterns propose spans, checksums confirm them, context words adjust their scores.
 
 Everything is column expressions. The base kinds (email, ip, card, phone) keep each leftmost non-overlapping match
-that passes its check. Further kinds need more evidence: ``iban`` passes mod-97; ``account`` (13 to 15 digits
+that passes its check. Further kinds need more evidence: ``iban`` has its country's length and passes mod-97; ``account`` (13 to 15 digits
 passing Luhn) and ``ssn`` (three, two and four digits) have a low score that words near by raise over the
 threshold.
 
@@ -32,10 +32,19 @@ _PROPOSE = {
     "ip": (r"[0-9]\.[0-9]++\.[0-9]", "", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": (r"[0-9](?:[ -]?[0-9]){12}", "(?<=[0-9])[ -](?=[0-9])", rf"[0-9][0-9{_MARK}]++"),
     "phone": (r"\+[0-9]", "", r"\+[0-9][ ().0-9-]+[0-9]"),
-    "iban": (r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]", "(?<=[A-Z0-9]) (?=[A-Z0-9])", rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}[A-Z0-9{_MARK}]{{11,40}}+(?![A-Za-z0-9])"),
+    "iban": (r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]", "(?<=[A-Z0-9]) (?=[A-Z0-9])", rf"(?<![A-Za-z0-9])(?=([A-Z]{{2}}[0-9]{{2}}[A-Za-z0-9{_MARK}]{{11,80}}+))[A-Z]{{2}}[0-9]{{2}}"),
     "ssn": (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
 
+#: Proposals whose text is the pattern's group 1, which runs past the match, and the length of the match.
+_AHEAD = {"iban": 4}
+#: Characters of an IBAN by country; those of other countries have 15 to 34.
+_IBAN_LENGTHS = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}.items() for c in codes.split()}
+
 #: Score without and with a word of the kind near by; spans under the threshold are dropped.
 THRESHOLD, NEAR_CHARS = 0.6, 40
 _SCORES = {"email": (0.9, 1.0), "ip": (0.7, 0.9), "card": (0.9, 1.0), "phone": (0.7, 0.9), "iban": (0.9, 1.0), "account": (0.4, 0.8), "ssn": (0.4, 0.8)}
@@ -83,6 +92,22 @@ def _mod97(code: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
 
 
+def _iban(run: Column) -> Column:
+    """The IBAN that a run of groups begins with; null if none does. It ends with a group: its country's length tells with
+    which; of an unlisted country the longest that passes counts."""
+    groups = F.split(run, _MARK)
+    heads = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.array_join(F.slice(groups, F.lit(1), i), _MARK))
+    lengths = F.create_map(*(F.lit(x) for kv in _IBAN_LENGTHS.items() for x in kv))
+
+    def passes(head: Column) -> Column:
+        plain = F.regexp_replace(head, _MARK, "")
+        n = F.length(plain)
+        fits = F.coalesce(n == lengths[F.substring(plain, 1, 2)], n.between(15, 34)) & plain.rlike("^[A-Z0-9]+$")
+        return F.when(fits, _mod97(plain)).otherwise(F.lit(False))
+
+    return F.get(F.reverse(F.filter(heads, passes)), 0)
+
+
 def _confirmed(proposal: str, value: Column) -> Column:
     """The kind that the checks give to a proposed value; null if they reject it."""
     plain = F.regexp_replace(value, _MARK, "")
@@ -95,7 +120,7 @@ def _confirmed(proposal: str, value: Column) -> Column:
     if proposal == "phone":
         return F.when(F.length(F.regexp_replace(value, "[^0-9]", "")).between(8, 15), F.lit("phone"))
     if proposal == "iban":
-        return F.when(F.length(plain).between(15, 34), F.when(_mod97(plain), F.lit("iban")))
+        return F.when(value.isNotNull(), F.lit("iban"))
     return F.lit(proposal)
 
 
@@ -109,6 +134,7 @@ def _score(kind: Column, text: Column, start: Column, end: Column) -> Column:
 
 def _proposed(proposal: str, hits: Column, parts: Column, before: Column) -> Column:
     """The arrays go in zipped: what a lambda only refers to could be computed anew for every element."""
+    hits = F.transform(hits, _iban) if proposal == "iban" else hits
     zipped = F.arrays_zip(hits.alias("hit"), F.slice(parts, F.lit(1), F.size(hits)).alias("part"), before.alias("before"))
     return F.transform(zipped, lambda z: F.struct(_confirmed(proposal, z["hit"]).alias("kind"), (z["before"] + z["part"]).alias("start"), F.length(z["hit"]).alias("length")))
 
@@ -125,10 +151,10 @@ def personal_spans(docs: DataFrame, text: str = "text", column: str = "pii") ->
         return F.when(whole.rlike(needs), marked)
 
     df = df.select("*", *(prepared(needs, separators).alias(hidden[k]) for k, (needs, separators, _) in _PROPOSE.items()))
-    df = df.select(*names, hidden["text"], *(f(F.col(hidden[k])).alias(hidden[f"{what}_{k}"]) for k, (_, _, pattern) in _PROPOSE.items() for what, f in (("parts", lambda c, p=pattern: F.transform(F.split(c, p, -1), F.length)), ("hits", lambda c, p=pattern: F.regexp_extract_all(c, F.lit(p), F.lit(0))))))
+    df = df.select(*names, hidden["text"], *(f(F.col(hidden[k])).alias(hidden[f"{what}_{k}"]) for k, (_, _, pattern) in _PROPOSE.items() for what, f in (("parts", lambda c, p=pattern: F.transform(F.split(c, p, -1), F.length)), ("hits", lambda c, p=pattern, g=int(k in _AHEAD): F.regexp_extract_all(c, F.lit(p), F.lit(g))))))
     def sums(k: str) -> Column:
         hits = F.col(hidden[f"hits_{k}"])
-        taken = F.zip_with(F.slice(F.col(hidden[f"parts_{k}"]), F.lit(1), F.size(hits)), hits, lambda p, h: p + F.length(h))
+        taken = F.zip_with(F.slice(F.col(hidden[f"parts_{k}"]), F.lit(1), F.size(hits)), hits, lambda p, h: p + (F.lit(_AHEAD[k]) if k in _AHEAD else F.length(h)))
         return _scan(taken, F.lit(0), lambda a, x: a + x).alias(hidden[f"before_{k}"])
 
     df = df.select("*", *map(sums, _PROPOSE))

@@ -148,6 +148,21 @@ def test_pii_checks_and_context(spark):
     assert got == ["iban:5:32", "", "ssn:8:19", "", "account:10:25", "", "ip:14:23"]
 
 
+def test_pii_iban_ends_before_the_next_word(spark):
+    """(text with the IBANs in angle brackets, text after masking)"""
+    cases = [
+        ("<DE89370400440532013000> Bank of", "[IBAN] Bank of"), ("to <GB82 WEST 1234 5698 7654 32> The end", "to [IBAN] The end"), ("<DE89 3704 0044 0532 0130 00> BIC COBADEFFXXX", "[IBAN] BIC COBADEFFXXX"),
+        ("<DE89370400440532013000> 2 times", "[IBAN] 2 times"), ("<DE89 3704 0044 0532 0130 00> <GB82 WEST 1234 5698 7654 32> X", "[IBAN] [IBAN] X"), ("AT12 <DE89 3704 0044 0532 0130 00> A", "AT12 [IBAN] A"),
+        ("<NO93 8601 1117 947> 15 AB", "[IBAN] 15 AB"), ("<MT84 MALT 0110 0001 2345 MTLC AST0 01S> MT", "[IBAN] MT"), ("DE89370400440532013000EUR", "DE89370400440532013000EUR"), ("DE88 3704 0044 0532 0130 00 BIC", "DE88 3704 0044 0532 0130 00 BIC"),
+    ]
+    plain = [re.sub("[<>]", "", marked) for marked, _ in cases]
+    df = spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")
+    spans = [r.spans for r in pii.span_digests(df).orderBy("doc_id").collect()]
+    for text, (marked, _), got in zip(plain, cases, spans, strict=True):
+        assert [text[int(a) : int(b)] for _, a, b in (x.split(":") for x in got.split(",") if x.startswith("iban"))] == re.findall("<(.*?)>", marked)
+    assert [r.text for r in pii.mask_personal(df).orderBy("doc_id").collect()] == [masked for _, masked in cases]
+
+
 # ---- languages
 
 
