@@ -1,9 +1,10 @@
 """Sharding by balanced label propagation.
 
 Documents with equal texts are linked. Linked documents start in shards drawn by hash; in every round each may
-move to the shard that holds most of its group, if that holds more than its own and has room. Movers are
-admitted in the order of a hash until the shard's quota is used up, so sizes stay within bounds while cut
-links fall. A group is one node of a star, so its links are as many as its rows; the rounds handle counts per
+move to the shard that holds most of its group (counts weighed by what shards could admit lately), if that
+holds no fewer than its own. Moves are admitted net of departures: as many rows of each pair of shards as swaps,
+cycles and room allow, so sizes stay within bounds while cut links fall, however full the shards are. There is no
+limit of rounds. A group is one node of a star, so its links are as many as its rows; the rounds handle counts per
 group and shard. Afterwards rows over quota and unlinked documents fill the shards to counts at most one apart.
 
 Null texts count as empty, of size 16; all null and empty texts are one group. Ids are only carried along.
@@ -11,13 +12,19 @@ Null texts count as empty, of size 16; all null and empty texts are one group. I
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from gridweave.llm.spark_util import cut
 
-SHARDS, ROUNDS, BINS, ROWS_PER_TASK = 40, 16, 1024, 20_000
+SHARDS, ROWS_PER_TASK = 40, 20_000
+#: Rounds end when this many in a row, each with other ties, let no row move.
+STILL = 3
+#: The least that a full shard's count of a group is taken for when groups choose where to gather.
+LEAST_WORTH = 0.001
 
 
 def numbered(df: DataFrame, key: Column, row: str, bins: int, name: str) -> DataFrame:
@@ -31,37 +38,86 @@ def numbered(df: DataFrame, key: Column, row: str, bins: int, name: str) -> Data
     return dealt.withColumn("__in", inside).join(offsets, ["__key", "__bin"]).withColumn(name, F.col("__before") + F.col("__in")).drop("__key", "__bin", "__n", "__before", "__in")
 
 
-def _propagate(linked: DataFrame, shards: int, room_for: int) -> DataFrame:
-    """row, grp, shard of linked documents after the rounds."""
+def _flows(demand: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many of the rows that wish from one shard to another may move, so that no shard without room grows. ``room`` is
+    negative for shards over their quota. Those are relieved first; then rows are swapped between pairs of shards, and
+    sent along cycles and paths to room, until there are no more of these."""
+    left, flow, room = dict(demand), Counter(), list(room)
+    out: dict[int, list[int]] = {}
+    for s, t in sorted(left):
+        out.setdefault(s, []).append(t)
+
+    def push(path: list[int], n: int) -> None:
+        for edge in zip(path, path[1:], strict=False):
+            left[edge] -= n
+            flow[edge] += n
+
+    for s, t in sorted(left):
+        n = min(left[s, t], -room[s], room[t])
+        if n > 0:
+            push([s, t], n)
+            room[s], room[t] = room[s] + n, room[t] - n
+    for s, t in sorted(left):
+        n = min(left[s, t], left.get((t, s), 0))
+        if n > 0:
+            push([s, t, s], n)
+    dead: set[int] = set()  # shards that no cycle and no way to room goes through any more
+    for start in sorted(out):
+        while start not in dead:
+            path = [start]
+            while path:
+                here = path[-1]
+                if len(path) > 1 and room[here] > 0:
+                    n = min(room[here], *(left[e] for e in zip(path, path[1:], strict=False)))
+                    push(path, n)
+                    room[start], room[here] = room[start] + n, room[here] - n
+                    break
+                ahead = next((t for t in out.get(here, ()) if left[here, t] and (t not in dead or room[t] > 0)), None)
+                if ahead is None:
+                    dead.add(path.pop())
+                elif ahead in path:
+                    cycle = [*path[path.index(ahead) :], ahead]
+                    push(cycle, min(left[e] for e in zip(cycle, cycle[1:], strict=False)))
+                    break
+                else:
+                    path.append(ahead)
+    return +flow
+
+
+def _propagate(linked: DataFrame, shards: int, room_for: int, bins: int) -> DataFrame:
+    """row, grp, shard of linked documents after the rounds. A move takes rows only to where their group has as many or
+    more, so the links within shards grow with each and the rounds come to an end."""
     labels = cut(linked.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int")))
-    for turn in range(ROUNDS):
-        loads = dict(labels.groupBy("shard").agg(F.count("*")).collect())  # one row per shard
-        room = {s: max(0, room_for - loads.get(s, 0)) for s in range(shards)}
-        open_shards = [s for s in room if room[s] > room_for // 50]  # a shard nearly full would cost a round for a few rows
-        if not open_shards:
-            break
+    admits, still, turn = [1.0] * shards, 0, 0  # the share of wishes that each shard could admit lately
+    while still < STILL:
+        turn += 1
         spread = labels.groupBy("grp", "shard").agg(F.count("*").alias("n"))
-        best = spread.where(F.col("shard").isin(open_shards)).groupBy("grp").agg(F.max(F.struct("n", F.xxhash64("grp", "shard").alias("tie"), "shard")).alias("best"))
-        better = F.struct("best.n", "best.tie") > F.struct("n", F.xxhash64("grp", "shard"))
-        own = spread.join(best, "grp").where((F.col("best.shard") != F.col("shard")) & better).select("grp", "shard", F.col("best.shard").alias("target"))
-        wishes = cut(labels.join(own, ["grp", "shard"], "left").withColumn("bin", F.pmod(F.xxhash64("row", F.lit(turn + 2)), F.lit(BINS)).cast("int")))
-        demand = wishes.where("target IS NOT NULL").groupBy("target", "bin").agg(F.count("*").alias("n")).collect()  # shards * BINS rows at most
-        if not demand:
-            return labels
-        upto, moved = {}, 0
-        for s in open_shards:
-            taken, limit = 0, 0
-            for r in sorted((r for r in demand if r["target"] == s), key=lambda r: r["bin"]):
-                if taken + r["n"] > room[s]:
-                    break
-                taken, limit = taken + r["n"], r["bin"] + 1
-            moved += taken
-            upto[s] = limit
-        quota = F.create_map(*(F.lit(x) for s in open_shards for x in (s, upto[s])))
-        admitted = F.col("target").isNotNull() & (F.col("bin") < quota[F.col("target")])
-        labels = cut(wishes.select("row", "grp", F.when(admitted, F.col("target")).otherwise(F.col("shard")).alias("shard")))
-        if not moved:
+        worth = F.col("n") * F.get(F.expr(f"array({', '.join(f'{x}D' for x in admits)})"), F.col("shard"))
+        best = spread.groupBy("grp").agg(F.max(F.struct(worth.alias("worth"), F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), "n", "shard")).alias("best"))
+        own = spread.join(best, "grp").where((F.col("best.shard") != F.col("shard")) & (F.col("best.n") >= F.col("n"))).select("grp", "shard", F.col("best.shard").alias("target"))
+        wishes = cut(labels.join(own, ["grp", "shard"], "left").select("row", "grp", "shard", "target"))
+        counts = wishes.groupBy("shard", "target").agg(F.count("*").alias("n")).collect()  # shards * (shards + 1) rows at most
+        room, demand = [room_for] * shards, {}
+        for s, t, n in counts:
+            room[s] -= n
+            if t is not None:
+                demand[s, t] = n
+        flow = _flows(demand, room)
+        if not demand and min(admits) == 1:
             break
+        still = 0 if flow else still + 1
+        if flow:
+            pair = F.col("shard") * shards + F.col("target")
+            quota = F.get(F.expr(f"array({', '.join(str(flow[s, t]) for s in range(shards) for t in range(shards))})"), pair)
+            asked = numbered(wishes.where("target IS NOT NULL"), pair, "row", bins, "place")
+            moved = asked.select("row", "grp", F.when(F.col("place") < quota, F.col("target")).otherwise(F.col("shard")).alias("shard"))
+            labels = cut(wishes.where("target IS NULL").select("row", "grp", "shard").unionByName(moved))
+        wished, let = Counter(), Counter()
+        for (s, t), n in demand.items():
+            wished[t] += n
+            let[t] += flow[s, t]
+        # a shard that was not asked regains its worth by steps; if none was, all do
+        admits = [max(LEAST_WORTH, let[t] / wished[t]) if wished[t] else min(1.0, 4 * admits[t]) if demand else 1.0 for t in range(shards)]
     return labels
 
 
@@ -72,7 +128,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id
     total = base.count()
     bins = max(1, -(-total // (shards * ROWS_PER_TASK)))
     groups = base.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp")
-    labels = _propagate(base.join(groups, "grp").select("row", "grp"), shards, total // shards)
+    labels = _propagate(base.join(groups, "grp").select("row", "grp"), shards, total // shards, bins)
     # rows over a shard's quota give up their place
     placed = cut(numbered(labels, F.col("shard"), "row", bins, "slot").where(F.col("slot") < total // shards).select("row", "shard", "slot"))
     held = dict(placed.groupBy("shard").agg(F.count("*")).collect())

@@ -83,6 +83,29 @@ def test_balanced_shards(spark):
     assert len(set(hot)) <= 5  # 700 rows need three full shards of 237
 
 
+def test_balanced_shards_when_all_rows_are_linked(spark):
+    """No shard has room to spare, so rows can only gather by swaps."""
+    rows = [(i, f"text {i // 2}") for i in range(8000)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), shards=8).collect()
+    assert set(Counter(r.shard for r in got).values()) == {1000} and len({r.doc_id for r in got}) == 8000
+    where = {}
+    for r in got:
+        where.setdefault(r.grp, []).append(r.shard)
+    assert sum(len(set(x)) == 1 for x in where.values()) >= 0.95 * len(where)
+
+
+def test_flows_keep_quotas():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(rng.integers(2, 9))
+        room = rng.integers(-3, 4, n).tolist()
+        demand = {(s, t): int(k) for s in range(n) for t in range(n) if s != t and (k := rng.integers(0, 6)) > 2}
+        flow = sharding._flows(demand, room)
+        after = [room[s] + sum(flow[s, t] - flow[t, s] for t in range(n)) for s in range(n)]
+        assert all(0 < k <= demand[e] for e, k in flow.items()) and all(b >= min(a, 0) for a, b in zip(room, after, strict=True))
+    assert sharding._flows({(0, 1): 5, (1, 2): 4, (2, 0): 3}, [0, 0, 0]) == {(0, 1): 3, (1, 2): 3, (2, 0): 3}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
