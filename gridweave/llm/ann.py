@@ -6,8 +6,8 @@ nearest list and, near a boundary, to others whose distance is within a ratio. A
 a ratio of its nearest; that ratio is the one that finds the wanted share of true neighbours within the
 sample. Lists are dealt out in chunks of bounded size, so a list of a million equal vectors is many tasks.
 
-Nearness is the cosine in double precision. Vectors that are null, zero, of another length than most of the
-sample, or hold null or non-finite components, and rows with a null id, take no part. An id stands for its
+Nearness is the cosine in double precision. Vectors that are null, zero, of another length than most
+others, or hold null or non-finite components, and rows with a null id, take no part. An id stands for its
 row: rows that repeat a query's id are not its candidates.
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -38,7 +38,7 @@ def _vectors(column: pa.Array, dim: int | None) -> tuple[np.ndarray, np.ndarray]
         if np.isfinite(v).all() and v.any():
             rows.append(i)
             out.append(v)
-    return np.array(rows, np.int64), np.array(out, np.float64).reshape(len(rows), -1)
+    return np.array(rows, np.int64), np.array(out, np.float64).reshape(len(rows), -1 if rows else dim or 0)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -208,15 +208,24 @@ def _best(top: int):
     return run
 
 
+def _usable(vec: Column) -> Column:
+    """As _vectors: not null, no null or non-finite components, not zero."""
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return finite & F.exists(vec, lambda x: x != 0)
+
+
 def fit_index(vectors: DataFrame, sample: int = SAMPLE, wanted: float = WANTED) -> CentroidIndex:
-    """vectors: vec_id, vec. The sample is drawn by a hash of the id and bounded by ``sample``."""
-    total = vectors.count()
+    """vectors: vec_id, vec. Vectors that can take part are picked from all rows, then their commonest length (of equally
+    common ones the least); the sample is drawn from these by a hash of the id and bounded by ``sample``."""
+    usable = vectors.where(_usable(F.col("vec")))
+    sizes = usable.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
+    if sizes is None:
+        return CentroidIndex(np.zeros((0, 0)), 0, wanted)
+    dim, total = sizes
     scale = 1 << 30
-    drawn = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(scale)) < int(scale * min(1.0, sample / max(1, total)))).select("vec").toArrow()
-    column = drawn.column("vec").combine_chunks()
-    sizes = [len(x.values) for x in column if x.is_valid]
-    dim = max(sorted(set(sizes)), key=sizes.count) if sizes else None
-    return CentroidIndex(_vectors(column, dim)[1] if dim else np.zeros((0, 0)), total, wanted)
+    share = F.pmod(F.xxhash64("vec_id"), F.lit(scale)) < int(scale * min(1.0, sample / total))
+    drawn = usable.where((F.size("vec") == dim) & share).select("vec").toArrow()
+    return CentroidIndex(_vectors(drawn.column("vec").combine_chunks(), dim)[1], total, wanted)
 
 
 def nearest(df: DataFrame, every: int = 50, top: int = TOP, vec_id: str = "vec_id", vec: str = "embedding") -> DataFrame:

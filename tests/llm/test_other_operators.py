@@ -64,6 +64,14 @@ def test_nearest_on_few_vectors(spark):
     assert ann.nearest(few.where("1 = 0")).count() == 0
 
 
+def test_nearest_finds_few_vectors_among_many_unusable(spark):
+    """A sample of all rows would hold no usable vector, and most of its lengths would be those of zero vectors."""
+    unusable = spark.range(1000, 400_000).selectExpr("id AS vec_id", "if(id % 2 = 0, null, array(0D, 0D, 0D)) AS embedding")
+    few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [0.0, 2.0])], "vec_id bigint, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id) for r in ann.nearest(unusable.unionByName(few)).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
+
+
 # ---- shards
 
 
