@@ -66,7 +66,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("packing", packing)]
 
-#: Trained language scores, Viterbi paths and token ids are beyond SQL; tests hold each stage to a brute-force version.
+#: Trained language scores, Viterbi paths and token ids are beyond SQL. Tests compare ids or counts that stages keep on small tables and the
+#: language stage's rejections with a plain filter of the operator's rows; operators have brute-force tests of their own, stages have none.
 ORACLE_SQL = None
 
 

@@ -159,6 +159,14 @@ def test_pipeline_stages_on_messy_documents(spark, messy, nothing, tmp_path):
         assert out.count() == 0 and (name == "packing" or tuple(out.columns) == corpus_pipeline.COLUMNS)
 
 
+def test_language_stage_rejects_by_share(spark, messy):
+    docs = messy.unionByName(spark.createDataFrame([(20, "the cat le chat die katze " * 5, "en", "a"), (21, "123 456", "en", "a")], "doc_id long, text string, lang string, source string"), allowMissingColumns=True)
+    told = [r.asDict() for r in langid.identify(docs.select(*corpus_pipeline.COLUMNS), langid.train(docs)).collect()]
+    want = Counter((r["doc_id"], r["lang_pred"], r["text"]) for r in told if r["lang_pred"] != langid.UNKNOWN and r["score"] >= 0.5)
+    got = corpus_pipeline.language(spark, docs, "").collect()
+    assert 0 < len(got) < len(told) and Counter((r.doc_id, r.lang, r.text) for r in got) == want
+
+
 def test_pipeline_runs_stage_after_stage(spark, tmp_path):
     rng = np.random.default_rng(5)
     prose = lambda k: " ".join(f"{w}" for w in rng.choice(["the", "of", "house", "water", "street", "morning", "river", "stone", "cloud", "paper"], k)) + " " + " ".join(f"w{x}" for x in rng.integers(0, 10**6, k))
