@@ -8,8 +8,12 @@ depth-first walk: the path to the current node is a stack, and a word adds only
 share with the word before it.
 
 ``TextEncoder`` cuts whole texts into words by character classes with numpy, looks distinct words up in a
-bounded cache, sends the rest through the trie, and puts the ids together by gathers. The text of a special
-token is that token. Null texts count as empty; there is no limit on the length of texts or words.
+bounded cache, sends the rest through the trie, and puts the ids together by gathers. Words are looked up by hash and
+compared, so two words of one hash are told apart. The text of a special token is that token.
+
+Null and empty texts have no ids; there is no limit on the length of texts or words. Every row gives one row, whatever its id:
+null and repeated ids, repeated rows and ties are carried along. An empty table gives an empty one. Columns of the input
+other than the id and the text are not looked at, so their names may clash with those of the result.
 """
 
 from __future__ import annotations
@@ -214,16 +218,16 @@ class TextEncoder:
         self.encode_words = self.model.encode_words if trie else self.model.library_words
         self.kinds, self.numbers = _code_tables(path)
         self._special = [(x.encode(), k) for x, k in self.model.special.items()]
+        self.seed = 0
         self._reset()
 
     def _reset(self) -> None:
         self.slots: dict[int, int] = {}
+        self.words: list[str] = []  # of each slot
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _add(self, hashes: list[int], words: list[str]) -> None:
-        if len(self.slots) + len(hashes) > self.most:
-            self._reset()
         raw = [w.encode() for w in words]
         special = self.model.special
         known = self.encode_words([b for b, w in zip(raw, words, strict=True) if w not in special])
@@ -238,6 +242,7 @@ class TextEncoder:
         self.begin[first : first + len(ids)] = self.used + np.cumsum(sizes) - sizes
         self.size[first : first + len(ids)] = sizes
         self.slots.update(zip(hashes, range(first, first + len(ids)), strict=True))
+        self.words += words
         self.used += total
 
     def _bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,6 +259,29 @@ class TextEncoder:
                     at = raw.find(text, at + 1)
         return np.union1d(offsets, np.array(cuts, np.int64)), np.array(own, np.int64)
 
+    def _slots_of(self, text: str, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The cache slot of each word. Words of one hash are compared: if any two differ, all is hashed anew by other numbers."""
+        lens = np.diff(starts, append=len(codes))
+        while True:
+            hashes = K.run_hashes(self.numbers[codes], lens, self.seed)
+            distinct, first, where = np.unique(hashes, return_index=True, return_inverse=True)
+            model = first[where]  # the word that stands for each
+            same = len(model) == 0 or ((lens[model] == lens).all() and (codes[np.repeat(starts[model], lens) + K.ranges(lens)] == codes[starts[0] :]).all())
+            keys, words = distinct.tolist(), [text[a:b] for a, b in zip(starts[first].tolist(), (starts + lens)[first].tolist(), strict=True)]
+            known = list(map(self.slots.get, keys))
+            if same and all(k is None or self.words[k] == w for k, w in zip(known, words, strict=True)):
+                break
+            self.seed += 1
+            self._reset()
+        missing = [i for i, k in enumerate(known) if k is None]
+        if missing:
+            if len(self.slots) + len(missing) > self.most:
+                self._reset()
+                missing = range(len(keys))
+            self._add([keys[i] for i in missing], [words[i] for i in missing])
+            known = map(self.slots.__getitem__, keys)
+        return np.fromiter(known, np.int64, len(keys))[where]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, n + 1 offsets into them) of the n texts of a slice."""
         text = data.tobytes().decode("utf-8")
@@ -261,26 +289,14 @@ class TextEncoder:
         char_at = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
         bounds, own = self._bounds(data, offsets)
         starts = word_starts(codes, char_at[bounds], self.kinds)
-        for at in own:
-            a, b = char_at[at], char_at[bounds[np.searchsorted(bounds, at) + 1]]
-            starts = starts[(starts <= a) | (starts >= b)]
+        if len(own):  # a special token is one word: no start inside it
+            own = np.sort(own)
+            firsts, ends = char_at[own], char_at[bounds[np.searchsorted(bounds, own) + 1]]
+            before = np.searchsorted(firsts, starts, "left") - 1  # the last token that begins before each start
+            starts = starts[(before < 0) | (starts >= ends[before])]
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        lens = np.diff(starts, append=len(codes))
-        hashes = K.run_hashes(self.numbers[codes], lens)
-        distinct, first, where = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        get = self.slots.get
-        missing = [i for i, k in enumerate(keys) if k not in self.slots]
-        if missing:
-            if len(self.slots) + len(missing) > self.most:
-                self._reset()
-                missing = list(range(len(keys)))
-            a = starts[first[missing]].tolist()
-            b = (starts[first[missing]] + lens[first[missing]]).tolist()
-            self._add([keys[i] for i in missing], [text[x:y] for x, y in zip(a, b, strict=True)])
-            get = self.slots.get
-        slot = np.fromiter(map(get, keys), np.int64, len(keys))[where]
+        slot = self._slots_of(text, codes, starts)
         sizes = self.size[slot]
         ids = self.pool[np.repeat(self.begin[slot], sizes) + K.ranges(sizes)]
         ends = np.concatenate(([0], np.cumsum(sizes)))

@@ -3,6 +3,10 @@
 Texts of an Arrow batch are handled in slices of a few MB, so working memory is bounded by the
 slice (or by the longest single text). A word is a maximal run of bytes outside
 ``\\x20 \\x09-\\x0D``; the delimiters are ASCII, so UTF-8 sequences are never cut.
+
+Hashes are sums of character codes times multipliers of their places, both random 64-bit numbers: unlike powers of
+one base, the multipliers have no structure that texts could repeat. Operators that need words told apart for certain
+(the tokenisers) compare the words of equal hashes.
 """
 
 from __future__ import annotations
@@ -23,7 +27,6 @@ _LOWER[65:91] += 32
 _NORMAL = _LOWER.copy()
 _NORMAL[48:58] = 48
 _IDENTITY = np.arange(256, dtype=np.uint8)
-_BASE = 0x9E3779B97F4A7C13
 
 
 def _give_back() -> None:
@@ -75,17 +78,15 @@ def random_table(size: int, seed: int) -> np.ndarray:
 
 
 _BYTE_CODE = random_table(256, 11)
-_powers = np.ones(1, np.uint64)
+_multipliers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        size = max(1024, 2 * n)
-        steps = np.full(size, _BASE, np.uint64)
-        steps[0] = 1
-        _powers = np.cumprod(steps, dtype=np.uint64)
-    return _powers
+def multipliers(n: int, seed: int = 0) -> np.ndarray:
+    """A random number for each of the first ``n`` places, at least; other seeds give other numbers."""
+    known = _multipliers.get(seed)
+    if known is None or len(known) < n:
+        known = _multipliers[seed] = random_table(max(1024, 2 * n), 0xA24BAED4963EE407 + seed)
+    return known
 
 
 def ranges(lens: np.ndarray) -> np.ndarray:
@@ -96,12 +97,12 @@ def ranges(lens: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1], dtype=np.int64) - np.repeat(ends - lens, lens)
 
 
-def run_hashes(codes: np.ndarray, lens: np.ndarray) -> np.ndarray:
+def run_hashes(codes: np.ndarray, lens: np.ndarray, seed: int = 0) -> np.ndarray:
     """A hash for each run of ``codes``; runs lie one after the other and none is empty."""
     if not len(lens):
         return np.zeros(0, np.uint64)
     ends = np.cumsum(lens)
-    terms = codes * powers(int(lens.max()))[ranges(lens)]
+    terms = codes * multipliers(int(lens.max()), seed)[ranges(lens)]
     return mix(np.add.reduceat(terms, ends - lens) + lens.astype(np.uint64))
 
 
@@ -160,7 +161,7 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
     for k in range(width):
-        out += hashes[k : k + n] * powers(width)[k]
+        out += hashes[k : k + n] * multipliers(width)[k]
     return mix(out + np.uint64(width))
 
 
