@@ -9,15 +9,23 @@ postings, joined on the n-gram, with filters on length, position and suffix, the
 
 Postings of one n-gram are not paired with each other. First each is compared with the list's hub, which
 links most groups; then only lists that still hold several components are taken up, pairing nodes outside
-its largest component with the rest. A pair inside one component can't change the result, so no link between components is lost.
+its largest component with the rest, block by block. A pair inside one component can't change the result, so no link between
+components is lost. Every posting has a summary of the suffix after its place: how many n-grams lie in each of 32 ranges of
+hashes. What two suffixes don't share is at least the sum of the differences of these counts (the suffix filter, with all
+five halvings made at once).
 
 Counting: documents are hashed twice from their texts (cheaper than keeping the sets). The first pass finds
 n-grams that fill more than a share of the documents; their count is their order, and they are not dealt out
-by n-gram, so no list grows past that share. The second deals (n-gram, node) blobs by n-gram, where
-frequencies are counted, and back by node.
+by n-gram, so no list to be counted grows past that share. The second deals (n-gram, node) blobs by n-gram, where
+frequencies are counted, and back by node. A blob writer deals to a bounded number of keys; where more parts are
+needed, blobs are dealt again, level by level, so the number of blobs grows with the input and not with its square. Postings
+of one n-gram and neighbours of one node meet in joins that salt them.
 
 Null, empty and blank texts have no n-grams and link with nothing; texts shorter than n words are one n-gram.
-Null and repeated ids keep their rows. n-grams are told apart by hashes.
+Every row gives one row. Repeated rows and rows of equal texts are one node; of equal ids each row has its own text's
+component. A null id is never a component's id unless all ids of it are null. Ids keep their type, and the smallest by its order
+names the component, so ties have one result. An empty table gives an empty one. Other columns of the input aren't looked at, so
+their names may clash. n-grams and sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,25 +34,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.llm import textkernel as K
 from gridweave.llm.components import connected_components
-from gridweave.llm.spark_util import cut
+from gridweave.llm.spark_util import cut, spread_join
 
 NGRAM = 5
 #: Similarity threshold as a fraction of whole numbers.
 OVER, UNDER = 80, 100
-#: Counters of the first pass, and the share of documents from which an n-gram counts as frequent.
-COUNTER_BITS, FREQUENT_SHARE = 18, 0.01
-#: (n-gram, node) entries counted by one task, gathered by one blob, and hash parts of the suffix filter.
-ENTRIES_PER_TASK, ENTRIES_PER_BLOB, SUFFIX_BITS = 1_500_000, 2_000_000, 2048
+#: Counters of the first pass; n-grams in more than this share of the documents, or this many, count as frequent.
+COUNTER_BITS, FREQUENT_SHARE, FREQUENT_MOST = 22, 0.005, 200_000
+#: (n-gram, node) entries counted by one task and gathered by one blob; keys that one blob writer deals to.
+ENTRIES_PER_TASK, ENTRIES_PER_BLOB, FAN = 1_500_000, 2_000_000, 256
+#: Hash ranges of the suffix filter (8 to a number, a byte each), and postings in a block of a list.
+SUFFIX_PARTS, LIST_BLOCK = 32, 1000
 
 _SHIFT = np.uint64(64 - COUNTER_BITS)
-#: Sizes of sets go by 64 bits of a hash; these 48 are sent and compared.
-_SENT_BITS = 48
-_SENT = np.uint64(2**64 - 2 ** (64 - _SENT_BITS))
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -66,15 +74,16 @@ def _set_key(grams: np.ndarray) -> int:
     return int(K.mix(np.array([K.mix(grams).sum() + np.uint64(len(grams))], np.uint64)).view(np.int64)[0])
 
 
-def _first_pass(width: int, share: float):
-    """Rows of kind 0: id, node, n of each document; of kind 1: counter, count, for counters that are frequent here.
+def _first_pass(width: int):
+    """Rows of kind 0: id, node, n of each document; of kind 1: counter, count, for counters that stand out here.
 
-    An n-gram frequent in the whole is frequent in some task. Copies within a task count once."""
+    An n-gram that stands out in the whole does in some task. Copies within a task count once."""
 
     @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, seen, total = np.zeros(1 << COUNTER_BITS, np.int64), set(), 0
+        counters, seen, total, kind = np.zeros(1 << COUNTER_BITS, np.uint32), set(), 0, None
         for batch in batches:
+            kind = batch.column("id").type
             data, offsets = K.string_buffers(batch.column("text"))
             nodes, sizes = [], []
             for _, _, part, at in K.slices(data, offsets):
@@ -89,14 +98,13 @@ def _first_pass(width: int, share: float):
                 if fresh:
                     where = (np.concatenate(fresh) >> _SHIFT).astype(np.int64)
                     total += len(where)
-                    counters += np.bincount(where, minlength=len(counters))
+                    np.add.at(counters, where, np.uint32(1))
             n = len(nodes)
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int8)), batch.column("id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], ["kind", "id", "node", "n"])
-        hot = np.flatnonzero(counters > max(64, share * len(seen), 4 * total / len(counters)))
+        hot = np.flatnonzero(counters > max(4, 4 * total / len(counters), FREQUENT_SHARE / 4 * len(seen)))
         if len(hot):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hot), np.int8)), pa.nulls(len(hot), kind), pa.array(hot), pa.array(counters[hot])], ["kind", "id", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(hot), np.int8)), pa.nulls(len(hot), kind), pa.array(hot), pa.array(counters[hot].astype(np.int64))], ["kind", "id", "node", "n"])
 
-    kind = pa.int64()
     return run
 
 
@@ -133,37 +141,47 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _BLOB_NAMES)
 
 
-def _second_pass(width: int, n_gram_parts: int, n_node_parts: int, frequent):
-    """Blobs of (n-gram, node) by n-gram, and blobs of (node, n, frequent n-grams) by node."""
-
-    def flush(nodes: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _by_node(ids: np.ndarray, sizes: np.ndarray | None, grams: np.ndarray, where: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """One blob for each key of ``keys`` (one per node): its nodes and their entries."""
+    place, rows = np.empty(len(ids), np.int64), []
+    entry_order = np.argsort(keys[where], kind="stable")
+    bounds = np.searchsorted(keys[where][entry_order], np.unique(keys))
+    for n, (k, own) in enumerate(zip(*_groups(keys, np.argsort(keys, kind="stable")), strict=True)):
+        place[own] = np.arange(len(own))
+        mine = entry_order[bounds[n] : bounds[n + 1] if n + 1 < len(bounds) else len(where)]
+        mine = mine[np.argsort(grams[mine])]
+        rows.append(_blob(int(k), ids[own], None if sizes is None else sizes[own], grams[mine], place[where[mine]], counts[mine]))
+    return _table(rows)
+
+
+def _by_gram(ids: np.ndarray, grams: np.ndarray, where: np.ndarray, level: tuple[int, int], number: int) -> Iterator[pa.RecordBatch]:
+    """One blob for each range of n-grams of the level. ``number`` tells writers apart: a range's blobs are dealt to so many
+    keys that each gets about one task's share."""
+    parts, salts = level
+    order = np.argsort(grams)
+    grams, where = grams[order], where[order]
+    part = _part(grams, parts)
+    bounds = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, int)
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        used, local = np.unique(where[a:b], return_inverse=True)
+        yield _table([_blob(int(part[a]) * salts + number % salts, ids[used], None, grams[a:b], local)])
+
+
+def _second_pass(width: int, level: tuple[int, int], frequent):
+    """Blobs of (n-gram, node) by n-gram; and of (node, n, frequent n-grams), with negative keys."""
+
+    def flush(nodes: list[int], sets: list[np.ndarray], number: int) -> Iterator[pa.RecordBatch]:
         counts = frequent.value
         ids, sizes = np.array(nodes, np.int64), np.array([len(x) for x in sets], np.int64)
-        grams, where = np.concatenate(sets) & _SENT, np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
+        grams, where = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
         count = counts[(grams >> _SHIFT).astype(np.int64)]
-        part = (ids.view(np.uint64) % np.uint64(n_node_parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        hot = np.flatnonzero(count)
-        place = np.empty(len(ids), np.int64)
-        rows = []
-        for k, own in zip(*_groups(part, order), strict=True):
-            place[own] = np.arange(len(own))
-            mine = hot[np.isin(where[hot], own)]
-            mine = mine[np.argsort(grams[mine])]
-            rows.append(_blob(n_gram_parts + int(k), ids[own], sizes[own], grams[mine], place[where[mine]], count[mine]))
-        yield _table(rows)
-        rest = np.flatnonzero(count == 0)
-        grams, where = grams[rest], where[rest]
-        order = np.argsort(grams)
-        grams, where = grams[order], where[order]
-        part = _part(grams, n_gram_parts)
-        bounds = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, int)
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            used, local = np.unique(where[a:b], return_inverse=True)
-            yield _table([_blob(int(part[a]), ids[used], None, grams[a:b], local)])
+        hot, rest = np.flatnonzero(count), np.flatnonzero(count == 0)
+        yield _by_node(ids, sizes, grams[hot], where[hot], count[hot], np.full(len(ids), -1 - number % (level[0] * level[1])))
+        yield from _by_gram(ids, grams[rest], where[rest], level, number)
 
     @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() * 7919
         nodes, sets, seen, held = [], [], set(), 0
         for batch in batches:
             data, offsets = K.string_buffers(batch.column("text"))
@@ -175,10 +193,45 @@ def _second_pass(width: int, n_gram_parts: int, n_node_parts: int, frequent):
                         sets.append(grams)
                         held += len(grams)
                 if held >= ENTRIES_PER_BLOB:
-                    yield from flush(nodes, sets)
-                    nodes, sets, held = [], [], 0
+                    yield from flush(nodes, sets, number)
+                    nodes, sets, held, number = [], [], 0, number + 1
         if sets:
-            yield from flush(nodes, sets)
+            yield from flush(nodes, sets, number)
+
+    return run
+
+
+def _levels(parts: int) -> list[tuple[int, int]]:
+    """(ranges, keys per range) of each dealing: a level has at most FAN times the ranges of the one before, and ends with
+    ``parts``; all have about ``parts`` keys, so tasks are alike."""
+    steps = 1
+    while FAN**steps < parts:
+        steps += 1
+    counts = [min(parts, FAN**k) for k in range(1, steps)] + [parts]
+    return [(n, -(-parts // n)) for n in counts]
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> tuple[list, list]:
+    """n-grams and nodes of blobs."""
+    grams, nodes = [], []
+    for batch in batches:
+        for ids, own, where in zip(batch.column("nodes"), batch.column("grams"), batch.column("where"), strict=True):
+            grams.append(_unsqueeze(own.as_py()))
+            nodes.append(np.frombuffer(ids.as_py(), np.int64)[_unplanes(where.as_py(), ">u4")])
+    return grams, nodes
+
+
+def _deal_again(level: tuple[int, int]):
+    """Blobs of a range of n-grams, dealt to the ranges of the next level."""
+
+    @K.tidy_group
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if key[0].as_py() < 0:
+            yield from batches
+            return
+        grams, nodes = map(np.concatenate, _entries(batches))
+        ids, where = np.unique(nodes, return_inverse=True)
+        yield from _by_gram(ids, grams, where, level, key[0].as_py() * 7919)
 
     return run
 
@@ -197,21 +250,20 @@ def _groups(keys: np.ndarray, order: np.ndarray) -> tuple[list, list]:
     return ranked[cuts].tolist(), np.split(order, cuts[1:])
 
 
-def _count(n_gram_parts: int, n_node_parts: int):
+def _node_key(ids: np.ndarray, level: tuple[int, int], number: int) -> np.ndarray:
+    return _part(ids.view(np.uint64), level[0]) * level[1] + number % level[1]
+
+
+def _count(level: tuple[int, int]):
     """Of all blobs of one range of n-grams: the entries in two nodes or more, with frequencies, by node."""
 
     @K.tidy_group
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key[0].as_py() >= n_gram_parts:
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([pa.array(batch.column("key").to_numpy() - n_gram_parts), *batch.columns[1:]], _BLOB_NAMES)
+        number = key[0].as_py()
+        if number < 0:
+            yield from _nodes_dealt(batches, level, number)
             return
-        grams, nodes = [], []
-        for batch in batches:
-            for ids, own, where in zip(batch.column("nodes"), batch.column("grams"), batch.column("where"), strict=True):
-                grams.append(_unsqueeze(own.as_py()))
-                nodes.append(np.frombuffer(ids.as_py(), np.int64)[_unplanes(where.as_py(), ">u4")])
-        grams, nodes = np.concatenate(grams), np.concatenate(nodes)
+        grams, nodes = map(np.concatenate, _entries(batches))
         order = np.argsort(grams, kind="stable")
         shared = np.zeros(len(order), bool)
         same = grams[order][1:] == grams[order][:-1]
@@ -226,11 +278,30 @@ def _count(n_gram_parts: int, n_node_parts: int):
         starts = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.zeros(0, int)
         counts = np.repeat(np.diff(starts, append=len(grams)), np.diff(starts, append=len(grams)))
         many = counts > 1
-        grams, nodes, counts = grams[many], nodes[many], counts[many]
-        part = (nodes.view(np.uint64) % np.uint64(n_node_parts)).astype(np.int64)
-        for k, own in zip(*_groups(part, np.argsort(part, kind="stable")), strict=True):
-            used, local = np.unique(nodes[own], return_inverse=True)
-            yield _table([_blob(int(k), used, None, grams[own], local, counts[own])])
+        ids, where = np.unique(nodes[many], return_inverse=True)
+        if len(ids):
+            yield _by_node(ids, None, grams[many], where, counts[many], _node_key(ids, level, number))
+
+    return run
+
+
+def _nodes_dealt(batches: Iterator[pa.RecordBatch], level: tuple[int, int], number: int) -> Iterator[pa.RecordBatch]:
+    """Blobs of nodes by the ranges of the level; those with the sizes of sets (frequent n-grams) and others apart."""
+    kinds: dict[bool, list] = {True: [], False: []}
+    for batch in batches:
+        for ids, sizes, own, where, count in zip(*batch.columns[1:], strict=True):
+            kinds[sizes.is_valid].append((np.frombuffer(ids.as_py(), np.int64), np.frombuffer(sizes.as_py() or b"", np.uint32), _unsqueeze(own.as_py()), _unplanes(where.as_py(), ">u4").astype(np.int64), np.frombuffer(count.as_py(), np.uint32)))
+    for sized, blobs in kinds.items():
+        if blobs:
+            first = np.cumsum([0, *(len(b[0]) for b in blobs[:-1])])
+            ids, sizes, grams, where, counts = (np.concatenate([b[k] + f if k == 3 else b[k] for b, f in zip(blobs, first, strict=True)]) for k in range(5))
+            yield _by_node(ids, sizes if sized else None, grams, where, counts, _node_key(ids, level, number))
+
+
+def _deal_nodes_again(level: tuple[int, int]):
+    @K.tidy_group
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _nodes_dealt(batches, level, key[0].as_py() * 7919)
 
     return run
 
@@ -261,83 +332,100 @@ def _assemble(over: int, under: int):
         grams, nodes = grams[fresh], nodes[fresh]
         begin, end = np.searchsorted(nodes, known), np.searchsorted(nodes, known, "right")
         enough = np.flatnonzero((end - begin) * under >= n * over)
-        for at in range(0, len(enough), 2000):
-            own = enough[at : at + 2000]
-            u = (end - begin)[own]
-            take = np.repeat(begin[own], u) + K.ranges(u)
-            held = np.zeros((len(own), SUFFIX_BITS), bool)
-            held[np.repeat(np.arange(len(own)), u), (grams[take] >> np.uint64(64 - _SENT_BITS) & np.uint64(SUFFIX_BITS - 1)).astype(int)] = True
-            bits = np.packbits(held, axis=1).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(u))), pa.int32()), pa.array(K.signed(grams[take])))
-            rests = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, bits.shape[1]), pa.int32()), pa.array(bits.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(known[own]), pa.array(n[own]), pa.array(u), lists, rests], ["node", "n", "u", "grams", "bits"])
+        parts = (grams >> np.uint64(59)).astype(np.int64)
+        yield from (_with_suffixes(known[own], n[own], (end - begin)[own], begin[own], grams, parts, over, under) for own in np.split(enough, range(500, len(enough), 500)))
 
     return run
 
 
+def _with_suffixes(nodes: np.ndarray, n: np.ndarray, u: np.ndarray, begin: np.ndarray, grams: np.ndarray, parts: np.ndarray, over: int, under: int) -> pa.RecordBatch:
+    """Nodes, their n-grams in order, and for each place of the prefix four numbers with the sizes of the suffix's ranges."""
+    prefix = u - (n * over + under - 1) // under + 1
+    summaries = []
+    for first, k, places in zip(begin.tolist(), u.tolist(), prefix.tolist(), strict=True):
+        held = np.bincount(parts[first : first + k], minlength=SUFFIX_PARTS)
+        gone = np.zeros((places, SUFFIX_PARTS), np.int64)
+        gone[np.arange(places), parts[first : first + places]] = 1
+        left = held - np.cumsum(gone, axis=0)
+        summaries.append(np.minimum(left, 255).astype(np.uint8).view(np.int64).ravel())
+    taken = np.repeat(begin, u) + K.ranges(u)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(u))), pa.int32()), pa.array(K.signed(grams[taken])))
+    suffixes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(prefix * (SUFFIX_PARTS // 8)))), pa.int32()), pa.array(np.concatenate([*summaries, np.zeros(0, np.int64)])))
+    return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(n), pa.array(u), lists, suffixes], ["node", "n", "u", "grams", "suffixes"])
+
+
 def _needed(over: int, under: int, a: str, b: str) -> str:
     """SQL: the smallest intersection with which sets of sizes a and b link."""
     return f"(({a} + {b}) * {over} + {under + over - 1}) div {under + over}"
 
 
 def _suffix(over: int, under: int, a: str, b: str) -> Column:
-    """Suffix filter: what two sets don't share is at least the hash parts that only one of them fills."""
-    apart = " + ".join(f"bit_count({a}.bits[{k}] ^ {b}.bits[{k}])" for k in range(SUFFIX_BITS // 64))
-    return F.expr(f"{a}.u + {b}.u - ({apart}) >= 2 * ({_needed(over, under, f'{a}.n', f'{b}.n')})")
+    """Suffix filter for two postings of one n-gram, the first that their sets share: apart from it they can only share
+    n-grams of both suffixes, and these differ in as many as their ranges do in size."""
+    byte = lambda x, k: f"(shiftright({x}.suffix[{k // 8}], {8 * (k % 8)}) & 255L)"
+    apart = " + ".join(f"abs({byte(a, k)} - {byte(b, k)})" for k in range(SUFFIX_PARTS))
+    return F.expr(f"{a}.n - {a}.pos + {b}.n - {b}.pos - 2 - ({apart}) >= 2 * ({_needed(over, under, f'{a}.n', f'{b}.n')} - 1)")
+
+
+def _promising(over: int, under: int, a: str, b: str) -> Column:
+    """Length, positional and suffix filter for two postings (structs) of one n-gram."""
+    length = f"least({a}.n, {b}.n) * {under} >= greatest({a}.n, {b}.n) * {over}"
+    position = f"least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {_needed(over, under, f'{a}.n', f'{b}.n')}"
+    return F.expr(f"{length} AND {position}") & _suffix(over, under, a, b)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, over: int, under: int) -> DataFrame:
     """Of (a, b) pairs, each tested once: those that link."""
-    side = lambda k: sets.select(F.col("node").alias(k), F.struct("n", "u", "grams", "bits").alias(f"s{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_suffix(over, under, "sa", "sb"))
+    side = lambda k: sets.select(F.col("node").alias(k), F.struct("n", "grams").alias(f"s{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.where(f"size(array_intersect(sa.grams, sb.grams)) >= {_needed(over, under, 'sa.n', 'sb.n')}").select("a", "b")
 
 
-def _promising(over: int, under: int, a: str, b: str) -> Column:
-    """Length and positional filter for two postings (structs) of one n-gram."""
-    length = f"least({a}.n, {b}.n) * {under} >= greatest({a}.n, {b}.n) * {over}"
-    position = f"1 + least({a}.n - {a}.pos, {b}.n - {b}.pos) - 1 >= {_needed(over, under, f'{a}.n', f'{b}.n')}"
-    return F.expr(f"{length} AND {position}")
-
-
 def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: int = UNDER, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(id, node, n) of every document, and the nodes that could link: node, n, u, grams, bits."""
     spark = docs.sparkSession
-    named = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    first = cut(named.mapInArrow(_first_pass(width, FREQUENT_SHARE), "kind tinyint, id bigint, node bigint, n bigint"))
+    named = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    first = cut(named.mapInArrow(_first_pass(width), f"kind tinyint, id {dict(named.dtypes)['id']}, node bigint, n bigint"))
     members = first.where("kind = 0").select("id", "node", "n")
     total, n_docs = members.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    least = max(64, 4 * total / (1 << COUNTER_BITS), min(FREQUENT_SHARE / 2 * n_docs, FREQUENT_MOST))
     frequent = np.zeros(1 << COUNTER_BITS, np.uint32)
-    for k, n in first.where("kind = 1").groupBy("node").agg(F.sum("n")).where(F.col("sum(n)") > FREQUENT_SHARE * n_docs / 2).collect():  # one row per counter at most
+    for k, n in first.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).where(F.col("n") > least).collect():  # one row per counter at most
         frequent[k] = min(n, 2**32 - 1)
-    parts = max(4, -(-int(total) // ENTRIES_PER_TASK))
-    blobs = named.mapInArrow(_second_pass(width, parts, parts, spark.sparkContext.broadcast(frequent)), _BLOB)
-    counted = blobs.groupBy("key").applyInArrow(_count(parts, parts), _BLOB)
-    sets = counted.groupBy("key").applyInArrow(_assemble(over, under), "node bigint, n bigint, u bigint, grams array<bigint>, bits array<bigint>")
+    levels = _levels(max(4, -(-int(total) // ENTRIES_PER_TASK)))
+    blobs = named.mapInArrow(_second_pass(width, levels[0], spark.sparkContext.broadcast(frequent)), _BLOB)
+    for level in levels[1:]:
+        blobs = blobs.groupBy("key").applyInArrow(_deal_again(level), _BLOB)
+    blobs = blobs.groupBy("key").applyInArrow(_count(levels[0]), _BLOB)
+    for level in levels[1:]:
+        blobs = blobs.groupBy("key").applyInArrow(_deal_nodes_again(level), _BLOB)
+    sets = blobs.groupBy("key").applyInArrow(_assemble(over, under), "node bigint, n bigint, u bigint, grams array<bigint>, suffixes array<bigint>")
     return members, cut(sets)
 
 
 def ngram_links(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFrame:
     """a, b: verified links that connect the same nodes as all links do."""
-    kept = sets.select("node", "n", "u", F.expr(f"slice(grams, 1, int(u - ((n * {over} + {under - 1}) div {under}) + 1))").alias("prefix"))
-    postings = kept.select("node", "n", F.posexplode("prefix").alias("k", "gram"), (F.col("n") - F.col("u")).alias("before")).select("gram", F.struct("node", "n", (F.col("before") + F.col("k")).alias("pos")).alias("p"))
-    hubs = postings.groupBy("gram").agg(F.min("p").alias("hub"), F.count("*").alias("lists")).where("lists > 1").select("gram", "hub")
-    postings = cut(postings.join(hubs, "gram"))
+    kept = sets.select("node", "n", "u", "suffixes", F.expr(f"slice(grams, 1, int(u - ((n * {over} + {under - 1}) div {under}) + 1))").alias("prefix"))
+    width = SUFFIX_PARTS // 8
+    places = kept.select("node", "n", "suffixes", F.posexplode("prefix").alias("k", "gram"), (F.col("n") - F.col("u")).alias("before"))
+    postings = places.select("gram", F.struct("node", "n", (F.col("before") + F.col("k")).alias("pos"), F.slice("suffixes", F.col("k") * width + 1, F.lit(width)).alias("suffix")).alias("p"))
+    hubs = postings.groupBy("gram").agg(F.min("p").alias("hub"), F.count("*").alias("lists")).where("lists > 1")
+    postings = cut(spread_join(postings, ["gram"], ["p.node"], hubs))
     pairs = postings.where("p.node <> hub.node").where(_promising(over, under, "hub", "p")).select(F.col("hub.node").alias("a"), F.col("p.node").alias("b")).distinct()
     links = cut(_verified(pairs, sets, over, under))
     labels = connected_components(links)
-    labelled = postings.select("gram", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "p", F.coalesce("component", "node").alias("c"))
+    labelled = postings.select("gram", "lists", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "lists", "p", F.coalesce("component", "node").alias("c"))
     # Of lists with several components still, nodes outside the largest are compared with it and with each other.
     groups = labelled.groupBy("gram", "c").agg(F.count("*").alias("m"))
     mixed = groups.groupBy("gram").agg(F.max_by("c", F.struct("m", "c")).alias("major"), F.count("*").alias("groups")).where("groups > 1").select("gram", "major")
-    filters = sets.select("node", "u", "bits")
-    members = labelled.join(mixed, "gram").withColumn("node", F.col("p.node")).join(filters, "node")
-    members = cut(members.select("gram", "major", "c", F.struct("p.node", "p.n", "p.pos", "u", "bits").alias("p")))
-    minor = members.where("c <> major").select("gram", F.col("c").alias("ca"), F.col("p").alias("pa"))
-    others = members.select("gram", "major", F.col("c").alias("cb"), F.col("p").alias("pb"))
-    apart = F.expr("ca <> cb AND (cb = major OR ca < cb)") & _promising(over, under, "pa", "pb") & _suffix(over, under, "pa", "pb")
-    rest = minor.join(others, (minor["gram"] == others["gram"]) & apart)
-    rest = rest.select(F.least("pa.node", "pb.node").alias("a"), F.greatest("pa.node", "pb.node").alias("b")).distinct()
+    members = cut(spread_join(labelled, ["gram"], ["p.node"], mixed).select("gram", "major", "c", "p", F.expr(f"int((lists + {LIST_BLOCK - 1}) div {LIST_BLOCK})").alias("blocks")))
+    # A long list is a square of blocks, each pair of blocks a key of its own.
+    block = F.pmod(F.xxhash64("p.node", "gram"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    minor = members.where("c <> major").select("gram", F.col("c").alias("ca"), F.col("p").alias("pa"), block.alias("i"), F.explode(every).alias("j"))
+    others = members.select("gram", "major", F.col("c").alias("cb"), F.col("p").alias("pb"), F.explode(every).alias("i"), block.alias("j"))
+    both = minor.join(others, ["gram", "i", "j"]).where(F.expr("ca <> cb AND (cb = major OR ca < cb)") & _promising(over, under, "pa", "pb"))
+    rest = both.select(F.least("pa.node", "pb.node").alias("a"), F.greatest("pa.node", "pb.node").alias("b")).distinct()
     return links.unionByName(_verified(rest, sets, over, under))
 
 
@@ -347,7 +435,8 @@ def ngram_components(docs: DataFrame, width: int = NGRAM, over: int = OVER, unde
     labels = connected_components(ngram_links(sets, over, under))
     nodes = members.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     grouped = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = cut(grouped).groupBy("component").agg(F.min("least").alias("component_id"))
-    by_node = grouped.join(least, "component").select("node", "component_id")
-    named = members.join(by_node, "node", "left")
+    grouped = cut(grouped)
+    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_node = spread_join(grouped, ["component"], ["node"], least).select("node", "component_id")
+    named = spread_join(members, ["node"], ["id"], by_node, "left")  # copies of one text are one node
     return named.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -98,15 +98,48 @@ def test_ngram_join_matches_brute_force(spark):
 
 
 def test_ngram_join_frequent_ngrams(spark, monkeypatch):
-    """With the limits down, frequent n-grams, several blobs and several tasks are all in play."""
-    for name, value in (("FREQUENT_SHARE", 0.02), ("ENTRIES_PER_TASK", 3000), ("ENTRIES_PER_BLOB", 2000)):
+    """With the limits down, frequent n-grams, several blobs, levels, blocks and tasks are all in play."""
+    for name, value in (("ENTRIES_PER_TASK", 1000), ("ENTRIES_PER_BLOB", 2000), ("FAN", 3), ("LIST_BLOCK", 7)):
         monkeypatch.setattr(ngram_join, name, value)
+    assert ngram_join._levels(20) == [(3, 7), (9, 3), (20, 1)] and ngram_join._levels(3) == [(3, 1)]
     rng = random.Random(5)
     passage = [f"p{i}" for i in range(60)]
     rows = [(i, " ".join([*(passage if i % 2 else []), *(f"w{rng.randrange(9000)}" for _ in range(30 if i % 3 else 3))])) for i in range(400)]
+    # texts that share their rarest n-grams without linking: long lists of many components
+    rows += [(1000 + i, " ".join([*(f"q{k}" for k in range(12)), *(f"v{rng.randrange(3)} y{rng.randrange(3)}" for _ in range(12))])) for i in range(120)]
     assert rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(brute_components(rows), key=str)
 
 
+def test_suffix_filter_keeps_every_link(spark):
+    """Of all pairs that share an n-gram, no linked one fails the filters at the first that they share; many others do."""
+    rng = random.Random(6)
+    base = [[f"w{rng.randrange(60)}" for _ in range(80)] for _ in range(12)]
+    rows = []
+    for text in base:
+        for _ in range(8):
+            own = list(text)
+            for _ in range(rng.randrange(6)):
+                own[rng.randrange(len(own))] = f"w{rng.randrange(60)}"
+            rows.append((len(rows), " ".join(own)))
+    _, sets = ngram_join.ngram_nodes(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.node: r for r in sets.collect()}
+    width, kept, dropped = ngram_join.SUFFIX_PARTS // 8, 0, 0
+    for a, b in combinations(found.values(), 2):
+        shared = set(a.grams) & set(b.grams)
+        if not shared:
+            continue
+        at = [next(i for i, g in enumerate(x.grams) if g in shared) for x in (a, b)]
+        if any((i + 1) * width > len(x.suffixes) for i, x in zip(at, (a, b), strict=True)):
+            continue
+        sizes = [np.array(x.suffixes[i * width : (i + 1) * width], np.int64).view(np.uint8).astype(int) for i, x in zip(at, (a, b), strict=True)]
+        needed = -(-(a.n + b.n) * 80 // 180)
+        rest = [x.u - i - 1 for i, x in zip(at, (a, b), strict=True)]
+        passes = sum(rest) - np.abs(sizes[0] - sizes[1]).sum() >= 2 * (needed - 1)
+        assert passes or len(shared) < needed
+        kept, dropped = kept + passes, dropped + (not passes)
+    assert kept and dropped > 3 * kept
+
+
 # ---- personal data
 
 
