@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -37,24 +38,68 @@ def test_url_filter_matches_plain_search(spark):
 # ---- vectors
 
 
-def test_nearest_recall_scores_and_ties(spark):
-    rng = np.random.default_rng(2)
-    vectors = rng.normal(size=(3000, 16)).astype(np.float32)
-    vectors[1000:1400] = vectors[0]  # equal vectors, in ties with a query
+def found_and_recall(spark, vectors, extra=()):
+    """Neighbours of each query; the share of true ones found (any of equal distance counts), overall and for the worst tenth of queries."""
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
-    odd = [(5000, None), (5050, [0.0] * 16), (5100, [float("nan")] * 16), (5150, [1.0]), (5200, [None, *[1.0] * 15]), (None, [1.0] * 16)]
     got = {}
-    for r in ann.nearest(spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<float>").repartition(4)).orderBy("query_id", "rank").collect():
+    for r in ann.nearest(spark.createDataFrame([*rows, *extra], "vec_id bigint, embedding array<float>").repartition(4)).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert set(got) == set(range(0, 3000, 50)) and all(len(x) == 5 for x in got.values())
-    wide, hits = vectors.astype(np.float64), 0
+    assert set(got) == set(range(0, len(vectors), 50)) and all(len(x) == 5 for x in got.values())
+    wide, hits = vectors.astype(np.float64), []
     for q, found in got.items():
         score = (wide @ wide[q]) / (np.linalg.norm(wide, axis=1) * np.linalg.norm(wide[q]))
         score[q] = -2
-        hits += len({v for v, _ in found} & set(np.lexsort((np.arange(3000), -score.round(12)))[:5].tolist()))
-        assert all(abs(score[v] - s) < 1e-12 for v, s in found)
-    assert hits / (5 * len(got)) >= 0.9
-    assert [v for v, _ in got[0]] == [1000, 1001, 1002, 1003, 1004]
+        fifth = np.partition(score, -5)[-5]
+        hits.append(np.mean([score[v] >= fifth - 1e-12 for v, _ in found]))
+        assert all(abs(score[v] - s) < 1e-12 for v, s in found) and len({v for v, _ in found} - {q}) == 5
+    return got, np.mean(hits)
+
+
+@pytest.fixture
+def many_lists(monkeypatch):
+    """Small lists, so that few vectors make many."""
+    monkeypatch.setattr(ann, "LIST_VECTORS", 50)
+    monkeypatch.setattr(ann, "CHUNK", 150)
+
+
+def test_nearest_recall_scores_and_ties(spark, many_lists):
+    vectors = np.random.default_rng(2).normal(size=(3000, 16)).astype(np.float32)
+    vectors[1000:1400] = vectors[0]  # equal vectors, in ties with a query
+    odd = [(5000, None), (5050, [0.0] * 16), (5100, [float("nan")] * 16), (5150, [1.0]), (5200, [None, *[1.0] * 15]), (None, [1.0] * 16)]
+    got, recall = found_and_recall(spark, vectors, odd)
+    assert recall >= 0.9 and [v for v, _ in got[0]] == [1000, 1001, 1002, 1003, 1004]
+
+
+@pytest.mark.parametrize("shape", ["near cluster and outliers", "nine tenths equal", "clusters far apart", "lone outliers"])
+def test_nearest_recall_on_skewed_vectors(spark, many_lists, shape):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 16))
+    if shape == "near cluster and outliers":
+        vectors[rng.random(3000) < 0.7] = rng.normal(size=16)
+        vectors += rng.normal(size=(3000, 16)) * 1e-4
+    elif shape == "nine tenths equal":
+        vectors[rng.random(3000) < 0.9] = rng.normal(size=16)
+    elif shape == "clusters far apart":
+        vectors = rng.normal(size=(7, 16))[rng.integers(0, 7, 3000)] + rng.normal(size=(3000, 16)) * 0.01
+    else:  # queries are far from all else
+        vectors[:, 0] += 30
+        vectors[::50] = rng.normal(size=(60, 16))
+    _, recall = found_and_recall(spark, vectors.astype(np.float32))
+    assert recall >= 0.9
+
+
+def test_centroid_graph_finds_the_nearest(many_lists):
+    """The beam's first lists are those of a search of all, mostly, with only a part of them looked at."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(20, 8))[rng.integers(0, 20, 6000)] + rng.normal(size=(6000, 8)) * 0.2
+    index = ann.CentroidIndex(vectors, 6000)
+    unit = ann._unit(rng.permutation(vectors)[:300])
+    lists, d = index.search(unit, 16)
+    every = np.sqrt(((unit[:, None] - index.centroids) ** 2).sum(axis=2))
+    assert len(index.centroids) >= 100 and lists.shape == (300, 16) and (np.diff(d, axis=1) >= 0).all()
+    assert (lists[:, 0] == every.argmin(axis=1)).mean() > 0.97
+    true = np.argsort(every, axis=1)[:, :8]
+    assert np.mean([len(set(a) & set(b)) / 8 for a, b in zip(true, lists, strict=True)]) > 0.9
 
 
 def test_nearest_on_few_vectors(spark):
