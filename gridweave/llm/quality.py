@@ -2,35 +2,38 @@
 
 Each document gets counts of its own (words, symbols, repeated lines and windows). Its lines are
 normalised (A-Z lower-cased, digits as 0, white space runs as one blank), hashed, and counted over the
-distinct texts of its host. Lines in more texts than the host's limit are removed; a document that loses
-more than ``max_removed`` of its words is depleted and rejected.
+distinct documents of its host; a document counts once for a line, however often it has it. Lines in more documents than the limit
+are removed; a document that loses more than ``max_removed`` of its words is depleted and rejected.
 
-Null and empty texts have no words and fail the base rules. A null host counts as the empty host. Copies of a
-text count once in line frequencies, so that a text is not rejected for having copies. No step joins on
-document ids: null or repeated ids are kept as they come.
+Null and empty texts have no words and fail the base rules. A null host counts as the empty host. Every row is a document:
+repeated rows, and rows of equal or null ids, count one by one and are kept or rejected alike, as no step joins on ids. A line
+in exactly as many documents as the limit stays. An empty table gives an empty one. Other columns are carried along by
+``apply_quality_rules`` whatever their names, and left out by ``quality_rules``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridweave.llm import textkernel as K
-from gridweave.llm.spark_util import BROADCAST_ROWS, cut
+from gridweave.llm.spark_util import BROADCAST_ROWS, cut, spread_join
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-#: A line is limited if more texts of its host have it than this share of them, and than this many.
-LINE_SHARE, LINE_TEXTS = 0.05, 20
+#: A line in more documents of its host than this is limited. The number does not grow with the host.
+LINE_DOCS = 50
 MAX_REMOVED = 0.5
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_STATS = ", ".join(f"{c} bigint" for c in _COUNTS)
+_STATS, _LINES = ", ".join(f"{c} bigint" for c in _COUNTS), "lines array<struct<h: bigint, w: bigint>>"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 
@@ -98,11 +101,11 @@ def _slice_stats(data: np.ndarray, offsets: np.ndarray) -> tuple[dict, np.ndarra
     return out, lines.normal_hashes(words), lines.n_words, line_bounds
 
 
-def _stats_of(keep: list[str]):
+def _stats_of(keep: list[str], text: Callable[[pa.RecordBatch], pa.Array]):
     @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = K.string_buffers(batch.column("text"))
+            data, offsets = K.string_buffers(text(batch))
             for a, b, part, at in K.slices(data, offsets):
                 counts, hashes, n_words, bounds = _slice_stats(part, at)
                 h, w, ends = [], [], [0]
@@ -125,80 +128,106 @@ def base_failed() -> Column:
 
 
 def document_stats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """doc_id, host, text_key, the counts, and lines (hash and words of each distinct normalised line)."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"), F.col(text).alias("text"))
-    kind = dict(named.dtypes)["doc_id"]
-    return named.mapInArrow(_stats_of(["doc_id", "host", "text_key"]), f"doc_id {kind}, host string, text_key bigint, {_STATS}, lines array<struct<h: bigint, w: bigint>>")
+    """doc_id, host, the counts, and lines (hash and words of each distinct normalised line)."""
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col(text).alias("text"))
+    return named.mapInArrow(_stats_of(["doc_id", "host"], lambda b: b.column("text")), f"doc_id {dict(named.dtypes)['doc_id']}, host string, {_STATS}, {_LINES}")
 
 
-def limited_lines(stats: DataFrame, share: float = LINE_SHARE, texts: int = LINE_TEXTS) -> DataFrame:
-    """host, h: the lines above their host's limit, counted over distinct texts of the host."""
-    hosts = stats.groupBy("host").agg(F.count_distinct("text_key").alias("host_texts"))
-    lines = stats.select("host", "text_key", F.explode("lines.h").alias("h")).distinct().groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > texts)
-    return lines.join(hosts, "host").where(F.col("n") > share * F.col("host_texts")).select("host", "h")
+def limited_lines(stats: DataFrame, most: int = LINE_DOCS) -> DataFrame:
+    """host, h: the lines above the limit, counted over the documents of their host."""
+    lines = stats.select("host", F.explode("lines.h").alias("h"))
+    return lines.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > most).select("host", "h")
 
 
-def with_limited(df: DataFrame, stats: DataFrame, limits: DataFrame) -> DataFrame:
-    """``df`` (with host and text_key) and a column limited: the hashes of lines to remove from its texts.
-
-    A host's limited lines are few (at most lines a text / share); if all of them together are too many to
-    broadcast, each text gets its own by a join on the text's key instead."""
+def with_limited(stats: DataFrame, limits: DataFrame) -> tuple[DataFrame, Broadcast | None]:
+    """``stats`` and, if the limited lines are few enough, these by host for all tasks; if not, each document gets its own in a
+    column ``limited``, by joins on a number of its row."""
     limits = cut(limits)
-    if limits.count() <= BROADCAST_ROWS:
-        by_host = limits.groupBy("host").agg(F.collect_list("h").alias("limited"))
-        return df.join(F.broadcast(by_host), "host", "left")
-    lines = stats.select("host", "text_key", F.explode("lines.h").alias("h")).distinct()
-    by_text = lines.join(limits, ["host", "h"]).groupBy("host", "text_key").agg(F.collect_list("h").alias("limited"))
-    return df.join(by_text, ["host", "text_key"], "left")
+    if limits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        by_host = {r.host: np.sort(np.array(r.h, np.int64)) for r in limits.groupBy("host").agg(F.collect_list("h").alias("h")).collect()}
+        return stats, stats.sparkSession.sparkContext.broadcast(by_host)
+    numbered = cut(stats.withColumn("row", F.monotonically_increasing_id()))
+    own = spread_join(numbered.select("row", "host", F.explode("lines.h").alias("h")), ["host", "h"], ["row"], limits)
+    return numbered.join(own.groupBy("row").agg(F.collect_list("h").alias("limited")), "row", "left").drop("row"), None
+
+
+def _gone(batch: pa.RecordBatch, limits: Broadcast | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bounds of each row's lines, their hashes, which of them are limited) of a batch of stats."""
+    lines = batch.column("lines")
+    bounds = lines.offsets.to_numpy() - lines.offsets[0].as_py()
+    hashes = lines.flatten().field("h").to_numpy(zero_copy_only=False)
+    gone = np.zeros(len(hashes), bool)
+    row = np.repeat(np.arange(len(batch)), np.diff(bounds))
+    if limits is None:
+        limited = batch.column("limited")
+        for i in np.flatnonzero(limited.is_valid().to_numpy(zero_copy_only=False)):
+            gone[bounds[i] : bounds[i + 1]] = np.isin(hashes[bounds[i] : bounds[i + 1]], limited[int(i)].values.to_numpy())
+        return bounds, hashes, gone
+    hosts = batch.column("host").dictionary_encode()
+    codes = hosts.indices.to_numpy()[row]
+    for k, name in enumerate(hosts.dictionary.to_pylist()):
+        known = limits.value.get(name)
+        if known is not None:
+            mine = np.flatnonzero(codes == k)
+            place = np.minimum(np.searchsorted(known, hashes[mine]), len(known) - 1)
+            gone[mine] = known[place] == hashes[mine]
+    return bounds, hashes, gone
+
+
+def _judged(limits: Broadcast | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds, _, gone = _gone(batch, limits)
+            words = batch.column("lines").flatten().field("w").to_numpy(zero_copy_only=False)
+            columns = [batch.column(c) for c in ("doc_id", *_COUNTS)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(_per_doc(words * gone, bounds))], ["doc_id", *_COUNTS, "n_removed_words"])
+
+    return run
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", max_removed: float = MAX_REMOVED) -> DataFrame:
-    """One row per document: doc_id, the counts, base_failed, n_removed_words, kept."""
+    """One row per document: doc_id, the counts, n_removed_words, base_failed, kept."""
     stats = cut(document_stats(docs, doc_id, text, host))
-    judged = with_limited(stats, stats, limited_lines(stats))
-    removed = F.expr("coalesce(aggregate(filter(lines, x -> array_contains(limited, x.h)), 0L, (a, x) -> a + x.w), 0L)")
-    return judged.select("doc_id", *_COUNTS, base_failed().alias("base_failed"), removed.alias("n_removed_words")).withColumn("kept", ~F.col("base_failed") & (F.col("n_removed_words") <= max_removed * F.col("n_words")))
+    known, limits = with_limited(stats, limited_lines(stats))
+    judged = known.mapInArrow(_judged(limits), f"doc_id {dict(stats.dtypes)['doc_id']}, {_STATS}, n_removed_words bigint")
+    return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("n_removed_words") <= max_removed * F.col("n_words")))
 
 
-def _strip(names: list[str], max_removed: float):
-    """Of each text: leave out limited lines; drop rows that fail the rules."""
+def _strip(names: list[str], max_removed: float, limits: Broadcast | None):
+    """Documents whose limited lines are not too many, without these."""
 
     @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = K.string_buffers(batch.column("text"))
-            limited = batch.column("limited")
-            for a, b, part, at in K.slices(data, offsets):
-                words = K.Words(part, at)
-                lines = _Lines(words)
-                counts, hashes, n_words, bounds = _slice_stats(part, at)
-                keep, texts, hashes = [], [], K.signed(hashes)
-                for i in range(b - a):
-                    total, repeated = counts["n_words"][i], counts["n_repeat_words"][i]
-                    if total < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * total:
-                        continue
-                    whole = part[at[i] : at[i + 1]]
-                    if limited[a + i].is_valid:
-                        gone = np.flatnonzero(np.isin(hashes[bounds[i] : bounds[i + 1]], limited[a + i].values.to_numpy())) + bounds[i]
-                        if n_words[gone].sum() > max_removed * total:
-                            continue
-                        if len(gone):
-                            stay = np.ones(len(whole), bool)
-                            for k in gone:
-                                stay[lines.starts[k] - at[i] : lines.ends[k] - at[i]] = False
-                            whole = whole[stay]
-                    keep.append(a + i)
-                    texts.append(whole.tobytes().decode("utf-8"))
-                rows = batch.take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else pa.array([len(x) for x in texts], pa.int64()) if c == "n_chars" else rows.column(c) for c in names], names)
+            bounds, hashes, gone = _gone(batch, limits)
+            words = batch.column("lines").flatten().field("w").to_numpy(zero_copy_only=False)
+            lost, total = _per_doc(words * gone, bounds), batch.column("n_words").to_numpy()
+            keep = np.flatnonzero(lost <= max_removed * total)
+            docs = batch.column("doc").take(pa.array(keep))
+            columns = dict(zip(names, docs.flatten(), strict=True))
+            texts = columns["text"].to_pylist()
+            for k in np.flatnonzero(lost[keep]).tolist():
+                i = keep[k]
+                own = hashes[bounds[i] : bounds[i + 1]][gone[bounds[i] : bounds[i + 1]]]
+                data, offsets = K.string_buffers(pa.array([texts[k]]))
+                found = K.Words(data, offsets)
+                lines, stay = _Lines(found), np.ones(len(data), bool)
+                for at in np.flatnonzero(np.isin(K.signed(lines.normal_hashes(found)), own)):
+                    stay[lines.starts[at] : lines.ends[at]] = False
+                texts[k] = data[stay].tobytes().decode("utf-8")
+            columns |= {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(x) for x in texts], pa.int64())}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
 
     return run
 
 
 def apply_quality_rules(docs: DataFrame, max_removed: float = MAX_REMOVED) -> DataFrame:
-    """Documents (doc_id, text, source, n_chars and more) that the rules keep, without their limited lines;
-    n_chars follows the text."""
-    stats = cut(document_stats(docs))
-    hidden = docs.select("*", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"))
-    judged = with_limited(hidden, stats, limited_lines(stats)).select(*docs.columns, "limited")
-    return judged.mapInArrow(_strip(docs.columns, max_removed), docs.schema)
+    """Documents (text, source, n_chars bigint and more) that the rules keep, without their limited lines; n_chars follows
+    the text. Texts are counted once: the counts are written with the documents that pass the base rules or not, since lines are
+    counted over all, and read again for the verdict."""
+    whole = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
+    schema = T.StructType([*whole.schema.fields, *T._parse_datatype_string(f"{_STATS}, {_LINES}").fields])
+    place = docs.columns.index("text")
+    stats = cut(whole.mapInArrow(_stats_of(["doc", "host"], lambda b: b.column("doc").flatten()[place]), schema))
+    passed, limits = with_limited(stats.where(~base_failed()), limited_lines(stats))
+    return passed.mapInArrow(_strip(docs.columns, max_removed, limits), docs.schema)

@@ -13,7 +13,7 @@ from gridweave.llm.langid import language_ids
 from gridweave.llm.ngram_join import ngram_components
 from gridweave.llm.online_packing import pack_online
 from gridweave.llm.pii import span_digests
-from gridweave.llm.quality import LINE_SHARE, LINE_TEXTS, MAX_REMOVED, MAX_REPEAT_PERCENT, MIN_WORDS, quality_rules
+from gridweave.llm.quality import LINE_DOCS, MAX_REMOVED, MAX_REPEAT_PERCENT, MIN_WORDS, quality_rules
 from gridweave.llm.sharding import balanced_shards
 from gridweave.llm.spark_util import importable
 from gridweave.llm.token_packing import pack_documents
@@ -115,11 +115,10 @@ w AS (SELECT *, regexp_extract_all(text, '{_WORD}') AS words FROM d),
 win AS (SELECT r, i, array_to_string(words[i:i + 7], ' ') AS win FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
 again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM win) WHERE n > 1),
 cover AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM again) GROUP BY r),
-raw AS (SELECT r, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
-lines AS (SELECT r, host, text, line, array_to_string(regexp_extract_all(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '{_WORD}'), ' ') AS norm, len(regexp_extract_all(line, '{_WORD}')) AS n FROM raw WHERE regexp_matches(line, '{_WORD}')),
+raw AS (SELECT r, host, unnest(string_split(text, chr(10))) AS line FROM d),
+lines AS (SELECT r, host, line, array_to_string(regexp_extract_all(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '{_WORD}'), ' ') AS norm, len(regexp_extract_all(line, '{_WORD}')) AS n FROM raw WHERE regexp_matches(line, '{_WORD}')),
 dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
-hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
-limited AS (SELECT l.host, norm FROM lines l JOIN hosts h ON l.host = h.host GROUP BY l.host, norm, texts HAVING count(DISTINCT text) > {LINE_TEXTS} AND count(DISTINCT text) > {LINE_SHARE} * texts),
+limited AS (SELECT host, norm FROM lines GROUP BY host, norm HAVING count(DISTINCT r) > {LINE_DOCS}),
 gone AS (SELECT r, sum(n) AS n FROM lines l JOIN limited m ON l.host = m.host AND l.norm = m.norm GROUP BY r),
 c AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words FROM w LEFT JOIN dups USING (r) LEFT JOIN cover USING (r) LEFT JOIN gone USING (r))

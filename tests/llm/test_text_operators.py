@@ -42,21 +42,37 @@ def test_quality_counts_match_brute_force():
         assert tuple(int(counts[c][i]) for c in quality._COUNTS) == base_counts(text)
 
 
-def test_quality_removes_frequent_lines(spark):
+def quality_verdicts(rows, most=quality.LINE_DOCS, removed=quality.MAX_REMOVED):
+    """Of each (id, text, host): removed words, whether it is kept, and its text without limited lines."""
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
+    norm = lambda line: " ".join(WORD.findall(line.translate(fold)))
+    seen = Counter((host or "", x) for _, text, host in rows for x in {norm(y) for y in (text or "").split("\n")} if x)
+    out = []
+    for k, text, host in rows:
+        lines = [(x, seen[host or "", norm(x)] > most) for x in (text or "").split("\n")]
+        lost, (n, _, _, _, repeated) = sum(len(WORD.findall(x)) for x, gone in lines if gone), base_counts(text)
+        kept = n >= 20 and 100 * repeated <= 30 * n and lost <= removed * n
+        rest = "".join(x + "\n" * (i < len(lines) - 1) for i, (x, gone) in enumerate(lines) if not gone)
+        out.append((k, lost, kept, rest))
+    return out
+
+
+@pytest.mark.parametrize("by_join", [False, True])
+def test_quality_verdicts_match_brute_force(spark, monkeypatch, by_join):
+    if by_join:
+        monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)
     rng = random.Random(2)
-    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    prose = lambda n: " ".join(f"w{rng.choice('abcdefgh')}{rng.randrange(10**6)}x" for _ in range(n))
     rows = [(i, f"Common Line {i % 10}\n{prose(30)}", "h") for i in range(60)]
     rows += [(100, "common  line 5\ncommon line 7 \n" + prose(3) + "\nCOMMON LINE 1 and more common line words here to reach twenty words in all of it", "h"), (101, "Common line 3\n" * 2 + prose(25), "other")]
-    rows += [(200 + i, "same text " * 3 + " ".join(f"z{k}" for k in range(30)), "h") for i in range(50)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r for r in quality.quality_rules(df).collect()}
-    assert all(got[i].n_removed_words == 3 and got[i].kept for i in range(60))
-    assert got[101].n_removed_words == 0 and got[101].kept  # another host
-    assert all(got[200 + i].kept for i in range(50))  # copies count once
-    kept = {r.doc_id: r for r in quality.apply_quality_rules(df.withColumn("n_chars", F.length("text").cast("long"))).collect()}
-    assert "Common" not in kept[0].text and kept[0].n_chars == len(kept[0].text) and kept[101].text == rows[61][1]
-    depleted = spark.createDataFrame([(i, "shared line one two three four five six seven eight nine ten\n" + prose(9 if i == 0 else 40), "h") for i in range(40)], "doc_id long, text string, source string")
-    assert [r.kept for r in quality.quality_rules(depleted).orderBy("doc_id").collect()] == [False] + [True] * 39
+    rows += [(200, "the very same text " + " ".join(f"z{k}" for k in "abcdefghijklmnopqrstuvwxyz"), "copies")] * 51 + [(300, "in just as many as allowed " + " ".join(f"y{k}" for k in "abcdefghijklmnopqrstuvwxyz"), None)] * 50
+    rows += [(400, None, "h"), (401, "", None), (None, prose(22), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    want = quality_verdicts(rows)
+    assert rows_of(quality.quality_rules(df).select("doc_id", "n_removed_words", "kept")) == sorted((x[:3] for x in want), key=str)
+    stripped = quality.apply_quality_rules(df.withColumn("n_chars", F.lit(0).cast("long"))).collect()
+    assert Counter((r.doc_id, r.text, r.n_chars) for r in stripped) == Counter((k, text, len(text)) for k, _, kept, text in want if kept)
+    assert sum(x[2] for x in want) == 60 + 2 + 50 + 1  # over the limit a text's own copies are depleted
 
 
 # ---- n-gram join
@@ -215,6 +231,71 @@ def test_language_id(spark):
     assert [s.lang for s in spans] == ["en", "fr", "el"] and spans[-1].end == len(mixed)
 
 
+def plain_languages(rows):
+    """(id, language, share of letters) of (id, text, lang) rows: the same model by plain loops."""
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def script(c):
+        return next((n for n, (_, spans) in enumerate(langid.SCRIPTS.items()) if any(a <= ord(c) <= b for a, b in spans)), len(langid.SCRIPTS))
+
+    def features(word):
+        raw = word.translate(fold).encode()
+        padded = b"\0\0" + raw
+        buckets = [((padded[i + 2] << 16 | padded[i + 1] << 8 | padded[i]) * 2654435761 % 2**32) >> 16 for i in range(len(raw))]
+        return buckets, {script(c) for c in word if c.isalpha()}, sum(map(str.isalpha, word))
+
+    words = lambda text: [features(w) for w in WORD.findall(text or "")]
+    learned = {(text, lang) for k, text, lang in rows if lang is not None and text is not None and zlib.crc32(str("" if k is None else k).encode()) % 3 != 1}
+    langs = sorted({lang for _, lang in learned})
+    counts, scripts = {x: Counter() for x in langs}, {x: Counter() for x in langs}
+    for text, lang in learned:
+        for buckets, used, _ in words(text):
+            counts[lang].update(buckets)
+            scripts[lang].update(used)
+    total = {x: sum(counts[x].values()) + 0.1 * 65536 for x in langs}
+    fits = {x: {k for k, n in scripts[x].items() if n >= 0.01 * max(1, sum(scripts[x].values()))} for x in langs}
+    out = []
+    for k, text, _ in rows:
+        state, share = None, Counter()
+        path = []
+        for buckets, used, letters in words(text):
+            score = {x: sum(np.log((counts[x][b] + 0.1) / total[x]) for b in buckets) for x in langs}
+            top = max(score.values())
+            able = [x for x in langs if used & fits[x]]
+            score = {x: (-1000 if able and x not in able else score[x] - top) if letters else 0 for x in langs}
+            jump = max(langs, key=lambda x: state[x]) if state else None  # noqa: B023
+            before = {x: None if not state else x if state[x] >= state[jump] - langid.SWITCH_PENALTY else jump for x in langs}
+            state = {x: score[x] + (max(state[x], state[jump] - langid.SWITCH_PENALTY) if state else 0) for x in langs}
+            path.append((before, letters))
+        at = max(langs, key=lambda x: state[x]) if state else None  # noqa: B023
+        for before, letters in reversed(path):
+            share[at] += letters
+            at = before[at]
+        best = max(langs, key=lambda x: share[x])  # noqa: B023
+        out.append((k, best, share[best] / share.total()) if share.total() else (k, "und", 0.0))
+    return out
+
+
+def test_language_query_matches_plain_loops(spark):
+    rng = random.Random(12)
+    vocab = {"en": "the of and with from house water Street it's naïve".split(), "fr": "le les une avec maison rue matin eau être".split(), "el": "και το της με σπίτι Νερό δρόμος".split(), "ja": "これ は 水 です 家 の".split()}
+    odd = ["—", "“", "\U0001F600", "123", "!?", "µ", "ß", "漢"]
+    text = lambda: " ".join(rng.choice([*vocab[rng.choice(list(vocab))], rng.choice(odd)]) for _ in range(rng.choice([1, 3, 8, 30])))
+    rows = [(i, " ".join(rng.choice(vocab[lang]) for _ in range(12)), lang) for i in range(120) for lang in [rng.choice(list(vocab))]]
+    rows += [(200 + i, text(), None) for i in range(80)] + [(300, None, "en"), (301, "", "fr"), (302, "— … 12", "fr"), (None, "the house — the street", None), (303, rows[0][1], rows[0][2])]
+    got = {r.doc_id: r for r in langid.language_ids(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    for k, lang, share in plain_languages(rows):
+        assert (got[k].lang_pred, got[k].score) == (lang, pytest.approx(share, abs=1e-9)), (k, lang)
+
+
+def test_dashes_and_quotes_have_no_script(spark):
+    """One language writes dashes; they must not pull words of another to it."""
+    rows = [(i, "le chat — la maison — avec une rue" if i % 2 else "the cat sat on the street with water", "fr" if i % 2 else "en") for i in range(40)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    spans = langid.language_spans(spark.createDataFrame([(1, "the cat — sat on “the street” — with water 😀 the street")], "doc_id long, text string"), model).first().spans
+    assert [s.lang for s in spans] == ["en"]
+
+
 def test_viterbi_matches_plain_loop():
     rng = np.random.default_rng(3)
     for _ in range(20):
