@@ -1,18 +1,21 @@
 """Language identification of mixed-language text.
 
-Scripts, told from ranges of lead bytes, narrow a word's candidate languages. Each candidate scores the word by
+Scripts, told from ranges of code points, narrow a word's candidate languages. Each candidate scores the word by
 its byte trigrams; a Viterbi pass over the words of a text, with a penalty for switching, labels spans. The
-text's language is that of most letters; the score is its share.
+text's language is that of most letters (of equally many, the first by name); the score is its share. Letters are what Unicode calls so:
+dashes, quotes, digits and emoji have no script, and words without letters take the language around them.
 
-Training takes a bounded number of labelled documents per language (``per_lang``), drawn by a hash of the
-text; everything else covers all rows. Documents with a null language, and those of the held-out fold (crc32 of the
+Training takes a bounded number of distinct labelled texts per language (``per_lang``), drawn by a hash of the
+text; everything else covers all rows. Documents with a null language or text, and those of the held-out fold (crc32 of the
 id as text, modulo 3, is 1; a null id is the empty text), are not learned from. Texts that are null or
-have no letter are ``und`` with score 0. If there is nothing to learn from, every text is ``und``. Ids are
-only carried along.
+have no letter are ``und`` with score 0. If there is nothing to learn from, every text is ``und``. Every row gives one
+row; equal texts get equal answers, whatever their ids, which are only carried along. An empty table gives an empty one. Columns of
+the input named ``lang_pred`` or ``score`` are replaced; others may have any name.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +29,50 @@ UNKNOWN = "und"
 PER_LANG, SWITCH_PENALTY = 3000, 6.0
 TABLE_BITS, SLICE_BYTES = 16, 2 << 20
 
-#: Scripts by the lead bytes of their letters in UTF-8.
-SCRIPTS = {"latin": (0xC3, 0xC9), "greek": (0xCD, 0xCF), "cyrillic": (0xD0, 0xD4), "hebrew": (0xD6, 0xD7), "arabic": (0xD8, 0xDD), "indic": (0xE0, 0xE0), "other": (0xE1, 0xE2), "cjk": (0xE3, 0xE9), "hangul": (0xEA, 0xED), "astral": (0xF0, 0xF4)}
-_SCRIPT_BIT = np.zeros(256, np.uint16)
-for _n, (_a, _b) in enumerate(SCRIPTS.values()):
-    _SCRIPT_BIT[_a : _b + 1] = 1 << _n
-_SCRIPT_BIT[65:91] = _SCRIPT_BIT[97:123] = 1
-_LETTERLIKE = (_SCRIPT_BIT > 0) | (np.arange(256) >= 0x80)
+# Ranges of code points of each script; letters elsewhere are one script more.
+SCRIPTS = {
+    "latin": ((0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFB00, 0xFB06), (0xFF21, 0xFF5A)),
+    "greek": ((0x370, 0x3FF), (0x1F00, 0x1FFF)),
+    "cyrillic": ((0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)),
+    "armenian": ((0x530, 0x58F), (0xFB13, 0xFB17)),
+    "hebrew": ((0x590, 0x5FF), (0xFB1D, 0xFB4F)),
+    "arabic": ((0x600, 0x6FF), (0x750, 0x77F), (0x8A0, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFF)),
+    "devanagari": ((0x900, 0x97F), (0xA8E0, 0xA8FF)),
+    "bengali": ((0x980, 0x9FF),),
+    "southern indic": ((0xA00, 0xDFF),),
+    "thai and lao": ((0xE00, 0xEFF),),
+    "georgian": ((0x10A0, 0x10FF), (0x1C90, 0x1CBF), (0x2D00, 0x2D2F)),
+    "ethiopic": ((0x1200, 0x139F), (0x2D80, 0x2DDF)),
+    "hangul": ((0x1100, 0x11FF), (0x3130, 0x318F), (0xA960, 0xA97F), (0xAC00, 0xD7FF)),
+    "kana": ((0x3040, 0x30FF), (0x31F0, 0x31FF), (0xFF66, 0xFF9D)),
+    "han": ((0x2E80, 0x2FDF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)),
+}
+_N_SCRIPTS = len(SCRIPTS) + 1
+
+
+@functools.cache
+def _script_bits() -> np.ndarray:
+    """For each code point the bit of its script; 0 if it is no letter."""
+    bits = np.full(0x110000, 1 << len(SCRIPTS), np.uint16)
+    for n, spans in enumerate(SCRIPTS.values()):
+        for first, last in spans:
+            bits[first : last + 1] = 1 << n
+    bits[[not chr(c).isalpha() for c in range(0x110000)]] = 0
+    return bits
+
+
+def _letter_bits(raw: np.ndarray) -> np.ndarray:
+    """The script bit of the letter that starts at each byte of UTF-8; 0 elsewhere."""
+    table, bits = _script_bits(), np.zeros(len(raw), np.uint16)
+    ascii_ = raw < 0x80
+    bits[ascii_] = table[raw[ascii_]]
+    for low, high, mask, more in ((0xC2, 0xDF, 31, 1), (0xE0, 0xEF, 15, 2), (0xF0, 0xF4, 7, 3)):
+        at = np.flatnonzero((raw >= low) & (raw <= high))
+        code = raw[at] & mask
+        for k in range(1, more + 1):
+            code = code << np.uint32(6) | raw[at + k] & 63
+        bits[at] = table[code]
+    return bits
 
 
 def held_out(doc_id: Column) -> Column:
@@ -51,10 +91,10 @@ class _Features:
         second[self.begins] = 0
         second[(self.begins + 1)[words.lens > 1]] = 0
         self.buckets = ((raw << np.uint32(16) | before << np.uint32(8) | second) * np.uint32(2654435761)) >> np.uint32(32 - TABLE_BITS)
-        letters = _LETTERLIKE[raw] & ((raw & 0xC0) != 0x80)
+        bits = _letter_bits(raw)
         if len(self.begins):
-            self.letters = np.add.reduceat(letters.astype(np.int64), self.begins)
-            self.scripts = np.bitwise_or.reduceat(_SCRIPT_BIT[raw], self.begins)
+            self.letters = np.add.reduceat((bits > 0).astype(np.int64), self.begins)
+            self.scripts = np.bitwise_or.reduceat(bits, self.begins)
         else:
             self.letters, self.scripts = np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
@@ -73,7 +113,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first, end = f.words.of_doc[i], f.words.of_doc[i + 1]
                 lang = langs[a + i]
                 counts[lang] = counts.get(lang, 0) + np.bincount(f.buckets[ends[first] : ends[end]], minlength=1 << TABLE_BITS)
-                scripts[lang] = scripts.get(lang, 0) + np.array([np.count_nonzero(f.scripts[first:end] >> n & 1) for n in range(len(SCRIPTS))])
+                scripts[lang] = scripts.get(lang, 0) + np.array([np.count_nonzero(f.scripts[first:end] >> n & 1) for n in range(_N_SCRIPTS)])
     for lang, own in counts.items():
         used = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([used.astype(np.int32).tobytes()]), pa.array([own[used].astype(np.int64).tobytes()]), pa.array([scripts[lang].tolist()], pa.list_(pa.int64()))], ["lang", "buckets", "counts", "scripts"])
@@ -86,7 +126,7 @@ class LanguageModel:
         self.langs = sorted({r["lang"] for r in rows})
         place = {k: n for n, k in enumerate(self.langs)}
         counts = np.zeros((len(self.langs), 1 << TABLE_BITS))
-        scripts = np.zeros((len(self.langs), len(SCRIPTS)))
+        scripts = np.zeros((len(self.langs), _N_SCRIPTS))
         for r in rows:
             counts[place[r["lang"]], np.frombuffer(r["buckets"], np.int32)] += np.frombuffer(r["counts"], np.int64)
             scripts[place[r["lang"]]] += r["scripts"]
@@ -94,7 +134,7 @@ class LanguageModel:
         self.table = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
         # a script counts for a language that writes at least one word in a hundred in it
         usual = scripts >= 0.01 * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
-        self.scripts = (usual << np.arange(len(SCRIPTS))).sum(axis=1).astype(np.uint16) if len(self.langs) else np.zeros(0, np.uint16)
+        self.scripts = (usual << np.arange(_N_SCRIPTS)).sum(axis=1).astype(np.uint16) if len(self.langs) else np.zeros(0, np.uint16)
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = PER_LANG) -> LanguageModel:
@@ -104,7 +144,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         return LanguageModel([])
     scale = 1 << 30
     share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], int(scale * min(1.0, per_lang / r["n"])))))
-    sample = named.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(scale)) < share[F.col("lang")]).select("text", "lang")
+    sample = named.where(F.pmod(F.xxhash64("text"), F.lit(scale)) < share[F.col("lang")]).select("text", "lang").distinct()
     tasks = max(1, min(16, sum(min(per_lang, r["n"]) for r in sizes) // 500))
     counted = sample.repartition(tasks).mapInArrow(_gather, "lang string, buckets binary, counts binary, scripts array<bigint>")
     return LanguageModel(counted.collect())  # languages * tasks rows of a bounded sample
@@ -165,33 +205,30 @@ def _labelled(data: np.ndarray, offsets: np.ndarray, model: LanguageModel, penal
     return f, path, letters
 
 
-def _predict(model, keep: list[str], penalty: float):
+def _predict(model, keep: list[str], penalty: float, text: str = "text"):
     @K.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = model.value.langs
         for batch in batches:
-            data, offsets = K.string_buffers(batch.column("text"))
+            data, offsets = K.string_buffers(batch.column(text))
             for a, b, part, at in K.slices(data, offsets, SLICE_BYTES):
                 pred, score = [UNKNOWN] * (b - a), np.zeros(b - a)
                 if langs:
                     _, _, letters = _labelled(part, at, model.value, penalty)
                     total, best = letters.sum(axis=1), letters.argmax(axis=1)
                     for i in np.flatnonzero(total).tolist():
-                        own = part[at[i] : at[i + 1]]
-                        if ((own | 32) - 97 < 26).any() or any(map(str.isalpha, own.tobytes().decode("utf-8"))):
-                            pred[i], score[i] = langs[best[i]], letters[i, best[i]] / total[i]
+                        pred[i], score[i] = langs[best[i]], letters[i, best[i]] / total[i]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), pa.array(pred), pa.array(score)], [*keep, "lang_pred", "score"])
 
     return run
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """``docs`` and lang_pred, score."""
+    """``docs`` and lang_pred, score; columns of these names that docs have are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    hidden = docs if text == "text" else docs.withColumn("text", F.col(text))
+    docs = docs.drop("lang_pred", "score")
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return hidden.mapInArrow(_predict(shared, names, penalty), f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(_predict(shared, docs.columns, penalty, text), f"{fields}, lang_pred string, score double")
 
 
 def language_spans(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
