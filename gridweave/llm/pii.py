@@ -7,8 +7,13 @@ threshold.
 
 Patterns run in linear time on texts of any length: separators are first replaced, one for one, by a sign that no
 pattern uses otherwise, so that single possessive classes do the work of repeated groups. Positions of
-matches are sums of the lengths of what ``split`` leaves and what is matched, added up in blocks. Null texts
-count as empty. Positions are in code points; ends are exclusive.
+matches are sums of the lengths of what ``split`` leaves and what is matched, added up in blocks. What stands near a span, and
+what stands between spans, is cut from pieces of bounded size, so a text full of spans costs in proportion to its length.
+Positions are in code points; ends are exclusive.
+
+Null and empty texts have no spans, and masking leaves them as they are. Every row gives one row; repeated rows, ties and null
+ids are carried along, since nothing is joined. An empty table gives an empty one. A column of the input named like the one
+that is added is replaced; others may have any name.
 """
 
 from __future__ import annotations
@@ -20,8 +25,8 @@ from pyspark.sql import functions as F
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "account", "ssn")
-#: Elements that a scan takes at a time: 2 ** 7.
-BLOCK_BITS = 7
+#: Elements that a scan takes at a time: 2 ** 7; characters of a piece of text.
+BLOCK_BITS, PIECE = 7, 1024
 
 #: Stands for a separator inside a candidate; the same sign in a text is first replaced by the next one.
 _MARK, _AWAY = "", ""
@@ -124,8 +129,19 @@ def _confirmed(proposal: str, value: Column) -> Column:
     return F.lit(proposal)
 
 
-def _score(kind: Column, text: Column, start: Column, end: Column) -> Column:
-    near = F.substring(text, F.greatest(start - NEAR_CHARS, F.lit(0)) + 1, end - start + 2 * NEAR_CHARS)
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text between two positions, taken from the pieces that they lie in."""
+    first = F.floor(start / PIECE).cast("int")
+    own = F.array_join(F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1), "")
+    return F.substring(own, start - first * PIECE + 1, F.greatest(end - start, F.lit(0)))
+
+
+def _score(kind: Column, pieces: Column, start: Column, end: Column) -> Column:
+    near = _between(pieces, F.greatest(start - NEAR_CHARS, F.lit(0)), end + NEAR_CHARS)
     out = F.lit(0.0)
     for k, (alone, with_words) in _SCORES.items():
         out = F.when(kind == k, F.when(near.rlike(rf"(?i)\b(?:{_WORDS[k]})\b"), F.lit(with_words)).otherwise(F.lit(alone))).otherwise(out)
@@ -141,6 +157,7 @@ def _proposed(proposal: str, hits: Column, parts: Column, before: Column) -> Col
 
 def personal_spans(docs: DataFrame, text: str = "text", column: str = "pii") -> DataFrame:
     """``docs`` and ``column``: array<struct<kind, start, end, score>> by kind as listed in KINDS, then start."""
+    docs = docs.drop(column)
     names = docs.columns
     hidden = {k: f"__pii_{k}" for k in ("text", *_PROPOSE, *(f"{what}_{k}" for what in ("parts", "hits", "before") for k in _PROPOSE))}
     whole = F.col(hidden["text"])
@@ -164,8 +181,13 @@ def personal_spans(docs: DataFrame, text: str = "text", column: str = "pii") ->
         found.append(F.when(F.size(hits) > 0, F.filter(_proposed(k, hits, parts, before), lambda s: s["kind"].isNotNull())).otherwise(none).alias(f"__pii_{k}"))
     df = df.select(*names, hidden["text"], *found)
     every = F.coalesce(F.concat(*(F.col(f"__pii_{k}") for k in _PROPOSE)), none)
-    scored = F.transform(every, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), (s["start"] + s["length"]).alias("end"), _score(s["kind"], whole, s["start"], s["start"] + s["length"]).alias("score")))
-    kept = F.filter(scored, lambda s: s["score"] >= THRESHOLD)
+
+    def scored(spans: Column, pieces: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), (s["start"] + s["length"]).alias("end"), _score(s["kind"], pieces, s["start"], s["start"] + s["length"]).alias("score")))
+
+    # pieces are bound by an outer array of one, so that they are cut once and not for every span
+    once = F.array(F.struct(every.alias("spans"), F.when(F.size(every) > 0, _pieces(whole)).alias("pieces")))
+    kept = F.filter(F.flatten(F.transform(once, lambda o: scored(o["spans"], o["pieces"]))), lambda s: s["score"] >= THRESHOLD)
     order = F.create_map(*(F.lit(x) for n, k in enumerate(KINDS) for x in (k, n)))
     ranked = F.array_sort(F.transform(kept, lambda s: F.struct(order[s["kind"]].alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["score"].alias("score"))))
     return df.select(*names, F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score"))).alias(column))
@@ -199,13 +221,9 @@ def mask_personal(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.greatest(span["start"], covered).alias("start"), F.greatest(span["end"], covered).alias("end"), sign.alias("sign"), covered.alias("from"))
 
     cuts = F.transform(zipped, cut_of)
-    df = df.select(*names, _blocks(cuts).alias("__blocks"))
-
-    def piece(block: Column) -> Column:
-        first = F.get(block, 0)["from"]
-        own = F.substring(F.col(text), first + 1, F.element_at(block, -1)["end"] - first)
-        return F.array_join(F.transform(block, lambda c: F.concat(F.substring(own, c["from"] - first + 1, c["start"] - c["from"]), c["sign"])), "")
-
-    end = F.element_at(F.element_at("__blocks", -1), -1)["end"]
-    masked = F.concat(F.array_join(F.transform("__blocks", piece), ""), F.substring(F.col(text), end + 1, F.length(text)))
-    return df.select(*(F.when(F.size(F.get("__blocks", 0)) > 0, masked).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in names))
+    df = df.select(*names, cuts.alias("__cuts"))
+    once = F.array(F.struct(F.col("__cuts").alias("cuts"), _pieces(F.col(text)).alias("pieces")))
+    kept = F.flatten(F.transform(once, lambda o: F.transform(o["cuts"], lambda c: F.concat(_between(o["pieces"], c["from"], c["start"]), c["sign"]))))
+    end = F.element_at("__cuts", -1)["end"]
+    masked = F.concat(F.array_join(kept, ""), F.substring(F.col(text), end + 1, F.length(text)))
+    return df.select(*(F.when(F.size("__cuts") > 0, masked).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in names))
