@@ -3,11 +3,16 @@
 Documents with equal texts are linked. Linked documents start in shards drawn by hash; in every round each may
 move to the shard that holds most of its group (counts weighed by what shards could admit lately), if that
 holds no fewer than its own. Moves are admitted net of departures: as many rows of each pair of shards as swaps,
-cycles and room allow, so sizes stay within bounds while cut links fall, however full the shards are. There is no
-limit of rounds. A group is one node of a star, so its links are as many as its rows; the rounds handle counts per
-group and shard. Afterwards rows over quota and unlinked documents fill the shards to counts at most one apart.
-
-Null texts count as empty, of size 16; all null and empty texts are one group. Ids are only carried along.
+cycles and room allow, so sizes stay within bounds while cut links fall, however full the shards are. A move never takes a
+row to where its group has fewer, so links within shards do not fall; rounds end when ``STILL`` in a row, each with other ties, move
+nothing, and there is no other limit. A group is one node of a star, so its links are as many as its rows; the rounds handle counts
+per group and shard, and rows look these up by salted keys, so a group of a third of all rows is many keys. Afterwards
+rows over quota and unlinked documents fill the shards to counts at most one apart.
+
+Null texts count as empty, of size 16; all null and empty texts are one group. Every row is placed once: repeated rows are
+members of a group like others, and ids, null or repeated, are only carried along. Ties are broken by hashes. With fewer
+rows than shards some shards are empty; an empty table gives an empty one. Other columns are not looked at, so their names may
+clash.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gridweave.llm.spark_util import cut
+from gridweave.llm.spark_util import cut, spread_join
 
 SHARDS, ROWS_PER_TASK = 40, 20_000
 #: Rounds end when this many in a row, each with other ties, let no row move.
@@ -95,7 +100,7 @@ def _propagate(linked: DataFrame, shards: int, room_for: int, bins: int) -> Data
         worth = F.col("n") * F.get(F.expr(f"array({', '.join(f'{x}D' for x in admits)})"), F.col("shard"))
         best = spread.groupBy("grp").agg(F.max(F.struct(worth.alias("worth"), F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), "n", "shard")).alias("best"))
         own = spread.join(best, "grp").where((F.col("best.shard") != F.col("shard")) & (F.col("best.n") >= F.col("n"))).select("grp", "shard", F.col("best.shard").alias("target"))
-        wishes = cut(labels.join(own, ["grp", "shard"], "left").select("row", "grp", "shard", "target"))
+        wishes = cut(spread_join(labels, ["grp", "shard"], ["row"], own, "left").select("row", "grp", "shard", "target"))
         counts = wishes.groupBy("shard", "target").agg(F.count("*").alias("n")).collect()  # shards * (shards + 1) rows at most
         room, demand = [room_for] * shards, {}
         for s, t, n in counts:
@@ -128,7 +133,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id
     total = base.count()
     bins = max(1, -(-total // (shards * ROWS_PER_TASK)))
     groups = base.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp")
-    labels = _propagate(base.join(groups, "grp").select("row", "grp"), shards, total // shards, bins)
+    labels = _propagate(spread_join(base.select("row", "grp"), ["grp"], ["row"], groups), shards, total // shards, bins)
     # rows over a shard's quota give up their place
     placed = cut(numbered(labels, F.col("shard"), "row", bins, "slot").where(F.col("slot") < total // shards).select("row", "shard", "slot"))
     held = dict(placed.groupBy("shard").agg(F.count("*")).collect())
