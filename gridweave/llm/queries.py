@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from gridweave.llm.ann import nearest
 from gridweave.llm.bpe import encoding_digests
 from gridweave.llm.langid import language_ids
-from gridweave.llm.ngram_join import ngram_components
+from gridweave.llm.ngram_join import NGRAM, OVER, UNDER, ngram_components
 from gridweave.llm.online_packing import pack_online
 from gridweave.llm.pii import span_digests
 from gridweave.llm.quality import LINE_DOCS, MAX_REMOVED, MAX_REPEAT_PERCENT, MIN_WORDS, quality_rules
 from gridweave.llm.sharding import balanced_shards
 from gridweave.llm.spark_util import importable
 from gridweave.llm.token_packing import pack_documents
-from gridweave.llm.url_filter import filter_urls
+from gridweave.llm.url_filter import filter_urls, url_host
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -55,12 +55,18 @@ URL_LIST = (
     ("m.tiontion.example.com", "2024-08-01", "block"),
 )
 
+#: Of the page host whose least page is p: the action that starts on day (p * number) mod 366.
+HOST_ENTRIES = ((1, "block"), (7, "allow"), (13, "remove"))
+
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages carry no fetch time: page p counts as fetched 4099 * p minutes into 2024, wrapped after 366 days."""
+    """Pages carry no fetch time: page p counts as fetched 4099 * p minutes into 2024, wrapped after 366 days. The list is the
+    fixed entries and three for every host of the pages, on days that follow from its least page."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(pmod(page_id * 4099, 527040)), 0)").alias("fetched_at"))
-    entries = spark.createDataFrame(list(URL_LIST), "host string, at string, action string").withColumn("at", F.to_timestamp_ntz("at", F.lit("yyyy-MM-dd")))
-    return filter_urls(pages, entries)
+    fixed = spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(h).alias("host"), F.to_timestamp_ntz(F.lit(d), F.lit("yyyy-MM-dd")).alias("at"), F.lit(a).alias("action")) for h, d, a in URL_LIST))))
+    least = pages.groupBy(url_host(F.col("url")).alias("host")).agg(F.min("page_id").alias("p")).where("host IS NOT NULL")
+    days = F.array(*(F.struct(F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(int(pmod(p * {k}, 366)))").alias("at"), F.lit(a).alias("action")) for k, a in HOST_ENTRIES))
+    return filter_urls(pages, fixed.unionByName(least.select("host", F.inline(days))))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +106,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_packing, op2_url_filter, op3_ngram_jaccard_join, op4_pii, op5_language_id, op6_online_packing, op7_quality_rules, op8_ann, op9_bpe, op10_sharding)}
 
 
-_URL_ORACLE = f"""WITH entries(host, since, action) AS (VALUES {", ".join(f"('{h}', TIMESTAMP '{d}', '{a}')" for h, d, a in URL_LIST)}),
-caught AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes(CAST((page_id * 4099) % 527040 AS BIGINT)) AS fetched_at,
+_URL_ORACLE = f"""WITH caught AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes(CAST((page_id * 4099) % 527040 AS BIGINT)) AS fetched_at,
   nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '[.]$', ''), '') AS url_host FROM pages),
+least_page AS (SELECT url_host AS host, min(page_id) AS p FROM caught WHERE url_host IS NOT NULL GROUP BY url_host),
+listed(host, since, action) AS (VALUES {", ".join(f"('{h}', TIMESTAMP '{d}', '{a}')" for h, d, a in URL_LIST)} {" ".join(f"UNION ALL SELECT host, TIMESTAMP '2024-01-01' + to_days(CAST((p * {k}) % 366 AS INT)), '{a}' FROM least_page" for k, a in HOST_ENTRIES)}),
+entries AS (SELECT host, since, arg_max(action, CASE action WHEN 'remove' THEN 0 WHEN 'allow' THEN 1 ELSE 2 END) AS action FROM listed GROUP BY host, since),
 labels AS (SELECT DISTINCT url_host, fetched_at, string_split(url_host, '.') AS parts FROM caught WHERE url_host IS NOT NULL AND fetched_at IS NOT NULL),
 above AS (SELECT url_host, fetched_at, array_to_string(parts[k:], '.') AS name FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS k FROM labels)),
 latest AS (SELECT url_host, fetched_at, name, max(since) AS listed_from, arg_max(action, since) AS action FROM above JOIN entries ON name = host AND since <= fetched_at GROUP BY ALL),
@@ -125,5 +133,17 @@ c AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_s
 SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed, NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND n_removed_words <= {MAX_REMOVED} * n_words AS kept FROM c"""
 
 
+#: All links by brute force, from all pairs that share a shingle; then their closure.
+_JACCARD_ORACLE = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS words FROM documents),
+grams AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < {NGRAM} THEN array_to_string(words, ' ') ELSE array_to_string(words[i:i + {NGRAM - 1}], ' ') END AS gram FROM (SELECT *, unnest(range(1, greatest(len(words) - {NGRAM - 2}, 2))) AS i FROM w WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE {UNDER} * common >= {OVER} * (p.n + q.n - common)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(y, w.doc_id)) AS component_id FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON w.doc_id = least.x"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _URL_ORACLE, "op7_quality_rules": _QUALITY_ORACLE}
+    return {"op2_url_filter": _URL_ORACLE, "op3_ngram_jaccard_join": _JACCARD_ORACLE, "op7_quality_rules": _QUALITY_ORACLE}

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from gridweave.llm import queries as llm_queries
 from gridweave.llm import ann, bpe, components, langid, ngram_join, online_packing, pii, quality, sharding, token_packing, url_filter
 
 # ---- URL lists
@@ -35,6 +36,22 @@ def test_url_filter_matches_plain_search(spark):
         assert r.url_host == host and ((r.listed_host, r.list_action, r.listed_from) == want if want else r.list_action is None)
 
 
+def test_url_filter_odd_tables(spark):
+    """Empty sides, repeated captures, and captures with the names that the operator uses inside."""
+    entries = spark.createDataFrame([("a.com", "2024-01-01", "block")] * 2, "host string, at string, action string").withColumn("at", F.to_timestamp_ntz("at"))
+    captures = spark.createDataFrame([(1, "http://x.a.com/", "d", "u", "s", 5, None)] * 3 + [(2, None, "d", None, None, None, None)], "id int, url string, doc string, url_host string, __verdict string, salt int, list_action string").withColumn("fetched_at", F.lit("2024-02-01").cast("timestamp_ntz"))
+    captures = captures.selectExpr("*", "id AS span", "map('a', 1) AS at", "1 AS __host", "2 AS __at", "3 AS entry_host", "4 AS interval", "5 AS verdict", "6 AS t")
+    got = url_filter.filter_urls(captures, entries).collect()
+    assert sorted((r.id, r.url_host, r.list_action, r.doc, r.at) for r in got if r.id == 1) == [(1, "x.a.com", "block", "d", {"a": 1})] * 3 and len(got) == 4
+    assert {r.list_action for r in url_filter.filter_urls(captures, entries.where("1 = 0")).collect()} == {None}
+    assert url_filter.filter_urls(captures.where("1 = 0"), entries).count() == 0
+
+
+def test_url_filter_without_broadcast_lists(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BROADCAST_ROWS", 0)
+    test_url_filter_matches_plain_search(spark)
+
+
 # ---- vectors
 
 
@@ -147,6 +164,27 @@ def test_balanced_shards_when_all_rows_are_linked(spark):
     assert sum(len(set(x)) == 1 for x in where.values()) >= 0.95 * len(where)
 
 
+def test_sharding_query_keeps_its_contract(spark, tmp_path):
+    """Every column against plain counts over whole tables; and by propagation fewer cut links than by hash."""
+    import zlib
+
+    rng = np.random.default_rng(11)
+    texts = [f"text {rng.integers(0, 400)}" for _ in range(900)] + [None, "", "é" * 30] + ["hot"] * 300 + [f"single {i}" for i in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7).write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in llm_queries.op10_sharding(spark, f"file://{tmp_path}").collect()}
+    assert set(got) == set(range(len(texts))) and {r.law for r in got.values()} == {"rows"} and {r.grown_shard for r in got.values()} == {None}
+    slots: dict = {}
+    for k, text in enumerate(texts):
+        raw = (text or "").encode()
+        assert (got[k].size, got[k].text_crc32) == (len(raw) + 16, zlib.crc32(raw))
+        slots.setdefault(got[k].shard, []).append(got[k].slot)
+    assert set(slots) == set(range(40)) and all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    pairs = lambda shard: sum(n * (n - 1) // 2 for n in Counter((texts[k], shard(k)) for k in got if texts[k] and texts[k].startswith("text")).values())
+    every, kept, by_hash = pairs(lambda _: 0), pairs(lambda k: got[k].shard), pairs(lambda k: zlib.crc32(str(k).encode()) % 40)
+    assert kept > 0.8 * every > 5 * by_hash
+
+
 def test_flows_keep_quotas():
     rng = np.random.default_rng(3)
     for _ in range(200):
@@ -190,6 +228,30 @@ def test_messy_documents(spark, messy, nothing, tokenizer_file):
         assert empty.count() == 0
 
 
+def test_columns_named_like_those_added(spark, messy):
+    """Columns of the input with the names that operators add are replaced or left out."""
+    odd = messy.selectExpr("*", "'a' AS lang_pred", "1 AS n_words", "2 AS kept", "3 AS base_failed", "4 AS doc", "5 AS h", "6 AS ids", "7 AS text_crc32", "8 AS component_id", "9 AS spans")
+    told = langid.identify(odd, langid.train(odd))
+    assert {r.lang_pred for r in told.collect()} <= {"en", "fr", "de", "und"} and told.columns.count("score") == 1
+    spans = pii.personal_spans(odd)
+    assert spans.columns.count("pii") == 1 and spans.where("size(pii) >= 0").count() == messy.count()
+    kept = quality.apply_quality_rules(odd)
+    assert kept.columns == odd.columns and {r.doc for r in kept.collect()} == {4}
+    assert ngram_join.ngram_components(odd).count() == sharding.balanced_shards(odd).count() == messy.count()
+    named = odd.selectExpr("string(doc_id) AS doc_id", "text")
+    assert {r.component_id for r in ngram_join.ngram_components(named).collect() if r.doc_id in ("6", "7")} == {"6"}
+
+
+def test_long_texts_full_of_spans(spark):
+    """Many spans, near each other and far into a long text; each keeps its place and context."""
+    text = "é" * 5000 + " ssn 123-45-6789 " * 3000 + "é" * 3000 + " part 123-45-6789" + " x@y.zz" * 2000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = [s.split(":") for s in pii.span_digests(df).first().spans.split(",")]
+    assert {text[int(a) : int(b)] for k, a, b in spans if k == "ssn"} == {"123-45-6789"} and sum(k == "ssn" for k, _, _ in spans) == 3000
+    assert sum(k == "email" for k, _, _ in spans) == 2000
+    assert pii.mask_personal(df).first().text == "é" * 5000 + " ssn [SSN] " * 3000 + "é" * 3000 + " part 123-45-6789" + " [EMAIL]" * 2000
+
+
 def test_pipeline_stages_on_messy_documents(spark, messy, nothing, tmp_path):
     stages = dict(corpus_pipeline.STAGES)
     kept = stages["quality"](spark, messy, "").collect()
