@@ -274,6 +274,54 @@ def test_language_stage_rejects_by_share(spark, messy):
     assert 0 < len(got) < len(told) and Counter((r.doc_id, r.lang, r.text) for r in got) == want
 
 
+def test_stages_match_plain_versions(spark, tmp_path, tokenizer_file):
+    """Every stage on one messy table of files, against plain Python."""
+    from tests_plain import plain_components, plain_languages, plain_masks, quality_verdicts
+
+    import zlib
+
+    rng = np.random.default_rng(21)
+    vocab = {"en": "the of and house water street morning river".split(), "fr": "le les une maison rue matin eau être".split()}
+    prose = lambda k: " ".join(rng.choice(vocab[lang := rng.choice(["en", "fr"])], k)) + f" n{rng.integers(0, 10**6)}q " + " ".join(rng.choice(vocab[lang], 4))
+    texts = [prose(int(k)) for k in rng.integers(3, 70, 60)]
+    texts += [texts[0], texts[1], texts[2] + " tail", "short", None, "", " \n ", "— 12 —"] + [f"Common line\n{prose(30)}" for _ in range(55)]
+    texts += [prose(30) + " mail a.b@c.org or +1 (988) 555-2485, card 4111 1111 1111 1111, host 10.0.0.1; iban DE89 3704 0044 0532 0130 00 x@y.z"]
+    rows = [(None if i % 31 == 7 else i, t, [None, "en", "fr"][i % 3], ["a", None][i % 40 == 3], len(t or "")) for i, t in enumerate(texts)] + [(0, texts[0], "en", "a", 5)] * 2
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"file://{tmp_path}/in")
+    docs, stages = spark.read.parquet(f"file://{tmp_path}/in"), dict(corpus_pipeline.STAGES)
+    out = {name: Counter(map(tuple, stages[name](spark, docs, "").collect())) for name in stages}
+    judged = quality_verdicts([(r[0], r[1], r[3]) for r in rows])
+    assert out["quality"] == Counter((r[0], rest, r[2], r[3], len(rest)) for r, (_, _, kept, rest) in zip(rows, judged, strict=True) if kept)
+    told = plain_languages([r[:3] for r in rows])
+    assert out["language"] == Counter((r[0], r[1], lang, r[3], r[4]) for r, (_, lang, share) in zip(rows, told, strict=True) if lang != "und" and share >= 0.5)
+    component = [c for _, _, c in plain_components([(i, r[1]) for i, r in enumerate(rows)])]
+    kept = {}
+    for i, r in enumerate(rows):
+        kept[component[i]] = min(kept.get(component[i], (True, 10**9, 0)), (r[0] is None, r[0] or 0, i))
+    want = Counter((rows[i][0], rows[i][1]) for _, _, i in kept.values())
+    assert Counter({k: n for k, n in Counter(x[:2] for x in out["near_duplicates"].elements()).items()}) == want
+    masked = [(r[0], plain_masks(r[1]), r[2], r[3]) for r in rows]
+    assert out["personal_data"] == Counter((*r, len(r[1] or "")) for r in masked)
+    pieces: dict = {}
+    for doc, start, length, crc, total, sequence, offset in out["packing"].elements():
+        pieces.setdefault(doc, []).append((start, length, crc, total))
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(tokenizer_file).encode
+    plain: dict = {}
+    for r in rows:
+        ids = np.array([*encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4")
+        assert len(ids) <= 1024  # so that each is one piece
+        plain.setdefault(r[0], []).append((0, len(ids), zlib.crc32(ids.tobytes()), len(ids)))
+    assert {k: sorted(x) for k, x in pieces.items()} == {k: sorted(x) for k, x in plain.items()}
+    where: dict = {}
+    for _, _, length, _, _, sequence, offset in out["packing"].elements():
+        where.setdefault(sequence, []).append((offset, length))
+    for own in where.values():
+        assert [o for o, _ in sorted(own)] == np.cumsum([0, *(n for _, n in sorted(own))])[:-1].tolist() and sum(n for _, n in own) <= 1024
+
+
 def test_pipeline_runs_stage_after_stage(spark, tmp_path):
     rng = np.random.default_rng(5)
     prose = lambda k: " ".join(f"{w}" for w in rng.choice(["the", "of", "house", "water", "street", "morning", "river", "stone", "cloud", "paper"], k)) + " " + " ".join(f"w{x}" for x in rng.integers(0, 10**6, k))

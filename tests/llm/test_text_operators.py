@@ -11,12 +11,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tests_plain import WORD, base_counts, base_spans, plain_components, plain_languages, quality_verdicts
+
 from gridweave.llm import bpe, langid, ngram_join, online_packing, pii, quality, token_packing
 from gridweave.llm import textkernel as K
 
-WORD = re.compile("[^\x20\x09-\x0D]+")
-
-
 def rows_of(df):
     return sorted(map(tuple, df.collect()), key=str)
 
@@ -24,14 +23,6 @@ def rows_of(df):
 # ---- quality rules
 
 
-def base_counts(text):
-    w = WORD.findall(text or "")
-    windows = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
-    covered = {j for i in range(len(w) - 7) if windows[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
-    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
-    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
-
-
 def test_quality_counts_match_brute_force():
     random.seed(1)
     vocab = ["a", "bb", "é", "ab#", "7", "x|y", "%%", "日本"]
@@ -42,21 +33,6 @@ def test_quality_counts_match_brute_force():
         assert tuple(int(counts[c][i]) for c in quality._COUNTS) == base_counts(text)
 
 
-def quality_verdicts(rows, most=quality.LINE_DOCS, removed=quality.MAX_REMOVED):
-    """Of each (id, text, host): removed words, whether it is kept, and its text without limited lines."""
-    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
-    norm = lambda line: " ".join(WORD.findall(line.translate(fold)))
-    seen = Counter((host or "", x) for _, text, host in rows for x in {norm(y) for y in (text or "").split("\n")} if x)
-    out = []
-    for k, text, host in rows:
-        lines = [(x, seen[host or "", norm(x)] > most) for x in (text or "").split("\n")]
-        lost, (n, _, _, _, repeated) = sum(len(WORD.findall(x)) for x, gone in lines if gone), base_counts(text)
-        kept = n >= 20 and 100 * repeated <= 30 * n and lost <= removed * n
-        rest = "".join(x + "\n" * (i < len(lines) - 1) for i, (x, gone) in enumerate(lines) if not gone)
-        out.append((k, lost, kept, rest))
-    return out
-
-
 @pytest.mark.parametrize("by_join", [False, True])
 def test_quality_verdicts_match_brute_force(spark, monkeypatch, by_join):
     if by_join:
@@ -78,27 +54,6 @@ def test_quality_verdicts_match_brute_force(spark, monkeypatch, by_join):
 # ---- n-gram join
 
 
-def brute_components(rows):
-    low = lambda x: "".join(c.lower() if "A" <= c <= "Z" else c for c in x)
-    sets = {}
-    for k, text in rows:
-        w = WORD.findall(low(text or ""))
-        sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
-    parent = {k: k for k in sets}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in combinations(sorted(sets), 2):
-        x, y = sets[a], sets[b]
-        if x and y and 100 * len(x & y) >= 80 * len(x | y):
-            p, q = sorted((find(a), find(b)))
-            parent[q] = p
-    return sorted((k, len(s), find(k)) for k, s in sets.items())
-
-
 def test_ngram_join_matches_brute_force(spark):
     rng = random.Random(4)
     rows, base = [], [[f"w{rng.randrange(4000)}" for _ in range(rng.choice([1, 4, 5, 12, 60, 150]))] for _ in range(40)]
@@ -110,7 +65,7 @@ def test_ngram_join_matches_brute_force(spark):
             rows.append((len(rows), (" " if rng.random() < 0.5 else "\n").join(own)))
     rows += [(len(rows) + i, t) for i, t in enumerate([None, "", " \n", "Hot Word", "hot word", "HOT WORD extra"])]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert rows_of(ngram_join.ngram_components(df)) == sorted(brute_components(rows), key=str)
+    assert rows_of(ngram_join.ngram_components(df)) == sorted(plain_components(rows), key=str)
 
 
 def test_ngram_join_frequent_ngrams(spark, monkeypatch):
@@ -123,7 +78,7 @@ def test_ngram_join_frequent_ngrams(spark, monkeypatch):
     rows = [(i, " ".join([*(passage if i % 2 else []), *(f"w{rng.randrange(9000)}" for _ in range(30 if i % 3 else 3))])) for i in range(400)]
     # texts that share their rarest n-grams without linking: long lists of many components
     rows += [(1000 + i, " ".join([*(f"q{k}" for k in range(12)), *(f"v{rng.randrange(3)} y{rng.randrange(3)}" for _ in range(12))])) for i in range(120)]
-    assert rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(brute_components(rows), key=str)
+    assert rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(plain_components(rows), key=str)
 
 
 def test_suffix_filter_keeps_every_link(spark):
@@ -159,17 +114,6 @@ def test_suffix_filter_keeps_every_link(spark):
 # ---- personal data
 
 
-def luhn(digits):
-    return sum((int(c) * (1 + i % 2)) // 10 + (int(c) * (1 + i % 2)) % 10 for i, c in enumerate(reversed(digits))) % 10 == 0
-
-
-def base_spans(x):
-    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", x)]
-    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", x) if all(int(p) <= 255 for p in m.group().split("."))]
-    out += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", x) if 16 <= len(d := re.sub("[ -]", "", m.group())) <= 19 and luhn(d)]
-    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", x) if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
-
-
 def test_pii_matches_brute_force_and_masks(spark):
     random.seed(5)
     parts = [*"0123456789ab.@+-() _%", "..", "4111111111111111", "4111 1111-1111 1111", "@x.y", "é", "\U0001F600", "", "1.2.3.4", "+1 (988) 555-2485", "a@b.c", "DE89 3704 0044 0532 0130 00", "ssn 123-45-6789", "\n"]
@@ -231,51 +175,6 @@ def test_language_id(spark):
     assert [s.lang for s in spans] == ["en", "fr", "el"] and spans[-1].end == len(mixed)
 
 
-def plain_languages(rows):
-    """(id, language, share of letters) of (id, text, lang) rows: the same model by plain loops."""
-    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-    def script(c):
-        return next((n for n, (_, spans) in enumerate(langid.SCRIPTS.items()) if any(a <= ord(c) <= b for a, b in spans)), len(langid.SCRIPTS))
-
-    def features(word):
-        raw = word.translate(fold).encode()
-        padded = b"\0\0" + raw
-        buckets = [((padded[i + 2] << 16 | padded[i + 1] << 8 | padded[i]) * 2654435761 % 2**32) >> 16 for i in range(len(raw))]
-        return buckets, {script(c) for c in word if c.isalpha()}, sum(map(str.isalpha, word))
-
-    words = lambda text: [features(w) for w in WORD.findall(text or "")]
-    learned = {(text, lang) for k, text, lang in rows if lang is not None and text is not None and zlib.crc32(str("" if k is None else k).encode()) % 3 != 1}
-    langs = sorted({lang for _, lang in learned})
-    counts, scripts = {x: Counter() for x in langs}, {x: Counter() for x in langs}
-    for text, lang in learned:
-        for buckets, used, _ in words(text):
-            counts[lang].update(buckets)
-            scripts[lang].update(used)
-    total = {x: sum(counts[x].values()) + 0.1 * 65536 for x in langs}
-    fits = {x: {k for k, n in scripts[x].items() if n >= 0.01 * max(1, sum(scripts[x].values()))} for x in langs}
-    out = []
-    for k, text, _ in rows:
-        state, share = None, Counter()
-        path = []
-        for buckets, used, letters in words(text):
-            score = {x: sum(np.log((counts[x][b] + 0.1) / total[x]) for b in buckets) for x in langs}
-            top = max(score.values())
-            able = [x for x in langs if used & fits[x]]
-            score = {x: (-1000 if able and x not in able else score[x] - top) if letters else 0 for x in langs}
-            jump = max(langs, key=lambda x: state[x]) if state else None  # noqa: B023
-            before = {x: None if not state else x if state[x] >= state[jump] - langid.SWITCH_PENALTY else jump for x in langs}
-            state = {x: score[x] + (max(state[x], state[jump] - langid.SWITCH_PENALTY) if state else 0) for x in langs}
-            path.append((before, letters))
-        at = max(langs, key=lambda x: state[x]) if state else None  # noqa: B023
-        for before, letters in reversed(path):
-            share[at] += letters
-            at = before[at]
-        best = max(langs, key=lambda x: share[x])  # noqa: B023
-        out.append((k, best, share[best] / share.total()) if share.total() else (k, "und", 0.0))
-    return out
-
-
 def test_language_query_matches_plain_loops(spark):
     rng = random.Random(12)
     vocab = {"en": "the of and with from house water Street it's naïve".split(), "fr": "le les une avec maison rue matin eau être".split(), "el": "και το της με σπίτι Νερό δρόμος".split(), "ja": "これ は 水 です 家 の".split()}
