@@ -8,27 +8,26 @@ from pyspark.sql import functions as F
 from gridweave.llm.spark_util import cut, partitions
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", start: DataFrame | None = None) -> DataFrame:
     """node, component (the smallest id reachable) for every node of ``edges``.
 
-    Every round a node takes the smallest label among itself and its neighbours, and then that label's own
-    label, so that chains shrink by halves; rounds are cut by a checkpoint. Labels are looked up by join, so nothing is
-    collected but whether one changed. Neighbours ask for a node's label by (node, salt), so that the hub of a star, or
-    the one label of a large component, is many keys."""
-    salts = partitions(edges.sparkSession)
-    salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
+    Every round a node takes the smallest among its label, its neighbours' labels, and the label of the node that its own label
+    names, so that chains shrink by halves; rounds are cut by a checkpoint. All these labels are looked up in one join, so
+    nothing is collected but whether one changed. Nodes ask by (id, salt), so that the hub of a star, or the one label of a
+    large component, is many keys. ``start``: node, component that are known already."""
+    salt = F.pmod(F.xxhash64("node"), F.lit(partitions(edges.sparkSession))).cast("int").alias("salt")
     both = edges.select(F.col(a).alias("node"), F.col(b).alias("other")).unionByName(edges.select(F.col(b).alias("node"), F.col(a).alias("other"))).where("node <> other").distinct()
-    both = cut(both.withColumn("salt", salt))
-    pairs = cut(both.select("other", "salt").distinct())
-    labels = cut(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component")))
+    both = cut(both)
+    first = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component"))
+    if start is not None:
+        first = first.unionByName(start).groupBy("node").agg(F.min("component").alias("component"))
+    labels = cut(first)
     while True:
-        told = pairs.join(labels.select(F.col("node").alias("other"), "component"), "other")
-        seen = both.join(told, ["other", "salt"]).groupBy("node").agg(F.min("component").alias("near"))
-        nearer = labels.join(seen, "node").select("node", F.col("component").alias("before"), F.least("component", "near").alias("component"))
-        asked = nearer.select("component", salt.alias("salt")).distinct()
-        jump = asked.join(nearer.select(F.col("node").alias("component"), F.col("component").alias("further")), "component")
-        moved = nearer.withColumn("salt", salt).join(jump, ["component", "salt"], "left")
-        moved = cut(moved.select("node", F.coalesce(F.least("component", "further"), "component").alias("component"), "before"))
+        asked = both.unionByName(labels.select("node", F.col("component").alias("other"))).select("node", "other", salt)
+        known = asked.select("other", "salt").distinct().join(labels.select(F.col("node").alias("other"), "component"), "other")
+        told = asked.join(known, ["other", "salt"]).select("node", "component", F.lit(None).cast("bigint").alias("before"))
+        every = told.unionByName(labels.select("node", "component", F.col("component").alias("before")))
+        moved = cut(every.groupBy("node").agg(F.min("component").alias("component"), F.min("before").alias("before")))
         changed = moved.where("component <> before").limit(1).count()
         labels = moved.select("node", "component")
         if not changed:

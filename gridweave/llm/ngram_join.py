@@ -7,12 +7,12 @@ that many last ones: the prefix. N-grams of a single set cannot be shared at all
 order, take up prefix places, and are dropped as soon as they are counted. That leaves few nodes and few
 postings, joined on the n-gram, with filters on length, position and suffix, then verified once per pair.
 
-Postings of one n-gram are not paired with each other. First each is compared with the list's hub, which
-links most groups; then only lists that still hold several components are taken up, pairing nodes outside
-its largest component with the rest, block by block. A pair inside one component can't change the result, so no link between
-components is lost. Every posting has a summary of the suffix after its place: how many n-grams lie in each of 32 ranges of
+Postings of one n-gram are not paired with each other. Each list has a hub, its least node; first every node is compared with
+the least hub of its lists that passes the filters, which links most groups; then only lists that still hold several
+components are taken up, pairing nodes outside its largest component with the rest, block by block. A pair inside one component can't change the result, so no link between
+components is lost. Every posting has a summary of the suffix after its place: how many n-grams lie in each of 16 ranges of
 hashes. What two suffixes don't share is at least the sum of the differences of these counts (the suffix filter, with all
-five halvings made at once).
+four halvings made at once).
 
 Counting: documents are hashed twice from their texts (cheaper than keeping the sets). The first pass finds
 n-grams that fill more than a share of the documents; their count is their order, and they are not dealt out
@@ -40,17 +40,17 @@ from pyspark.sql import functions as F
 
 from gridweave.llm import textkernel as K
 from gridweave.llm.components import connected_components
-from gridweave.llm.spark_util import cut, spread_join
+from gridweave.llm.spark_util import cut, release, spread_join
 
 NGRAM = 5
 #: Similarity threshold as a fraction of whole numbers.
 OVER, UNDER = 80, 100
 #: Counters of the first pass; n-grams in more than this share of the documents, or this many, count as frequent.
-COUNTER_BITS, FREQUENT_SHARE, FREQUENT_MOST = 22, 0.005, 200_000
+COUNTER_BITS, FREQUENT_SHARE, FREQUENT_MOST = 21, 0.005, 200_000
 #: (n-gram, node) entries counted by one task and gathered by one blob; keys that one blob writer deals to.
 ENTRIES_PER_TASK, ENTRIES_PER_BLOB, FAN = 1_500_000, 2_000_000, 256
 #: Hash ranges of the suffix filter (8 to a number, a byte each), and postings in a block of a list.
-SUFFIX_PARTS, LIST_BLOCK = 32, 1000
+SUFFIX_PARTS, LIST_BLOCK = 16, 1000
 
 _SHIFT = np.uint64(64 - COUNTER_BITS)
 
@@ -332,14 +332,14 @@ def _assemble(over: int, under: int):
         grams, nodes = grams[fresh], nodes[fresh]
         begin, end = np.searchsorted(nodes, known), np.searchsorted(nodes, known, "right")
         enough = np.flatnonzero((end - begin) * under >= n * over)
-        parts = (grams >> np.uint64(59)).astype(np.int64)
+        parts = (grams >> np.uint64(64 - SUFFIX_PARTS.bit_length() + 1)).astype(np.int64)
         yield from (_with_suffixes(known[own], n[own], (end - begin)[own], begin[own], grams, parts, over, under) for own in np.split(enough, range(500, len(enough), 500)))
 
     return run
 
 
 def _with_suffixes(nodes: np.ndarray, n: np.ndarray, u: np.ndarray, begin: np.ndarray, grams: np.ndarray, parts: np.ndarray, over: int, under: int) -> pa.RecordBatch:
-    """Nodes, their n-grams in order, and for each place of the prefix four numbers with the sizes of the suffix's ranges."""
+    """Nodes, their n-grams in order, and for each place of the prefix two numbers with the sizes of the suffix's ranges."""
     prefix = u - (n * over + under - 1) // under + 1
     summaries = []
     for first, k, places in zip(begin.tolist(), u.tolist(), prefix.tolist(), strict=True):
@@ -377,7 +377,7 @@ def _promising(over: int, under: int, a: str, b: str) -> Column:
 def _verified(pairs: DataFrame, sets: DataFrame, over: int, under: int) -> DataFrame:
     """Of (a, b) pairs, each tested once: those that link."""
     side = lambda k: sets.select(F.col("node").alias(k), F.struct("n", "grams").alias(f"s{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = spread_join(spread_join(pairs, ["a"], ["b"], side("a")), ["b"], ["a"], side("b"))
     return both.where(f"size(array_intersect(sa.grams, sb.grams)) >= {_needed(over, under, 'sa.n', 'sb.n')}").select("a", "b")
 
 
@@ -403,17 +403,18 @@ def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: in
     return members, cut(sets)
 
 
-def ngram_links(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFrame:
-    """a, b: verified links that connect the same nodes as all links do."""
+def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFrame:
+    """node, component of every node that links with another."""
     kept = sets.select("node", "n", "u", "suffixes", F.expr(f"slice(grams, 1, int(u - ((n * {over} + {under - 1}) div {under}) + 1))").alias("prefix"))
     width = SUFFIX_PARTS // 8
     places = kept.select("node", "n", "suffixes", F.posexplode("prefix").alias("k", "gram"), (F.col("n") - F.col("u")).alias("before"))
     postings = places.select("gram", F.struct("node", "n", (F.col("before") + F.col("k")).alias("pos"), F.slice("suffixes", F.col("k") * width + 1, F.lit(width)).alias("suffix")).alias("p"))
     hubs = postings.groupBy("gram").agg(F.min("p").alias("hub"), F.count("*").alias("lists")).where("lists > 1")
     postings = cut(spread_join(postings, ["gram"], ["p.node"], hubs))
-    pairs = postings.where("p.node <> hub.node").where(_promising(over, under, "hub", "p")).select(F.col("hub.node").alias("a"), F.col("p.node").alias("b")).distinct()
+    pairs = postings.where("p.node <> hub.node").where(_promising(over, under, "hub", "p")).groupBy(F.col("p.node").alias("b")).agg(F.min("hub.node").alias("a"))
     links = cut(_verified(pairs, sets, over, under))
     labels = connected_components(links)
+    release(sets.sparkSession)
     labelled = postings.select("gram", "lists", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "lists", "p", F.coalesce("component", "node").alias("c"))
     # Of lists with several components still, nodes outside the largest are compared with it and with each other.
     groups = labelled.groupBy("gram", "c").agg(F.count("*").alias("m"))
@@ -426,13 +427,14 @@ def ngram_links(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFr
     others = members.select("gram", "major", F.col("c").alias("cb"), F.col("p").alias("pb"), F.explode(every).alias("i"), block.alias("j"))
     both = minor.join(others, ["gram", "i", "j"]).where(F.expr("ca <> cb AND (cb = major OR ca < cb)") & _promising(over, under, "pa", "pb"))
     rest = both.select(F.least("pa.node", "pb.node").alias("a"), F.greatest("pa.node", "pb.node").alias("b")).distinct()
-    return links.unionByName(_verified(rest, sets, over, under))
+    return connected_components(_verified(rest, sets, over, under), start=labels)
 
 
 def ngram_components(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: int = UNDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every document."""
     members, sets = ngram_nodes(docs, width, over, under, doc_id, text)
-    labels = connected_components(ngram_links(sets, over, under))
+    release(docs.sparkSession)
+    labels = ngram_classes(sets, over, under)
     nodes = members.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     grouped = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     grouped = cut(grouped)
