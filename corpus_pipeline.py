@@ -19,7 +19,7 @@ from gridweave.llm.online_packing import pack_online
 from gridweave.llm.pii import mask_personal
 from gridweave.llm.quality import apply_quality_rules
 from gridweave.llm.queries import tokenizer_path
-from gridweave.llm.spark_util import cut, importable, shared_folder
+from gridweave.llm.spark_util import cut, importable, release, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text of which the best language holds less than this share is rejected.
@@ -97,4 +97,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        release(spark)
     return docs
