@@ -18,12 +18,8 @@ from gridweave.schemas import RESPONSE_DDL, curated_schema
 
 #: Catalogs up to this many curves are broadcast to the join; larger ones are shuffled.
 BROADCAST_CURVES = 1_000_000
-
-
-def _filter_here(df: DataFrame, condition: Column) -> DataFrame:
-    """A filter that stays where it is: pushed below, it would repeat the expressions that made its columns, and generated
-    code would outgrow what the JVM compiles. The optimiser pushes nothing through a random column."""
-    return df.withColumn("__here", F.rand(0)).where(condition & (F.col("__here") >= 0)).drop("__here")
+#: Groups that a curve's rows with a declared frequency are spread over.
+SPREAD = 1 << 16
 
 
 def parse_responses(raw: DataFrame, body: str = "body", ok: str | None = None) -> DataFrame:
@@ -87,33 +83,36 @@ def explode_observations(flat: DataFrame) -> DataFrame:
     }).drop("o", "pair")
 
 
-def infer_frequency(df: DataFrame, begin: str, end: str, declared: str, keys: tuple[str, ...] = ("curve_name",), ties: tuple[str, ...] = ()) -> DataFrame:
+def infer_frequency(df: DataFrame, begin: str, end: str, declared: str, keys: tuple[str, ...] = ("curve_name",), ties: tuple[str, ...] = (), valid: Column | None = None) -> DataFrame:
     """``df`` with effective_frequency: the declared one, or else the length of the interval, the step to the next
     observation of the curve, or the step from the one before; 0 if there is none.
 
-    Rows without a declared frequency alone go through the window."""
-    order = W.partitionBy(*keys).orderBy(F.coalesce(begin, end), *ties)
+    One pass: rows without a declared frequency are sorted by curve; others, and rows that aren't ``valid``, take no part and are
+    spread over many small groups, so a curve that declares its frequency is not gathered in one task."""
+    takes_part = (F.coalesce(declared, F.lit(0)) == 0) & (F.lit(True) if valid is None else valid)
+    spread = F.when(takes_part, F.lit(-1)).otherwise(F.pmod(F.xxhash64(begin, end, *ties), F.lit(SPREAD)).cast("int"))
+    order = W.partitionBy(*keys, "__spread").orderBy(F.coalesce(begin, end), *ties)
 
     def step(c: str) -> Column:
         ahead = F.timestamp_diff("SECOND", F.col(c), F.lead(c).over(order))
         return F.coalesce(ahead, F.timestamp_diff("SECOND", F.lag(c).over(order), F.col(c)))
 
     found = F.when(F.col(begin).isNotNull() & F.col(end).isNotNull(), F.timestamp_diff("SECOND", F.col(begin), F.col(end))).when(F.col(begin).isNotNull(), step(begin)).otherwise(step(end))
-    declared_rows = df.where(F.coalesce(declared, F.lit(0)) != 0).withColumn("effective_frequency", F.col(declared).cast("bigint"))
-    open_rows = df.where(F.coalesce(declared, F.lit(0)) == 0).withColumn("effective_frequency", F.coalesce(found, F.lit(0)).cast("bigint"))
-    return declared_rows.unionByName(open_rows)
+    effective = F.when(F.col("__spread") < 0, F.coalesce(found, F.lit(0))).otherwise(F.coalesce(F.col(declared), F.lit(0)))
+    return df.withColumn("__spread", spread).withColumn("effective_frequency", effective.cast("bigint")).drop("__spread")
 
 
 def bound_intervals(rows: DataFrame) -> DataFrame:
     """Localised times, effective frequencies and interval bounds. The far end goes by the declared frequency;
-    the frequency that is stored is the effective one."""
+    the frequency that is stored is the effective one. Rows without a name, value or time are left out after the window,
+    in which they take no part: a filter below it would compute the times twice."""
     zone = F.coalesce(*(S.blank_to_null(F.col(c)) for c in ("resolution_timezone", "curve_resolution_timezone", "curve_instance_issued_timezone")))
-    kept = rows.where("curve_name IS NOT NULL").withColumn("zone", F.when(F.col("curve_type") == "OHLC", F.coalesce("resolution_timezone", F.lit("UTC"))).otherwise(zone))
-    timed = S.localize(S.localize(kept, "data_begin", "zone", "b", "bo"), "data_end", "zone", "e", "eo")
-    timed = _filter_here(timed, F.expr("value IS NOT NULL AND (b IS NOT NULL OR e IS NOT NULL)"))
-    timed = infer_frequency(timed, "b", "e", "resolution_frequency", ties=("value",))
+    zoned = rows.withColumn("zone", F.when(F.col("curve_type") == "OHLC", F.coalesce("resolution_timezone", F.lit("UTC"))).otherwise(zone))
+    timed = S.localize(S.localize(zoned, "data_begin", "zone", "b", "bo"), "data_end", "zone", "e", "eo")
+    valid = F.expr("curve_name IS NOT NULL AND value IS NOT NULL AND (b IS NOT NULL OR e IS NOT NULL)")
+    timed = infer_frequency(timed.withColumn("__valid", valid), "b", "e", "resolution_frequency", ties=("value",), valid=F.col("__valid")).where("__valid")
     timed = timed.withColumns(S.interval_bounds(F.col("b"), F.col("bo"), F.col("e"), F.col("eo"), F.col("resolution_frequency")))
-    return timed.withColumn("resolution_frequency", F.col("effective_frequency")).drop("b", "bo", "e", "eo", "zone", "effective_frequency", "data_begin", "data_end")
+    return timed.withColumn("resolution_frequency", F.col("effective_frequency")).drop("b", "bo", "e", "eo", "zone", "effective_frequency", "data_begin", "data_end", "__valid")
 
 
 def fill_defaults(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
@@ -146,7 +145,7 @@ def within(rows: DataFrame, begin: str | None = None, end: str | None = None, co
         limits &= F.col(column) >= S.utc_time(F.lit(str(begin)))
     if end:
         limits &= F.col(column) < S.utc_time(F.lit(str(end)))
-    return _filter_here(rows, limits) if "to_timestamp" in rows.columns else rows.where(limits)
+    return rows.where(limits)
 
 
 def _cast(c: Column, kind: T.DataType, source: T.DataType) -> Column:

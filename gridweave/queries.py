@@ -6,8 +6,6 @@ issued instances and requests, line items are OHLC legs, parts lend names and un
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +18,7 @@ from gridweave.operators import catalog as C
 from gridweave.operators import curation as U
 from gridweave.plans import pipeline as P
 from gridweave.plans import requests as R
+from gridweave.shared import shared_folder
 from gridweave.sources.tables import merge
 from gridweave.streaming import events as E
 
@@ -395,8 +394,7 @@ def event_last_per_curve(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT DISTINCT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS curve_name FROM events WHERE event_type <> 'error'")
 def event_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Every event arrives twice; the stream is drained through a checkpoint into a table."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    folder = f"{named or 'file://' + os.path.join(tempfile.gettempdir(), 'gridweave-streams')}/stream-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
     once = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     stream = _updates(once.unionByName(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)))

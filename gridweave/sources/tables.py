@@ -1,16 +1,19 @@
 """Keyed tables on plain Parquet.
 
-A table is a folder of numbered versions and a pointer file that names the current one; a write makes a new version
-and then moves the pointer, so readers never see half a write, and a failed one leaves the old version. Rows are spread
-over hash buckets of their keys' lead column: a write reads and rewrites only buckets that the source touches and
-hard-links nothing else, since untouched buckets are carried over by name in the pointer.
+A table is a folder of files and of numbered pointers, each naming the folders that make up every bucket; the highest number is
+the table. A write makes new folders and then the next pointer, which must not exist yet: of two writers that started from one
+version, the second finds its number taken and does its work again on the newer table, so neither loses rows and
+readers never see half a write. Rows are spread over hash buckets of their keys' lead column: a write reads and rewrites only
+buckets that the source touches; others are carried over by name.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +38,7 @@ def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
 
 
 def latest(source: DataFrame, keys: list[str], recency: str | None = None) -> DataFrame:
-    """One row per key: the most recent if a recency column is named."""
+    """One row per key: the most recent if a recency column is named; else any one of them."""
     if recency is None:
         return source.dropDuplicates(keys)
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.col(recency).desc_nulls_last()))
@@ -69,30 +72,60 @@ class KeyedTable:
         where = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _pointer(self) -> dict[str, list[str]]:
-        """Folders that make up each bucket."""
+    def _versions(self) -> list[int]:
         jvm, fs = self._fs()
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/current.json")
-        if not fs.exists(at):
-            return {}
-        return json.loads(self.spark.read.text(f"{self.path}/current.json", wholetext=True).first()[0])
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        return sorted(int(n[8:-5]) for n in names if n.startswith("pointer-") and n.endswith(".json"))
 
-    def _publish(self, pointer: dict[str, list[str]]) -> None:
+    def _pointer(self) -> tuple[int, dict[str, list[str]]]:
+        """The current version (0: none) and the folders that make up each bucket."""
+        versions = self._versions()
+        return (versions[-1], self._at(versions[-1])) if versions else (0, {})
+
+    def _at(self, version: int) -> dict[str, list[str]]:
+        return json.loads(self.spark.read.text(f"{self.path}/pointer-{version}.json", wholetext=True).first()[0])
+
+    def _publish(self, version: int, pointer: dict[str, list[str]]) -> bool:
+        """Make the pointer of a version; False if there is one already."""
         jvm, fs = self._fs()
         path = jvm.org.apache.hadoop.fs.Path
         fs.mkdirs(path(self.path))
-        draft = path(f"{self.path}/draft-{uuid.uuid4().hex}")
+        draft, final = path(f"{self.path}/draft-{uuid.uuid4().hex}"), path(f"{self.path}/pointer-{version}.json")
         out = fs.create(draft)
         out.write(bytearray(json.dumps(pointer).encode()))
         out.close()
-        options = jvm.org.apache.hadoop.fs.Options.Rename
-        overwrite = self.spark.sparkContext._gateway.new_array(options, 1)
-        overwrite[0] = options.OVERWRITE
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        context.rename(fs.makeQualified(draft), fs.makeQualified(path(f"{self.path}/current.json")), overwrite)
+        try:
+            context.rename(fs.makeQualified(draft), fs.makeQualified(final), options)
+        except Py4JJavaError as e:
+            if not isinstance_of(e, "FileAlreadyExistsException"):
+                raise
+            fs.delete(draft, False)
+            return False
+        return True
+
+    def create(self) -> KeyedTable:
+        """Make the table, empty, if there is none."""
+        if not self.exists():
+            self._publish(1, {})
+        return self
 
     def exists(self) -> bool:
-        return bool(self._pointer())
+        return bool(self._versions())
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Remove all but the last ``keep`` versions, and folders that none of these names; not while others write."""
+        jvm, fs = self._fs()
+        path, versions = jvm.org.apache.hadoop.fs.Path, self._versions()
+        used = {f.split("/")[0] for v in versions[-keep:] for fs_ in self._at(v).values() for f in fs_}
+        for v in versions[:-keep]:
+            fs.delete(path(f"{self.path}/pointer-{v}.json"), False)
+        for status in fs.listStatus(path(self.path)):
+            name = status.getPath().getName()
+            if name.startswith("v-") and name not in used:
+                fs.delete(status.getPath(), True)
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.lead), F.lit(self.buckets))
@@ -103,39 +136,42 @@ class KeyedTable:
         return self.spark.read.option("mergeSchema", "true").parquet(*(f"{self.path}/{f}" for f in folders)).drop("__bucket")
 
     def read(self) -> DataFrame:
-        return self._read(sorted({f for fs in self._pointer().values() for f in fs}))
+        return self._read(sorted({f for fs in self._pointer()[1].values() for f in fs}))
 
-    def _write(self, rows: DataFrame, touched: list[int]) -> None:
-        version = f"v-{uuid.uuid4().hex}"
-        rows.withColumn("__bucket", self._bucket()).repartition(max(1, len(touched)), "__bucket").write.partitionBy("__bucket").parquet(f"{self.path}/{version}")
-        pointer = self._pointer()
-        jvm, fs = self._fs()
-        for b in touched:
-            there = fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{version}/__bucket={b}"))
-            pointer[str(b)] = [f"{version}/__bucket={b}"] if there else []
-        self._publish(pointer)
-
-    def _touched(self, source: DataFrame) -> tuple[list[int], DataFrame]:
+    def _change(self, source: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Rewrite the buckets that ``source`` touches; again if the table has moved on meanwhile."""
         touched = sorted(r[0] for r in source.select(self._bucket()).distinct().collect())  # one row per bucket
-        pointer = self._pointer()
-        return touched, self._read(sorted({f for b in touched for f in pointer.get(str(b), [])}))
+        while touched:
+            version, pointer = self._pointer()
+            rows = change(self._read(sorted({f for b in touched for f in pointer.get(str(b), [])})))
+            folder = f"v-{uuid.uuid4().hex}"
+            rows.withColumn("__bucket", self._bucket()).repartition(max(1, len(touched)), "__bucket").write.partitionBy("__bucket").parquet(f"{self.path}/{folder}")
+            jvm, fs = self._fs()
+            for b in touched:
+                there = fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/__bucket={b}"))
+                pointer[str(b)] = [f"{folder}/__bucket={b}"] if there else []
+            if self._publish(version + 1, pointer):
+                return
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"), True)
 
     def insert(self, source: DataFrame, mode: str | None = UPSERT, recency: str | None = None) -> None:
         """Write by mode; only buckets that the source has rows for are read and written again."""
         resolve_mode(mode)
-        touched, target = self._touched(source)
-        if touched:
-            self._write(merge(target, source, self.keys, mode, recency, self.lead), touched)
+        self._change(source, lambda target: merge(target, source, self.keys, mode, recency, self.lead))
 
     def delete(self, keys: DataFrame) -> None:
         """Remove rows whose keys are in ``keys`` (a frame of the key columns)."""
-        touched, target = self._touched(keys)
-        if touched:
-            self._write(target.join(keys, _same(target, keys, self.keys), "left_anti"), touched)
+        self._change(keys, lambda target: target.join(keys, _same(target, keys, self.keys), "left_anti"))
+
+
+def isinstance_of(error: Py4JJavaError, name: str) -> bool:
+    return name in error.java_exception.getClass().getName()
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str], mode: str = UPSERT) -> None:
-    """The same writes on a catalog table with row-level operations."""
+    """The same writes on a catalog table with row-level operations; OVERWRITE, which goes by scope, is left to KeyedTable."""
+    if resolve_mode(mode) == OVERWRITE:
+        raise ValueError("OVERWRITE is not a row-level merge")
     writer = source.alias("s").mergeInto(table, F.expr(" AND ".join(f"{table}.{k} <=> s.{k}" for k in keys))).whenNotMatched().insertAll()
     if resolve_mode(mode) == UPSERT:
         writer = writer.whenMatched().updateAll()

@@ -6,8 +6,10 @@ rate limits, and a bounded drain is the availableNow trigger. Repeats are found
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -68,17 +70,43 @@ def last_per_curve(events: DataFrame) -> DataFrame:
     return ranked.select("curve_name", "e.*")
 
 
-def drain(events: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, seconds: int = 300) -> StreamingQuery:
+def drain(events: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, seconds: float | None = None) -> StreamingQuery:
     """Handle all that has arrived, in micro-batches, and stop. A batch may come again after a failure: ``handle`` must
-    be idempotent, as keyed writes are."""
+    be idempotent, as keyed writes are. With ``seconds``, TimeoutError if it takes longer: what was handled by then is in the
+    checkpoint, and the next call goes on from there."""
     query = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination(seconds)
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
+        query.stop()
+        raise TimeoutError(f"not all events were handled within {seconds} s")
     return query
 
 
-def follow(events: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str = "300 seconds") -> StreamingQuery:
-    """Handle batches as they come, at most one in each interval."""
-    return events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+def follow(events: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str = "300 seconds", restarts: int = 0, backoff: float = 1.0, most: float = 30.0) -> StreamingQuery:
+    """Handle batches as they come, at most one in each interval; how many files a batch takes at most is the reader's limit.
+    With ``restarts``, waits and starts a failed query again from its checkpoint, so often and after pauses that double."""
+    for attempt in range(restarts + 1):
+        query = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+        if not restarts:
+            return query
+        try:
+            query.awaitTermination()
+            return query
+        except StreamingQueryException:
+            if attempt == restarts:
+                raise
+            time.sleep(min(most, backoff * 2**attempt))
+    return query
+
+
+def stream(spark: SparkSession, path: str, curves: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, batch_files: int = 100, every: str | None = None, curve_types: list[str] | None = None, names: list[str] | None = None, delay: str = "10 minutes", **filters: object) -> StreamingQuery:
+    """Update events of known curves, filtered, each once, in batches bounded by number and time. If only curve types are asked
+    for, events are first reduced to the data types that curves of these have. Without ``every``, all that has arrived."""
+    if curve_types and not filters.get("data_types"):
+        filters["data_types"] = [r[0] for r in data_types_of(curves, curve_types).collect()]  # a handful of kinds
+    events = join_curves(deduplicate(filter_events(read_events(spark, path, batch_files), **filters), delay=delay), curves, curve_types, names)
+    return follow(events, handle, checkpoint, every) if every else drain(events, handle, checkpoint)
 
 
 class Progress(StreamingQueryListener):
