@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
 from gridweave.functions.hashing import signed_xxh3
+from gridweave.functions.scalars import glob_pattern
 from gridweave.operators.catalog import CURVE_TYPES, DATA_TYPES
 
 
@@ -150,6 +151,38 @@ class Curve:
         return {k: v for k, v in (pairs | {"categories": ",".join(self.categories)}).items() if v}
 
 
+    def to_metadata_row(self, now: dt.datetime) -> dict[str, Any]:
+        """The row of the catalog table; unlike whole catalogs', it tells the access too."""
+        plain = {f"curve_{k}": getattr(self, k) for k in ("name", "curve_type", "data_type", "area", "area_sink", "commodity", "source", "unit", "denominator", "instance_issued_timezone")}
+        plain["curve_type"] = plain.pop("curve_curve_type")
+        nested = {"curve_resolution_frequency": self.resolution.frequency, "curve_resolution_timezone": self.resolution.timezone, "curve_access_by": self.access.by, "curve_access_package": self.access.package}
+        return {"curve_id": self.id, **plain, **nested, "curve_categories": list(self.categories), "table_category": self.table_name(), "updated_at": now}
+
+
+def find_curve(curve: Curve | str, known: Mapping[str, Curve]) -> Curve:
+    """A curve, or the known one of that name; ValueError if there is none."""
+    if isinstance(curve, Curve):
+        return curve
+    if curve not in known:
+        raise ValueError(f"unknown curve: {curve}")
+    return known[curve]
+
+
+def iter_curves(curves: Curve | str | Iterable[Curve | str], known: Mapping[str, Curve]) -> Iterable[Curve]:
+    """The curves meant by a curve, a name or glob, or several of these."""
+    if isinstance(curves, Curve):
+        yield curves
+    elif isinstance(curves, str):
+        if curves in known:
+            yield known[curves]
+        else:
+            fits = re.compile(glob_pattern([curves]))
+            yield from (c for name, c in known.items() if fits.search(name.lower()))
+    else:
+        for curve in curves:
+            yield find_curve(curve, known)
+
+
 @dataclass(frozen=True, slots=True)
 class Instance:
     """One issue of a forecast curve."""

@@ -14,7 +14,7 @@ from pyspark.storagelevel import StorageLevel
 from gridweave.operators import catalog as C
 from gridweave.operators.curation import curate, parse_responses
 from gridweave.plans import requests as Q
-from gridweave.schemas import MERGE_KEYS, curated_schema
+from gridweave.schemas import MERGE_KEYS, catalog_schema, curated_schema
 from gridweave.sources.tables import UPSERT, KeyedTable, resolve_mode
 
 BACKFILL_SECONDS = 3600
@@ -49,10 +49,39 @@ def plan_queue(curves: DataFrame, config: Config, events: DataFrame | None = Non
     return Q.queue_rows(chosen, begin, end, config.mode, F.current_timestamp())
 
 
+def refresh_metadata(curves: DataFrame, table: KeyedTable, mode: str | None = UPSERT) -> DataFrame:
+    """Write one row per curve to the catalog table, by curve_id; returns the rows. RuntimeError for an empty catalog."""
+    rows = C.catalog_table(curves)
+    if rows.isEmpty():
+        raise RuntimeError("no curves found")
+    table.create().insert(rows, mode)
+    return rows
+
+
+def metadata_table(spark: SparkSession, folder: str, buckets: int = 4) -> KeyedTable:
+    return KeyedTable(spark, f"{folder}/curated_curve_metadata", catalog_schema(), ["curve_id"], buckets)
+
+
+def sql_over(frame: DataFrame, query: str) -> DataFrame:
+    """Rows of a query over ``frame``, which it names {self}."""
+    return frame.sparkSession.sql(query.replace("{self}", "{frame}"), frame=frame)
+
+
+NO_NEW_DATA, NO_CATEGORIES, NOTHING_PENDING = "no_new_data", "no_categories", "nothing_pending"
+
+
+def early_exit(rows: DataFrame, config: Config) -> str | None:
+    """Why there is nothing to dispatch: no curve in scope has news, or none is in scope; None if there is."""
+    if not rows.isEmpty():
+        return None
+    return NO_CATEGORIES if config.backfill else NO_NEW_DATA
+
+
 def dispatch(curves: DataFrame, queue: KeyedTable, config: Config, events: DataFrame | None = None) -> DataFrame:
     """Write the queue; returns the jobs: table_category, cluster_key, requests."""
     rows = plan_queue(curves, config, events)
-    queue.insert(rows, UPSERT)
+    if not early_exit(rows, config):
+        queue.insert(rows, UPSERT)
     return rows.groupBy("table_category").agg(F.first("cluster_key").alias("cluster_key"), F.count("*").alias("requests")).orderBy("table_category")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.functions import scalars as S
+from gridweave.operators.catalog import search
 
 # The path of each kind of curve.
 ENDPOINTS = {"INSTANCE": "instances", "INSTANCE_PERIOD": "period-instances", "OHLC": "ohlc", "PERIOD": "periods", "TIMESERIES": "timeseries", "SCENARIO_TIMESERIES": "timeseries"}
@@ -23,6 +24,50 @@ def with_defaults(requests: DataFrame, now: Column) -> DataFrame:
 
 
 
+REQUEST_DDL = "begin timestamp_ntz, end timestamp_ntz, issued_at timestamp_ntz, issued_earliest timestamp_ntz, issued_latest timestamp_ntz, tags array<string>, page_limit int, ensembles boolean, unit string, frequency string, timezone string, event_type string"
+
+
+def _requests(curves: DataFrame, own: dict[str, Column] | None = None) -> DataFrame:
+    """A request for each row of ``curves``: its columns, and those of REQUEST_DDL, null where nothing is given."""
+    own = own or {}
+    kinds = dict(part.strip().rsplit(" ", 1) for part in REQUEST_DDL.split(","))
+    inherited = {"curve_unit": F.col("unit"), "curve_frequency": F.col("resolution.frequency"), "curve_timezone": F.col("resolution.timezone")}
+    return curves.select(F.col("name"), "curve_type", "data_type", "categories", *(c.alias(k) for k, c in inherited.items()), *(own.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()))
+
+
+def requests_for(wanted: DataFrame | str | list, curves: DataFrame, **overrides: object) -> DataFrame:
+    """Requests from what names curves: a name or pattern, a frame of update events (event_type, curve_name, begin, end,
+    and perhaps instance_issued, instance_tag), a frame of curves (name, curve_type and more), a frame of requests, or a
+    list of these. Events of other kinds, and of unknown curves, give none."""
+    if isinstance(wanted, (list, tuple)):
+        parts = [requests_for(w, curves) for w in wanted]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+    elif isinstance(wanted, str):
+        out = _requests(search(curves, wanted))
+    elif not isinstance(wanted, DataFrame):
+        raise ValueError(f"cannot make requests from {type(wanted).__name__}")
+    elif "event_type" in wanted.columns and "curve_name" in wanted.columns:
+        null = {c: F.lit(None) for c in ("instance_issued", "instance_tag") if c not in wanted.columns}
+        events = wanted.where(F.col("event_type") == "CURVE_UPDATE").withColumns(null).select("event_type", "curve_name", "begin", "end", "instance_issued", "instance_tag")
+        told = curves.join(events.select(F.struct(*events.columns).alias("e"), F.col("curve_name").alias("name")), "name")
+        tags = F.when(F.col("e.instance_tag").isNotNull(), F.array("e.instance_tag")).otherwise(F.array().cast("array<string>"))
+        out = _requests(told, {"begin": F.col("e.begin"), "end": F.col("e.end"), "issued_at": F.col("e.instance_issued"), "tags": tags, "event_type": F.col("e.event_type")})
+    elif "issued_earliest" in wanted.columns:
+        out = wanted
+    else:
+        out = _requests(wanted)
+    return with_overrides(out, **overrides) if overrides else out
+
+
+def with_overrides(requests: DataFrame, **values: object) -> DataFrame:
+    """Requests with some columns replaced, by columns or plain values; null is a value like others."""
+    if unknown := sorted(set(values) - set(requests.columns)):
+        raise KeyError(f"unknown columns: {unknown}")
+    kinds = dict(requests.dtypes)
+    return requests.withColumns({k: (v if isinstance(v, Column) else F.lit(v)).cast(kinds[k]) for k, v in values.items()})
+
 
 def fan_out_windows(requests: DataFrame, begin: str = "begin", end: str = "end", frequency: str = "frequency") -> DataFrame:
     """Each window of a series in steps of a month (data within a day) or a year, counted from its begin so that days of
@@ -118,5 +163,3 @@ def must_upsert(by_event: Column, end: Column, now: Column) -> Column:
 def list_instances(instances: DataFrame, earliest: Column, latest: Column) -> DataFrame:
     """Issued instances in range, one per curve, time and tag, newest first."""
     return instances.where(F.col("issued").between(earliest, latest)).dropDuplicates(["curve_name", "issued", "tag"]).orderBy(F.desc("issued"), "curve_name", "tag")
-
-

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridweave.functions import scalars as S
 from gridweave.functions.hashing import canonical_json
@@ -19,7 +20,7 @@ from gridweave.operators import curation as U
 from gridweave.plans import pipeline as P
 from gridweave.plans import requests as R
 from gridweave.shared import shared_folder
-from gridweave.sources.tables import merge
+from gridweave.sources.tables import KeyedTable, merge
 from gridweave.streaming import events as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,13 +335,13 @@ def request_urls(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- tables, queue, events
 
-_TARGET = "SELECT o_orderkey AS id, o_custkey AS owner, o_totalprice AS price FROM orders WHERE o_orderkey % 3 <> 0"
-_SOURCE = "SELECT o_orderkey AS id, o_custkey AS owner, o_totalprice + 1 AS price FROM orders WHERE o_orderkey % 5 = 0"
+_TARGET = "SELECT o_orderkey AS id, o_custkey AS owner, o_totalprice AS price FROM orders"
+_SOURCE = "SELECT o_orderkey + 1000 AS id, o_custkey + 2 AS owner, o_totalprice + 1 AS price FROM orders"
 
 
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("owner"), F.col("o_totalprice").alias("price"))
-    return orders.where("id % 3 <> 0"), orders.where("id % 5 = 0").withColumn("price", F.col("price") + 1)
+    return orders, orders.select((F.col("id") + 1000).alias("id"), (F.col("owner") + 2).alias("owner"), (F.col("price") + 1).alias("price"))
 
 
 @query(f"WITH t AS ({_TARGET}), s AS ({_SOURCE}) SELECT * FROM t WHERE id NOT IN (SELECT id FROM s) UNION ALL SELECT * FROM s")
@@ -358,18 +359,18 @@ def overwrite_scope(spark: SparkSession, d: str) -> DataFrame:
     return merge(*_sides(spark, d), ["id"], "OVERWRITE", scope="owner")
 
 
-@query(f"WITH q AS ({_VARIANTS_SQL}) SELECT request_id FROM q WHERE split_part(request_id, '|', 1) NOT IN (SELECT c_name FROM customer WHERE c_custkey % 2 = 0)")
+@query(f"WITH q AS ({_VARIANTS_SQL}) SELECT request_id FROM q WHERE split_part(request_id, '|', 1) NOT IN (SELECT c_name FROM customer WHERE c_mktsegment = 'BUILDING')")
 def queue_drain(spark: SparkSession, d: str) -> DataFrame:
     queue = request_variants(spark, d).withColumn("curve_name", F.split("request_id", r"\|")[0])
-    done = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_name").alias("curve_name"))
+    done = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_name").alias("curve_name"))
     return queue.join(done, "curve_name", "left_anti").select("request_id")
 
 
-@query(f"WITH {CATALOG_SQL}, r AS (SELECT *, {_ROUTE} AS table_category FROM cat), c AS (SELECT * FROM r WHERE starts_with(table_category, 'actual_timeseries_consumption')) SELECT name FROM c WHERE table_category = (SELECT min(table_category) FROM c) AND k % 2 = 0")
+@query(f"WITH {CATALOG_SQL}, r AS (SELECT *, {_ROUTE} AS table_category FROM cat), c AS (SELECT * FROM r WHERE starts_with(table_category, 'actual_timeseries_consumption')) SELECT name FROM c WHERE table_category = (SELECT min(table_category) FROM c) AND area > 'F'")
 def queue_pending(spark: SparkSession, d: str) -> DataFrame:
     curves = catalog(spark, d)
     first = C.with_routes(curves).where(F.col("table_category").startswith("actual_timeseries_consumption")).agg(F.min("table_category")).first()[0]
-    queue = C.with_routes(curves).where("k % 2 = 0").select(F.col("name").alias("curve_name"), "table_category")
+    queue = C.with_routes(curves).where("area > 'F'").select(F.col("name").alias("curve_name"), "table_category")
     return P.pending_curves(queue, curves, first or "").select("name")
 
 
@@ -403,6 +404,162 @@ def event_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
+# ---- requests, events and tables, end to end
+
+
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    return R.requests_for(catalog(spark, d), catalog(spark, d))
+
+
+_NOW = "timestamp_ntz'2024-06-10 05:30:00'"
+
+
+@query(f"""WITH {CATALOG_SQL} SELECT name, TIMESTAMP '2024-06-10 05:30:00' AS "end", TIMESTAMP '2024-05-27 05:30:00' AS "begin", TIMESTAMP '2024-06-10 05:30:00' AS issued_latest, TIMESTAMP '2024-06-03 05:30:00' AS issued_earliest, unit, frequency,
+CASE WHEN curve_type <> 'OHLC' AND (frequency IS NULL OR contains(frequency, 'T')) THEN coalesce(timezone, 'UTC') END AS timezone, CAST(CASE curve_type WHEN 'INSTANCE' THEN 25 WHEN 'INSTANCE_PERIOD' THEN 20 END AS INT) AS page_limit FROM cat""")
+def request_defaults(spark: SparkSession, d: str) -> DataFrame:
+    return R.with_defaults(_requests(spark, d), F.expr(_NOW)).select("name", "end", "begin", "issued_latest", "issued_earliest", "unit", "frequency", "timezone", "page_limit")
+
+
+@query(f"""WITH {CATALOG_SQL} SELECT name, contains(unit, 'GBP') AS foreign_unit, TIMESTAMP '2024-02-01' AS "begin" FROM cat WHERE regexp_matches(lower(name), '^customer#.*7$') UNION ALL SELECT name, contains(unit, 'GBP'), TIMESTAMP '2024-02-01' FROM cat WHERE curve_type = 'OHLC'""")
+def requests_of_patterns(spark: SparkSession, d: str) -> DataFrame:
+    """Requests of a glob and of a frame of curves together, with their begin set."""
+    curves = catalog(spark, d)
+    made = R.requests_for(["Customer#*7", curves.where("curve_type = 'OHLC'")], curves, begin="2024-02-01")
+    return made.select("name", F.col("curve_unit").contains("GBP").alias("foreign_unit"), "begin")
+
+
+@query(f"WITH {CATALOG_SQL} SELECT CAST(user_id AS VARCHAR) AS name, ts AS \"begin\", ts + INTERVAL 1 DAY AS \"end\", curve_type, unit AS curve_unit FROM events JOIN cat ON user_id = k WHERE event_type <> 'error'")
+def requests_of_events(spark: SparkSession, d: str) -> DataFrame:
+    curves = catalog(spark, d).withColumn("name", F.col("k").cast("string"))
+    events = _updates(table(spark, d, "events")).withColumns({"begin": F.col("ts").cast("timestamp_ntz"), "end": F.timestamp_add("DAY", F.lit(1), F.col("ts").cast("timestamp_ntz"))})
+    return R.requests_for(events, curves).select("name", "begin", "end", "curve_type", "curve_unit")
+
+
+@query("""WITH r AS (SELECT 'c' || c_custkey AS curve_name, CASE WHEN c_custkey % 2 = 0 THEN 'INSTANCE' ELSE 'INSTANCE_PERIOD' END AS curve_type, c_custkey FROM customer),
+j AS (SELECT curve_name, curve_type, o_orderdate AS issued, o_orderpriority AS tag, time_bucket(INTERVAL 4 HOURS, o_orderdate) AS b FROM r JOIN orders ON o_custkey = c_custkey AND o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1997-01-01')
+SELECT DISTINCT curve_name, CASE curve_type WHEN 'INSTANCE' THEN issued END AS issued, CASE curve_type WHEN 'INSTANCE' THEN tag END AS issue_tag, CASE curve_type WHEN 'INSTANCE' THEN TIMESTAMP '1995-01-01' ELSE b END AS issued_earliest, CASE curve_type WHEN 'INSTANCE' THEN TIMESTAMP '1997-01-01' ELSE b + INTERVAL 4 HOURS END AS issued_latest FROM j""")
+def instance_fanout(spark: SparkSession, d: str) -> DataFrame:
+    name = lambda c: F.concat(F.lit("c"), c)
+    requests = table(spark, d, "customer").select(name("c_custkey").alias("curve_name"), F.expr("if(c_custkey % 2 = 0, 'INSTANCE', 'INSTANCE_PERIOD')").alias("curve_type"), F.expr("timestamp_ntz'1995-01-01'").alias("issued_earliest"), F.expr("timestamp_ntz'1997-01-01'").alias("issued_latest"))
+    instances = table(spark, d, "orders").select(name("o_custkey").alias("curve_name"), F.col("o_orderdate").alias("issued"), F.col("o_orderpriority").alias("tag"))
+    return R.fan_out_instances(requests, instances).select("curve_name", "issued", "issue_tag", "issued_earliest", "issued_latest")
+
+
+@query(f"""WITH {CATALOG_SQL}, p AS (SELECT *, curve_type = 'INSTANCE' AND k % 4 < 2 AS single, starts_with(curve_type, 'INSTANCE') AS inst FROM cat)
+SELECT name, CASE WHEN curve_type = 'OHLC' THEN '2024-02-01' WHEN NOT inst THEN '2024-02-01T00:00:00+00:00' END AS "end", unit, frequency, CASE WHEN curve_type = 'INSTANCE' AND NOT single THEN '2024-01-01T00:00:00+00:00' END AS earliest, CASE WHEN inst AND NOT single THEN 'EC,GFS' WHEN single THEN 'EC,GFS' END AS tags, CASE WHEN inst AND NOT single THEN '5' END AS page_size,
+CASE WHEN single THEN 'instances/' || replace(name, '#', '%23') || '/get/2024-01-03%2006%3A00%3A00%2B00%3A00/' END AS single_path FROM p""")
+def request_parameters(spark: SparkSession, d: str) -> DataFrame:
+    at = lambda text: F.expr(f"timestamp_ntz'{text}'")
+    single = (F.col("curve_type") == "INSTANCE") & (F.col("k") % 4 < 2)
+    rows = catalog(spark, d).withColumns({"ensembles": F.lit(False), "issued_at": F.when(single, at("2024-01-03 06:00:00")), "tags": F.array(F.lit("EC"), F.lit("GFS")), "begin": at("2024-01-01"), "end": at("2024-02-01"), "frequency": F.col("resolution.frequency"), "timezone": F.col("resolution.timezone"), "issued_earliest": at("2024-01-01"), "issued_latest": at("2024-02-01"), "page_limit": F.lit(5)})
+    p = R.parameters(rows)
+    return rows.select("name", p["end"].alias("end"), p["unit"].alias("unit"), p["frequency"].alias("frequency"), p["issued-at-earliest"].alias("earliest"), p["tags"].alias("tags"), p["limit"].alias("page_size"), F.when(single, R.url_path(rows)).alias("single_path"))
+
+
+@query("SELECT o_orderkey, date_trunc('hour', o_orderdate + INTERVAL (o_orderkey % 1440) MINUTE) + INTERVAL 1 HOUR AS next_hour, o_orderpriority LIKE '1%' OR o_orderdate > TIMESTAMP '1997-01-01' AS upsert FROM orders")
+def fetch_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """The next full hour, and whether stored data may come again changed."""
+    at = F.timestamp_add("MINUTE", (F.col("o_orderkey") % 1440).cast("int"), F.col("o_orderdate"))
+    return table(spark, d, "orders").select("o_orderkey", S.next_full_hour(at).alias("next_hour"), R.must_upsert(F.col("o_orderpriority").startswith("1"), F.col("o_orderdate"), F.expr("timestamp_ntz'1997-01-01'")).alias("upsert"))
+
+
+@query("""WITH o AS (SELECT event_id, user_id, CASE WHEN event_id % 3 <> 0 THEN ts END AS b, CASE WHEN event_id % 3 <> 1 THEN ts + INTERVAL 20 MINUTE END AS e FROM events),
+w AS (SELECT *, date_sub('second', b, lead(b) OVER u) AS nb, date_sub('second', lag(b) OVER u, b) AS pb, date_sub('second', e, lead(e) OVER u) AS ne, date_sub('second', lag(e) OVER u, e) AS pe FROM o WINDOW u AS (PARTITION BY user_id ORDER BY coalesce(b, e), event_id))
+SELECT event_id, CAST(CASE WHEN b IS NOT NULL AND e IS NOT NULL THEN date_sub('second', b, e) WHEN b IS NOT NULL THEN coalesce(nb, pb, 0) ELSE coalesce(ne, pe, 0) END AS BIGINT) AS frequency FROM w""")
+def infer_frequency_ends(spark: SparkSession, d: str) -> DataFrame:
+    """Begins, ends, or both: the length of the interval, or the step between neighbours' ends of the same kind."""
+    b, e = F.expr("CASE WHEN event_id % 3 <> 0 THEN ts END"), F.expr("CASE WHEN event_id % 3 <> 1 THEN ts + INTERVAL 20 MINUTE END")
+    rows = table(spark, d, "events").select("event_id", b.alias("b"), e.alias("e"), F.col("user_id").alias("curve_name"), F.lit(0).alias("declared"))
+    return U.infer_frequency(rows, "b", "e", "declared", ties=("event_id",)).select("event_id", F.col("effective_frequency").alias("frequency"))
+
+
+@query("""SELECT 'Leg ' || (l_orderkey % 50) AS curve_name, CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE l_quantity END AS value, 'front_' || l_linenumber AS scenario_name, CAST(l_linenumber AS BIGINT) AS front, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS data_begin,
+strftime(CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_shipdate AS DATE) + INTERVAL 1 DAY ELSE CAST(l_shipdate AS DATE) + INTERVAL 3 MONTH END, '%Y-%m-%d') AS data_end, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS traded_at FROM lineitem
+UNION ALL SELECT 'Event ' || user_id, value, NULL, NULL, strftime(ts, '%Y-%m-%dT%H:%M:%S'), NULL, NULL FROM events""")
+def ohlc_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Forward prices and plain series in one frame: each row takes the branch of its own kind."""
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    product = F.struct(day("l_shipdate").alias("traded_at"), day("l_shipdate").alias("delivery"), F.expr("if(l_linenumber % 2 = 0, 'day', 'Quarter')").alias("period"), F.col("l_linenumber").alias("front"))
+    legs = table(spark, d, "lineitem").select(F.to_json(F.struct(F.struct(F.concat(F.lit("Leg "), F.col("l_orderkey") % 50).alias("name"), F.lit("OHLC").alias("curve_type")).alias("curve"), F.array(F.struct(F.expr("if(l_returnflag = 'A', l_extendedprice, null)").alias("settlement"), F.col("l_quantity").alias("close"), product.alias("product"))).alias("data"))).alias("body"))
+    series = table(spark, d, "events").select(F.to_json(F.struct(F.struct(F.concat(F.lit("Event "), "user_id").alias("name"), F.lit("TIMESERIES").alias("curve_type")).alias("curve"), F.array(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("d"), F.col("value").alias("v"))).alias("data"))).alias("body"))
+    rows = U.explode_observations(U.flatten(U.parse_responses(legs.unionByName(series))))
+    return rows.select("curve_name", "value", "scenario_name", "front", "data_begin", "data_end", "traded_at")
+
+
+@query(f"WITH {CATALOG_SQL} SELECT name FROM cat WHERE (area = 'FRANCE' OR k % 3 = 0) AND k % 2 = 0 AND unit IS NOT NULL")
+def catalog_search_place(spark: SparkSession, d: str) -> DataFrame:
+    """The place's area or one of its areas, any of its fuels, and who has access."""
+    place = F.struct(F.concat(F.lit("p"), "k").alias("key"), F.col("area"), F.when(F.col("k") % 3 == 0, F.array(F.lit("FRANCE"))).alias("areas"), F.when(F.col("k") % 2 == 0, F.array(F.lit("gas"), F.lit("coal"))).alias("fuels"))
+    curves = catalog(spark, d).withColumns({"place": place, "access": F.struct(F.when(F.col("unit").isNotNull(), F.lit("me")).alias("by"), F.lit("all").alias("package"))})
+    return C.search(curves, place_area="FRANCE", place_fuel=["gas", "oil"], access_by="me", access_package=["all", "some"]).select("name")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS event_id FROM events WHERE event_type <> 'error' AND ts + INTERVAL 1 DAY >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' AND user_id % 2 = 0 AND event_type IN ('click', 'view')")
+def event_filters_all(spark: SparkSession, d: str) -> DataFrame:
+    """Window, tags, data types, commodities, and exact categories of events."""
+    events = _updates(table(spark, d, "events")).withColumns({"begin": F.col("ts"), "end": F.timestamp_add("DAY", F.lit(1), F.col("ts")), "commodity": F.expr("if(int(curve_name) % 2 = 0, 'Power', 'Gas')"), "categories": F.array(F.lit("b"), F.lit("a"))})
+    kept = E.filter_events(events, event_types=[E.CURVE_UPDATE], tags=["click", "view"], data_types=["ACTUAL"], commodities=["Power"], categories=["a"], exact_categories=["a", "b"], begin="2024-01-08 00:00:00", end="2024-01-15 00:00:00")
+    return kept.select("event_id")
+
+
+@query(f"WITH {CATALOG_SQL}, r AS (SELECT *, {_ROUTE} AS table_category FROM cat) SELECT event_id, table_category FROM events JOIN r ON user_id = k")
+def routed_rows(spark: SparkSession, d: str) -> DataFrame:
+    curves = catalog(spark, d).withColumn("name", F.col("k").cast("string"))
+    rows = table(spark, d, "events").select("event_id", F.col("user_id").cast("string").alias("curve_name"))
+    return P.route(rows, curves).select("event_id", "table_category")
+
+
+def _keyed(spark: SparkSession, columns: DataFrame, keys: list[str]) -> KeyedTable:
+    return KeyedTable(spark, f"{shared_folder(spark)}/table-{uuid.uuid4().hex}", columns.schema, keys, 8).create()
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS owner, o_totalprice AS price FROM orders UNION ALL SELECT o_orderkey + 1000000000, o_custkey, o_totalprice + 1 FROM orders WHERE o_orderkey + 1000000000 NOT IN (SELECT o_orderkey FROM orders)")
+def keyed_append(spark: SparkSession, d: str) -> DataFrame:
+    """All orders written, and written again with other prices and shifted ids: appends change nothing that is there."""
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("owner"), F.col("o_totalprice").alias("price"))
+    keyed = _keyed(spark, orders, ["id"])
+    keyed.insert(orders, "append")
+    keyed.insert(orders.withColumn("price", F.col("price") + 1), "append")
+    keyed.insert(orders.withColumns({"id": F.col("id") + 1_000_000_000, "price": F.col("price") + 1}), "append")
+    return keyed.read()
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS owner, o_totalprice + 1 AS price FROM orders")
+def keyed_upsert(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("owner"), F.col("o_totalprice").alias("price"))
+    keyed = _keyed(spark, orders, ["id"])
+    keyed.insert(orders)
+    keyed.insert(orders.withColumn("price", F.col("price") + 1))
+    return keyed.read()
+
+
+@query(f"""WITH {CATALOG_SQL}, r AS (SELECT *, {_ROUTE} AS table_category FROM cat), low AS (SELECT min(table_category) AS c FROM r)
+SELECT name AS curve_name, table_category FROM r, low WHERE table_category <> c OR area <= 'M'""")
+def queue_drained(spark: SparkSession, d: str) -> DataFrame:
+    """The whole catalog queued in a keyed table; the ingested curves of the first category drained."""
+    routed = C.with_routes(catalog(spark, d)).select(F.col("name").alias("request_id"), F.col("name").alias("curve_name"), "table_category", "area")
+    queue = _keyed(spark, routed, ["request_id"])
+    queue.insert(routed)
+    first = routed.agg(F.min("table_category")).first()[0]
+    P.drain(queue, first or "", routed.where("area > 'M'"), {"insert_failures": 0, "curation_failures": 0})
+    return queue.read().select("curve_name", "table_category")
+
+
+@query(f"WITH {CATALOG_SQL} SELECT name AS curve_name, {_ROUTE} AS table_category FROM cat WHERE starts_with({_ROUTE}, 'actual_')")
+def catalog_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog table written by key, read back, and asked in SQL."""
+    metadata = P.metadata_table(spark, f"{shared_folder(spark)}/metadata-{uuid.uuid4().hex}")
+    P.refresh_metadata(catalog(spark, d), metadata)
+    return P.sql_over(metadata.read(), "SELECT curve_name, table_category FROM {self} WHERE startswith(table_category, 'actual_')")
+
+
+@query("SELECT o_orderkey, CAST(1 AS INT) AS parts, CAST(o_custkey AS VARCHAR) AS a, CAST(NULL AS BIGINT) AS b FROM orders")
+def conform_nested(spark: SparkSession, d: str) -> DataFrame:
+    """Lists of structs: fields by name, cast, null where missing, others left out."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.array(F.struct(F.col("o_orderstatus").alias("x"), F.col("o_custkey").alias("a"))).alias("parts"))
+    out = U.conform(rows, T._parse_datatype_string("o_orderkey bigint, parts array<struct<a: string, b: bigint>>"), None)
+    return out.select("o_orderkey", F.size("parts").alias("parts"), F.inline("parts"))
+
 
 
 def queries() -> dict[str, Query]:
