@@ -7,12 +7,12 @@ that many last ones: the prefix. N-grams of a single set cannot be shared at all
 order, take up prefix places, and are dropped as soon as they are counted. That leaves few nodes and few
 postings, joined on the n-gram, with filters on length, position and suffix, then verified once per pair.
 
-Postings of one n-gram are not paired with each other. Each list has a hub, its least node; first every node is compared with
-the least hub of its lists that passes the filters, which links most groups; then only lists that still hold several
-components are taken up, pairing nodes outside its largest component with the rest, block by block. A pair inside one component can't change the result, so no link between
-components is lost. Every posting has a summary of the suffix after its place: how many n-grams lie in each of 16 ranges of
-hashes. What two suffixes don't share is at least the sum of the differences of these counts (the suffix filter, with all
-four halvings made at once).
+Postings of one n-gram are not paired with each other. Each list has a probe, its least node; first every node is
+compared with the least probe of its lists that passes the filters. Lists that still hold several components are then taken up
+whole: nodes outside a list's largest component are paired with the rest, block by block. A pair inside one component can't change the result, so no link between
+components is lost. Every posting has a summary of the suffix after its place: for each of 128 ranges of hashes, whether it holds an
+odd number of the suffix's n-grams. Where two suffixes differ in this they differ in an n-gram of that range, so what they don't
+share is at least the number of such ranges (the suffix filter, with all seven halvings made at once).
 
 Counting: documents are hashed twice from their texts (cheaper than keeping the sets). The first pass finds
 n-grams that fill more than a share of the documents; their count is their order, and they are not dealt out
@@ -49,8 +49,8 @@ OVER, UNDER = 80, 100
 COUNTER_BITS, FREQUENT_SHARE, FREQUENT_MOST = 21, 0.005, 200_000
 #: (n-gram, node) entries counted by one task and gathered by one blob; keys that one blob writer deals to.
 ENTRIES_PER_TASK, ENTRIES_PER_BLOB, FAN = 1_500_000, 2_000_000, 256
-#: Hash ranges of the suffix filter (8 to a number, a byte each), and postings in a block of a list.
-SUFFIX_PARTS, LIST_BLOCK = 16, 1000
+#: Hash ranges of the suffix filter (64 to a number, a bit each), and postings in a block of a list.
+SUFFIX_PARTS, LIST_BLOCK = 128, 1000
 
 _SHIFT = np.uint64(64 - COUNTER_BITS)
 
@@ -339,18 +339,19 @@ def _assemble(over: int, under: int):
 
 
 def _with_suffixes(nodes: np.ndarray, n: np.ndarray, u: np.ndarray, begin: np.ndarray, grams: np.ndarray, parts: np.ndarray, over: int, under: int) -> pa.RecordBatch:
-    """Nodes, their n-grams in order, and for each place of the prefix two numbers with the sizes of the suffix's ranges."""
+    """Nodes, their n-grams in order, and for each place of the prefix two numbers with a bit for each range of the suffix: set if
+    it holds an odd number of n-grams."""
     prefix = u - (n * over + under - 1) // under + 1
     summaries = []
     for first, k, places in zip(begin.tolist(), u.tolist(), prefix.tolist(), strict=True):
-        held = np.bincount(parts[first : first + k], minlength=SUFFIX_PARTS)
-        gone = np.zeros((places, SUFFIX_PARTS), np.int64)
-        gone[np.arange(places), parts[first : first + places]] = 1
-        left = held - np.cumsum(gone, axis=0)
-        summaries.append(np.minimum(left, 255).astype(np.uint8).view(np.int64).ravel())
+        own = parts[first : first + k]
+        bits = np.zeros((k, SUFFIX_PARTS // 64), np.uint64)
+        bits[np.arange(k), own // 64] = np.uint64(1) << (own % 64).astype(np.uint64)
+        left = np.bitwise_xor.reduce(bits, axis=0) ^ np.bitwise_xor.accumulate(bits[:places], axis=0)
+        summaries.append(left.view(np.int64).ravel())
     taken = np.repeat(begin, u) + K.ranges(u)
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(u))), pa.int32()), pa.array(K.signed(grams[taken])))
-    suffixes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(prefix * (SUFFIX_PARTS // 8)))), pa.int32()), pa.array(np.concatenate([*summaries, np.zeros(0, np.int64)])))
+    suffixes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(prefix * (SUFFIX_PARTS // 64)))), pa.int32()), pa.array(np.concatenate([*summaries, np.zeros(0, np.int64)])))
     return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(n), pa.array(u), lists, suffixes], ["node", "n", "u", "grams", "suffixes"])
 
 
@@ -361,9 +362,8 @@ def _needed(over: int, under: int, a: str, b: str) -> str:
 
 def _suffix(over: int, under: int, a: str, b: str) -> Column:
     """Suffix filter for two postings of one n-gram, the first that their sets share: apart from it they can only share
-    n-grams of both suffixes, and these differ in as many as their ranges do in size."""
-    byte = lambda x, k: f"(shiftright({x}.suffix[{k // 8}], {8 * (k % 8)}) & 255L)"
-    apart = " + ".join(f"abs({byte(a, k)} - {byte(b, k)})" for k in range(SUFFIX_PARTS))
+    n-grams of both suffixes, and these differ in at least as many as there are ranges of different parity."""
+    apart = " + ".join(f"bit_count({a}.suffix[{k}] ^ {b}.suffix[{k}])" for k in range(SUFFIX_PARTS // 64))
     return F.expr(f"{a}.n - {a}.pos + {b}.n - {b}.pos - 2 - ({apart}) >= 2 * ({_needed(over, under, f'{a}.n', f'{b}.n')} - 1)")
 
 
@@ -403,31 +403,41 @@ def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: in
     return members, cut(sets)
 
 
+def _with_probe(lists: DataFrame) -> DataFrame:
+    """``lists`` (gram, p, c) of two postings or more, with their least posting and their length."""
+    probes = lists.groupBy("gram").agg(F.min(F.struct("p", "c")).alias("probe"), F.count("*").alias("lists")).where("lists > 1")
+    return spread_join(lists, ["gram"], ["p.node"], probes)
+
+
+def _of_mixed(labelled: DataFrame) -> DataFrame:
+    """The postings (gram, lists, p, c) of lists that hold several components, with the largest of them."""
+    groups = labelled.groupBy("gram", "c").agg(F.count("*").alias("m"))
+    mixed = groups.groupBy("gram").agg(F.max_by("c", F.struct("m", "c")).alias("major"), F.count("*").alias("groups")).where("groups > 1").select("gram", "major")
+    return spread_join(labelled, ["gram"], ["p.node"], mixed)
+
+
 def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFrame:
     """node, component of every node that links with another."""
     kept = sets.select("node", "n", "u", "suffixes", F.expr(f"slice(grams, 1, int(u - ((n * {over} + {under - 1}) div {under}) + 1))").alias("prefix"))
-    width = SUFFIX_PARTS // 8
+    width = SUFFIX_PARTS // 64
     places = kept.select("node", "n", "suffixes", F.posexplode("prefix").alias("k", "gram"), (F.col("n") - F.col("u")).alias("before"))
-    postings = places.select("gram", F.struct("node", "n", (F.col("before") + F.col("k")).alias("pos"), F.slice("suffixes", F.col("k") * width + 1, F.lit(width)).alias("suffix")).alias("p"))
-    hubs = postings.groupBy("gram").agg(F.min("p").alias("hub"), F.count("*").alias("lists")).where("lists > 1")
-    postings = cut(spread_join(postings, ["gram"], ["p.node"], hubs))
-    pairs = postings.where("p.node <> hub.node").where(_promising(over, under, "hub", "p")).groupBy(F.col("p.node").alias("b")).agg(F.min("hub.node").alias("a"))
-    links = cut(_verified(pairs, sets, over, under))
-    labels = connected_components(links)
+    lists = places.select("gram", F.struct("node", "n", (F.col("before") + F.col("k")).alias("pos"), F.slice("suffixes", F.col("k") * width + 1, F.lit(width)).alias("suffix")).alias("p"), F.col("node").alias("c"))
+    probed = cut(_with_probe(lists))
+    pairs = probed.where("c <> probe.c").where(_promising(over, under, "probe.p", "p")).groupBy(F.col("p.node").alias("b")).agg(F.min("probe.p.node").alias("a"))
+    labels = connected_components(_verified(pairs, sets, over, under))
+    known = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    labelled = probed.select("gram", "lists", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "lists", "p", F.coalesce("component", "node").alias("c"))
+    members = cut(_of_mixed(labelled))
     release(sets.sparkSession)
-    labelled = postings.select("gram", "lists", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "lists", "p", F.coalesce("component", "node").alias("c"))
-    # Of lists with several components still, nodes outside the largest are compared with it and with each other.
-    groups = labelled.groupBy("gram", "c").agg(F.count("*").alias("m"))
-    mixed = groups.groupBy("gram").agg(F.max_by("c", F.struct("m", "c")).alias("major"), F.count("*").alias("groups")).where("groups > 1").select("gram", "major")
-    members = cut(spread_join(labelled, ["gram"], ["p.node"], mixed).select("gram", "major", "c", "p", F.expr(f"int((lists + {LIST_BLOCK - 1}) div {LIST_BLOCK})").alias("blocks")))
     # A long list is a square of blocks, each pair of blocks a key of its own.
+    members = members.withColumn("blocks", F.expr(f"int((lists + {LIST_BLOCK - 1}) div {LIST_BLOCK})"))
     block = F.pmod(F.xxhash64("p.node", "gram"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     minor = members.where("c <> major").select("gram", F.col("c").alias("ca"), F.col("p").alias("pa"), block.alias("i"), F.explode(every).alias("j"))
     others = members.select("gram", "major", F.col("c").alias("cb"), F.col("p").alias("pb"), F.explode(every).alias("i"), block.alias("j"))
     both = minor.join(others, ["gram", "i", "j"]).where(F.expr("ca <> cb AND (cb = major OR ca < cb)") & _promising(over, under, "pa", "pb"))
     rest = both.select(F.least("pa.node", "pb.node").alias("a"), F.greatest("pa.node", "pb.node").alias("b")).distinct()
-    return connected_components(_verified(rest, sets, over, under), start=labels)
+    return connected_components(_verified(rest, sets, over, under).unionByName(known))
 
 
 def ngram_components(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: int = UNDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -15,6 +15,7 @@ from tests_plain import WORD, base_counts, base_spans, plain_components, plain_l
 
 from gridweave.llm import bpe, langid, ngram_join, online_packing, pii, quality, token_packing
 from gridweave.llm import textkernel as K
+from gridweave.llm.components import connected_components
 
 def rows_of(df):
     return sorted(map(tuple, df.collect()), key=str)
@@ -81,6 +82,29 @@ def test_ngram_join_frequent_ngrams(spark, monkeypatch):
     assert rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(plain_components(rows), key=str)
 
 
+def test_ngram_join_near_copies_about_the_threshold(spark):
+    """Groups in which some pairs link and many don't: links of later steps reach nodes that are not the name of their component."""
+    rng = random.Random(8)
+    rows = []
+    for g in range(8):
+        text = [f"g{g}w{k}" for k in range(90)]
+        for _ in range(40):
+            own = list(text)
+            for _ in range(rng.randrange(1, 4)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    want = plain_components(rows)
+    assert rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(want, key=str)
+    assert 8 < len({x[2] for x in want}) < len(rows)
+
+
+def test_components_take_known_ones_as_edges(spark):
+    """A new link at a member of a known component moves the whole of it."""
+    known, new = [(50, 51), (50, 52), (50, 53), (70, 71)], [(53, 10), (71, 52)]
+    got = connected_components(spark.createDataFrame(known + new, "a long, b long"))
+    assert rows_of(got) == sorted(((k, 10) for k in (10, 50, 51, 52, 53, 70, 71)), key=str)
+
+
 def test_suffix_filter_keeps_every_link(spark):
     """Of all pairs that share an n-gram, no linked one fails the filters at the first that they share; many others do."""
     rng = random.Random(6)
@@ -94,7 +118,7 @@ def test_suffix_filter_keeps_every_link(spark):
             rows.append((len(rows), " ".join(own)))
     _, sets = ngram_join.ngram_nodes(spark.createDataFrame(rows, "doc_id long, text string"))
     found = {r.node: r for r in sets.collect()}
-    width, kept, dropped = ngram_join.SUFFIX_PARTS // 8, 0, 0
+    width, kept, dropped = ngram_join.SUFFIX_PARTS // 64, 0, 0
     for a, b in combinations(found.values(), 2):
         shared = set(a.grams) & set(b.grams)
         if not shared:
@@ -102,10 +126,10 @@ def test_suffix_filter_keeps_every_link(spark):
         at = [next(i for i, g in enumerate(x.grams) if g in shared) for x in (a, b)]
         if any((i + 1) * width > len(x.suffixes) for i, x in zip(at, (a, b), strict=True)):
             continue
-        sizes = [np.array(x.suffixes[i * width : (i + 1) * width], np.int64).view(np.uint8).astype(int) for i, x in zip(at, (a, b), strict=True)]
+        odd = [np.unpackbits(np.array(x.suffixes[i * width : (i + 1) * width], np.int64).view(np.uint8)).astype(int) for i, x in zip(at, (a, b), strict=True)]
         needed = -(-(a.n + b.n) * 80 // 180)
         rest = [x.u - i - 1 for i, x in zip(at, (a, b), strict=True)]
-        passes = sum(rest) - np.abs(sizes[0] - sizes[1]).sum() >= 2 * (needed - 1)
+        passes = sum(rest) - np.abs(odd[0] - odd[1]).sum() >= 2 * (needed - 1)
         assert passes or len(shared) < needed
         kept, dropped = kept + passes, dropped + (not passes)
     assert kept and dropped > 3 * kept
