@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from gridweave.llm.ann import nearest
 from gridweave.llm.bpe import encoding_digests
+from gridweave.llm.conversation_repair import repair_damaged
+from gridweave.llm.decontamination import WIDTH, contamination_digests
+from gridweave.llm.filter_audit import filter_audit
 from gridweave.llm.langid import language_ids
 from gridweave.llm.ngram_join import NGRAM, OVER, UNDER, ngram_components
 from gridweave.llm.online_packing import pack_online
@@ -102,8 +105,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_packing, op2_url_filter, op3_ngram_jaccard_join, op4_pii, op5_language_id, op6_online_packing, op7_quality_rules, op8_ann, op9_bpe, op10_sharding)}
+    return {f.__name__: f for f in (op1_token_packing, op2_url_filter, op3_ngram_jaccard_join, op4_pii, op5_language_id, op6_online_packing, op7_quality_rules, op8_ann, op9_bpe, op10_sharding, op11_conversation_repair, op12_decontamination, op13_filter_audit)}
 
 
 _URL_ORACLE = f"""WITH caught AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes(CAST((page_id * 4099) % 527040 AS BIGINT)) AS fetched_at,
@@ -145,5 +160,55 @@ least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
 SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(y, w.doc_id)) AS component_id FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON w.doc_id = least.x"""
 
 
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: All windows of documents, of every length that items have, joined with those of items.
+_LEAKS_ORACLE = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '{_TERM}') AS words FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '{_TERM}') AS words FROM benchmark),
+win AS (SELECT DISTINCT item, k, array_to_string(words[i:i + k - 1], ' ') AS win FROM (SELECT item, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM (SELECT *, least(len(words), {WIDTH}) AS k FROM b WHERE len(words) > 0))),
+spots AS (SELECT r, k, i, array_to_string(words[i:i + k - 1], ' ') AS win FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win) WHERE len(words) >= k)),
+hits AS (SELECT r, k, i, item FROM spots JOIN win USING (k, win)),
+words_hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r),
+held AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(words_hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(held.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(words_hit.n, 0) > 0 AS contaminated FROM d LEFT JOIN words_hit USING (r) LEFT JOIN held USING (r)"""
+
+#: Every document through every order: each filter's failures, then all prefixes of all orders.
+_AUDIT_ORACLE = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id),
+f AS (SELECT d.*, coalesce(good, false) AS good, coalesce(bad, false) AS bad, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN len(words) < 100 WHEN 'B' THEN 100 * len(list_distinct(words)) < 80 * len(words)
+  WHEN 'C' THEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) WHEN 'D' THEN regexp_matches(text, '[#$%&*|]') ELSE coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) END) AS fails FROM d LEFT JOIN l USING (doc_id)),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, CAST(k AS INT) AS step, filter_order[k] AS x, string_split(filter_order[1:k - 1], '') AS before FROM orders, range(1, 6) AS t(k)),
+kinds AS (SELECT part, fails, good, bad, count(*) AS n FROM f GROUP BY ALL),
+told AS (SELECT part, filter_order, step, x, n, good, bad, list_contains(fails, x) AS failing, list_has_any(fails, before) AS gone, fails = [x] AS alone FROM kinds, steps),
+rows_of AS (SELECT part, filter_order, step, x, CAST(sum(CASE WHEN NOT failing AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed, CAST(sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN alone THEN n ELSE 0 END) AS BIGINT) AS unique_fails, CAST(sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN failing AND NOT gone AND bad THEN n ELSE 0 END) AS BIGINT) AS toxic_lost FROM told GROUP BY part, filter_order, step, x)
+SELECT * EXCLUDE (x), CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM rows_of"""
+
+
+#: The dynamic programme by recursion over places, with the edits as texts; all conversations on their own.
+_REPAIR_ORACLE = r"""WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce([4294967295] || list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda a, b: xor(a >> 8, step[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind FROM conversations, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM keyed),
+placed AS (SELECT conv_id, turn, role, text, left(role, 1) AS ini, row_number() OVER w AS place, lag(left(role, 1)) OVER w AS before, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS tail FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+faults AS (SELECT *, CASE WHEN tail = '' THEN 'blank' WHEN place > min(place) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+nexts(a, b) AS (VALUES (0, 2), (1, 2), (2, 3), (3, 2)),
+ins(st, onto, extra, pre) AS (SELECT a, a, 0, '' FROM nexts UNION ALL SELECT a, b, 2, 'I' FROM nexts UNION ALL SELECT x.a, y.b, 4, 'II' FROM nexts x JOIN nexts y ON x.b = y.a),
+keeps(onto, ini, b) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+moves AS (SELECT st, onto, CAST(NULL AS VARCHAR) AS ini, extra + 3 AS cost, pre || 'D' AS edits FROM ins UNION ALL SELECT st, b, NULL, extra + 2, pre || 'R' FROM ins JOIN nexts ON onto = a UNION ALL SELECT st, b, ini, extra, pre || 'K' FROM ins JOIN keeps USING (onto)),
+layers AS (SELECT conv_id, 0 AS place, 0 AS st, 0 AS cost, '' AS audit FROM (SELECT DISTINCT conv_id FROM faults) UNION ALL
+  SELECT l.conv_id, f.place, onto, min(l.cost + m.cost + CASE WHEN fault = 'truncated' AND edits NOT LIKE '%D' THEN 1 ELSE 0 END), arg_min(audit || edits, (l.cost + m.cost + CASE WHEN fault = 'truncated' AND edits NOT LIKE '%D' THEN 1 ELSE 0 END, audit || edits))
+  FROM layers l JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.place = l.place + 1 JOIN moves m ON m.st = l.st AND (m.ini IS NULL OR m.ini = f.ini) AND (edits LIKE '%D' OR fault NOT IN ('blank', 'duplicate')) GROUP BY l.conv_id, f.place, onto),
+ends(st, extra, post) AS (VALUES (0, 0, ''), (3, 0, ''), (2, 2, 'I'), (1, 4, 'II')),
+best AS (SELECT l.conv_id, min(cost + extra) AS cost, arg_min(audit || post, (cost + extra, audit || post)) AS audit FROM layers l JOIN ends USING (st) JOIN (SELECT conv_id, max(place) AS n FROM faults GROUP BY conv_id) t ON t.conv_id IS NOT DISTINCT FROM l.conv_id AND n = l.place GROUP BY l.conv_id),
+edits AS (SELECT conv_id, audit, j, audit[j] AS edit, len(replace(audit[1:j], 'I', '')) AS place, len(replace(audit[1:j], 'D', '')) AS m FROM best, unnest(range(1, len(audit) + 1)) AS t(j)),
+lines AS (SELECT e.conv_id, j, edit, m, f.role, CASE edit WHEN 'I' THEN '' ELSE f.text END AS text, max(CASE WHEN m = 1 AND edit = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS led FROM edits e LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.place = e.place WHERE edit <> 'D'),
+texts AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (m - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS whole FROM lines GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts k ON k.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _URL_ORACLE, "op3_ngram_jaccard_join": _JACCARD_ORACLE, "op7_quality_rules": _QUALITY_ORACLE}
+    return {"op2_url_filter": _URL_ORACLE, "op3_ngram_jaccard_join": _JACCARD_ORACLE, "op7_quality_rules": _QUALITY_ORACLE, "op11_conversation_repair": _REPAIR_ORACLE, "op12_decontamination": _LEAKS_ORACLE, "op13_filter_audit": _AUDIT_ORACLE}
