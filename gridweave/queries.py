@@ -22,6 +22,7 @@ from gridweave.plans import requests as R
 from gridweave.shared import shared_folder
 from gridweave.sources.tables import KeyedTable, merge
 from gridweave.streaming import events as E
+from gridweave.streaming import stateful as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -404,6 +405,39 @@ def event_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
+def _drained(spark: SparkSession, d: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The events, errors taken as disconnections, through ``change`` as a stream, drained into a table."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    events = stream.select(F.col("event_id").cast("string").alias("event_id"), F.when(F.col("event_type") == "error", ST.DISCONNECTED).otherwise(E.CURVE_UPDATE).alias("event_type"), "ts", "user_id")
+    E.drain(change(events), lambda batch, _: batch.write.mode("append").parquet(f"{folder}/out"), f"{folder}/checkpoint").stop()
+    return spark.read.parquet(f"{folder}/out")
+
+
+_LANES, _BATCH, _RECENT = 16, 20, 8
+
+
+@query(f"""WITH e AS (SELECT user_id % {_LANES} AS lane, CAST(event_id AS VARCHAR) AS event_id, ts, event_type = 'error' AS off FROM events),
+s AS (SELECT *, coalesce(sum(CAST(off AS INT)) OVER (PARTITION BY lane ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg, sum(CAST(off AS INT)) OVER (PARTITION BY lane) AS segs FROM e),
+n AS (SELECT *, row_number() OVER (PARTITION BY lane, seg ORDER BY ts, event_id) - 1 AS k, count(*) OVER (PARTITION BY lane, seg) AS n FROM s WHERE NOT off),
+b AS (SELECT lane, seg, (max(n) + {_BATCH - 1}) // {_BATCH} AS batches FROM n GROUP BY lane, seg),
+f AS (SELECT lane, seg, coalesce(sum(batches) OVER (PARTITION BY lane ORDER BY seg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM b)
+SELECT CAST(lane AS BIGINT) AS lane, CAST(first + k // {_BATCH} AS BIGINT) AS batch, CAST(k % {_BATCH} AS INT) AS place, CASE WHEN (k // {_BATCH} + 1) * {_BATCH} <= n THEN 'size' ELSE 'disconnect' END AS reason, event_id
+FROM n JOIN f USING (lane, seg) WHERE seg < segs OR (k // {_BATCH} + 1) * {_BATCH} <= n""")
+def event_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of events by lane: full ones, and those that a disconnection closes; the last, open one of each lane waits in the state."""
+    return _drained(spark, d, lambda events: ST.batch_events(events, _BATCH, None, F.col("user_id") % _LANES)).select("lane", "batch", "place", "reason", "event_id")
+
+
+@query(f"""WITH e AS (SELECT user_id % {_LANES} AS lane, user_id AS u, CAST(event_id AS VARCHAR) AS event_id, row_number() OVER (PARTITION BY user_id % {_LANES} ORDER BY ts, CAST(event_id AS VARCHAR)) AS p FROM events WHERE event_type <> 'error'),
+l AS (SELECT *, lag(p) OVER (PARTITION BY lane, u ORDER BY p) AS q FROM e),
+between_two AS (SELECT l.event_id, count(DISTINCT x.u) AS n FROM l JOIN e x ON x.lane = l.lane AND x.p > l.q AND x.p < l.p GROUP BY l.event_id)
+SELECT l.event_id FROM l LEFT JOIN between_two b USING (event_id) WHERE q IS NULL OR coalesce(n, 0) >= {_RECENT}""")
+def event_recent(spark: SparkSession, d: str) -> DataFrame:
+    """Events of users that are not among the last few different users of their lane."""
+    return _drained(spark, d, lambda events: ST.deduplicate_recent(events.where(F.col("event_type") == E.CURVE_UPDATE), _RECENT, ["user_id"], F.col("user_id") % _LANES)).select("event_id")
+
+
 # ---- requests, events and tables, end to end
 
 
