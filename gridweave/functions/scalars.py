@@ -117,13 +117,20 @@ def localize(df: DataFrame, text: str, zone: str, utc: str, offset: str) -> Data
     return out.withColumn(offset, F.when(F.col(utc).isNotNull(), F.coalesce(given, standard_offset(F.col(utc), F.col(zone))))).drop(*own.values())
 
 
-def normal_zone(c: Column) -> Column:
-    """Zone names that the data source abbreviates, as IANA names; others stay."""
+def normal_zone(c: Column, aliases: dict[str, str] | None = None) -> Column:
+    """Zone names that the data source abbreviates, as IANA names, in any case; others, known or not, stay as they are. ``aliases`` are further
+    ones, which come first."""
+    table = {k.upper(): v for k, v in (ZONE_ALIASES | (aliases or {})).items()}
     text = blank_to_null(c)
-    out = text
-    for alias, name in ZONE_ALIASES.items():
-        out = F.when(text == alias, F.lit(name)).otherwise(out)
-    return out
+    names = F.create_map(*(F.lit(x) for pair in table.items() for x in pair))
+    return F.coalesce(names[F.upper(text)], text)
+
+
+def instant(c: Column, now: Column) -> Column:
+    """A text as UTC time: "now" (in any case) is ``now``; a day, or a time with or without an offset (none: UTC); else null."""
+    text = F.trim(c)
+    day = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date").cast("timestamp_ntz"))
+    return F.when(F.lower(text) == "now", now.cast("timestamp_ntz")).otherwise(F.coalesce(day, utc_time(text)))
 
 
 def ohlc_period_end(delivery: Column, period: Column) -> Column:

@@ -137,30 +137,55 @@ def categories(curves: DataFrame) -> DataFrame:
     return with_routes(curves).select("table_category").distinct().orderBy("table_category")
 
 
-def select_curves(curves: DataFrame, table_categories: list[str] | None = None, ids: list[str] | None = None) -> DataFrame:
-    """Curves of the categories, and among the ids (numbers as text) or names."""
+def wanted_curves(curves: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Curves whose id (a number as text) or name is in ``wanted`` (one text column): the union of both look-ups."""
+    texts = wanted.select(F.col(wanted.columns[0]).cast("string").alias("__wanted")).distinct()
+    keyed = curves.withColumn("__id", xxh3_64(F.col("name")).cast("string"))
+    by = lambda c: keyed.join(texts, keyed[c] == texts["__wanted"], "left_semi")
+    others = keyed.join(texts, keyed["name"] == texts["__wanted"], "left_anti")
+    return by("name").unionByName(others.join(texts, others["__id"] == texts["__wanted"], "left_semi")).drop("__id")
+
+
+def missing_curves(curves: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of ``wanted`` (one text column), what is neither a curve's id nor its name."""
+    known = curves.select(F.explode(F.array("name", xxh3_64(F.col("name")).cast("string"))).alias("__known"))
+    texts = wanted.select(F.col(wanted.columns[0]).cast("string").alias("wanted")).where("wanted IS NOT NULL").distinct()
+    return texts.join(known, F.col("wanted") == F.col("__known"), "left_anti")
+
+
+def missing_categories(curves: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of ``wanted`` (one text column), the table categories that no curve has."""
+    texts = wanted.select(F.col(wanted.columns[0]).alias("wanted")).where("wanted IS NOT NULL").distinct()
+    return texts.join(with_routes(curves).select(F.col("table_category").alias("wanted")), "wanted", "left_anti")
+
+
+def _texts(curves: DataFrame, values: list[str]) -> DataFrame:
+    return curves.sparkSession.createDataFrame([(v,) for v in values], "wanted string")
+
+
+def select_curves(curves: DataFrame, table_categories: list[str] | None = None, ids: list[str] | DataFrame | None = None) -> DataFrame:
+    """Curves of the categories, and among the ids (numbers as text) or names: a list, or a frame of one text column."""
     out = with_routes(curves)
     if table_categories:
         out = out.where(F.col("table_category").isin(*table_categories))
-    if ids:
-        out = out.where(xxh3_64(F.col("name")).cast("string").isin(*ids) | F.col("name").isin(*ids))
+    if isinstance(ids, DataFrame) or ids:
+        out = wanted_curves(out, ids if isinstance(ids, DataFrame) else _texts(curves, ids))
     return out
 
 
 def check_scope(curves: DataFrame, table_categories: list[str] | None = None, ids: list[str] | None = None) -> None:
-    """ValueError for categories or ids that no curve has."""
-    routed = with_routes(curves)
-    if table_categories:
-        found = {r[0] for r in routed.where(F.col("table_category").isin(*table_categories)).select("table_category").distinct().collect()}
-        if missing := sorted(set(table_categories) - found):
-            raise ValueError(f"unknown categories: {missing}")
-    if ids:
-        found = {x for r in select_curves(curves, ids=ids).select("name", xxh3_64(F.col("name")).cast("string")).collect() for x in r}
-        if missing := sorted(set(ids) - found):
-            raise ValueError(f"unknown curves: {missing}")
+    """ValueError for categories or ids that no curve has; it names the first of them."""
+    for what, values, missing in (("categories", table_categories, missing_categories), ("curves", ids, missing_curves)):
+        if values and (found := sorted(r[0] for r in missing(curves, _texts(curves, values)).limit(20).collect())):
+            raise ValueError(f"unknown {what}: {found}")
 
 
-def curve_tags(curve: DataFrame) -> Column:
-    """Name, area, unit, commodity, kinds and categories as a map, without nulls."""
+def curve_tags(request_tags: Column | None = None) -> Column:
+    """Name, area, unit, commodity, kinds and categories of a curve as a map, without nulls; with the request's own tags (a map), which take
+    the place of the curve's."""
     pairs = F.create_map(*(x for k in ("name", "area", "unit", "commodity", "data_type", "curve_type") for x in (F.lit(k), F.col(k))), F.lit("categories"), F.nullif(F.array_join("categories", ","), F.lit("")))
-    return F.map_filter(pairs, lambda _, v: v.isNotNull() & (v != ""))
+    own = F.map_filter(pairs, lambda _, v: v.isNotNull() & (v != ""))
+    if request_tags is None:
+        return own
+    given = F.coalesce(request_tags, F.create_map().cast("map<string,string>"))
+    return F.map_concat(F.map_filter(own, lambda k, _: ~F.map_contains_key(given, k)), given)

@@ -22,10 +22,14 @@ BROADCAST_CURVES = 1_000_000
 SPREAD = 1 << 16
 
 
-def parse_responses(raw: DataFrame, body: str = "body", ok: str | None = None) -> DataFrame:
-    """JSON bodies as columns of the superset schema; rows whose ``ok`` is not true are left out."""
+def parse_responses(raw: DataFrame, body: str = "body", ok: str | None = None, malformed: str | None = None) -> DataFrame:
+    """JSON bodies as columns of the superset schema; rows whose ``ok`` is not true are left out. With ``malformed``, a column of this
+    name holds the body where it isn't JSON (its other columns are null); else such bodies are rows of nulls."""
     kept = raw.where(F.col(ok)) if ok else raw
-    return kept.select(F.from_json(body, RESPONSE_DDL).alias("r")).select("r.*")
+    if malformed is None:
+        return kept.select(F.from_json(body, RESPONSE_DDL).alias("r")).select("r.*")
+    options = {"columnNameOfCorruptRecord": malformed}
+    return kept.select(F.from_json(body, f"{RESPONSE_DDL}, {malformed} string", options).alias("r")).select("r.*")
 
 
 def flatten(responses: DataFrame) -> DataFrame:

@@ -84,11 +84,25 @@ def fan_out_windows(requests: DataFrame, begin: str = "begin", end: str = "end",
     return out.withColumns({begin: F.col("__window.begin"), end: F.col("__window.end")}).drop("__window")
 
 
+#: Days of a block of issue times: instances and requests meet by curve and block.
+ISSUE_BLOCK_DAYS = 30
+
+
+def in_issue_range(requests: DataFrame, instances: DataFrame, days: int = ISSUE_BLOCK_DAYS) -> DataFrame:
+    """Requests (curve_name, issued_earliest, issued_latest, ...) with the instances (issued, issue_tag) of their curve in range, both ends
+    included. A request's range is dealt to the blocks that it meets, so instances and requests of a busy curve are joined block by
+    block, not each with each; an instance is in one block, so no pair comes twice."""
+    block = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / (days * 86_400_000_000)).cast("int")
+    issued = instances.select(F.col("curve_name").alias("__name"), "issued", F.col("tag").alias("issue_tag"), block(F.col("issued")).alias("__block"))
+    first, last = block(F.col("issued_earliest")), block(F.col("issued_latest"))
+    asked = requests.where("issued_earliest <= issued_latest").withColumn("__asked", F.explode(F.sequence(first, last)))
+    inside = (F.col("curve_name") == F.col("__name")) & (F.col("__asked") == F.col("__block")) & F.col("issued").between(F.col("issued_earliest"), F.col("issued_latest"))
+    return asked.join(issued, inside).drop("__name", "__block", "__asked")
+
+
 def fan_out_instances(requests: DataFrame, instances: DataFrame) -> DataFrame:
     """One request per issued instance of the curve in range; of period instances one per block of four hours."""
-    issued = instances.select(F.col("curve_name").alias("__name"), "issued", F.col("tag").alias("issue_tag"))
-    inside = (F.col("curve_name") == F.col("__name")) & F.col("issued").between(F.col("issued_earliest"), F.col("issued_latest"))
-    both = requests.where(F.col("curve_type").isin("INSTANCE", "INSTANCE_PERIOD")).join(issued, inside).drop("__name")
+    both = in_issue_range(requests.where(F.col("curve_type").isin("INSTANCE", "INSTANCE_PERIOD")), instances)
     bucket = S.issue_bucket(F.col("issued"))
     blocks = F.col("curve_type") == "INSTANCE_PERIOD"
     shaped = both.withColumns({"issued_earliest": F.when(blocks, bucket).otherwise(F.col("issued_earliest")), "issued_latest": F.when(blocks, F.timestamp_add("HOUR", F.lit(4), bucket)).otherwise(F.col("issued_latest")), "issued": F.when(~blocks, F.col("issued")), "issue_tag": F.when(~blocks, F.col("issue_tag"))})

@@ -20,6 +20,7 @@ from gridweave.operators import curation as U
 from gridweave.plans import pipeline as P
 from gridweave.plans import requests as R
 from gridweave.shared import shared_folder
+from gridweave.sources.routed import RoutedTables
 from gridweave.sources.tables import KeyedTable, merge
 from gridweave.streaming import events as E
 from gridweave.streaming import stateful as ST
@@ -131,7 +132,7 @@ def route_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {CATALOG_SQL} SELECT name, array_to_string(categories, ',') AS categories, coalesce(unit, '') AS unit, CAST(5 + CAST(unit IS NOT NULL AS INT) AS BIGINT) AS tags FROM cat")
 def curve_tags(spark: SparkSession, d: str) -> DataFrame:
-    tags = catalog(spark, d).withColumn("t", C.curve_tags(None))
+    tags = catalog(spark, d).withColumn("t", C.curve_tags())
     return tags.select("name", F.col("t")["categories"].alias("categories"), F.coalesce(F.col("t")["unit"], F.lit("")).alias("unit"), F.size("t").cast("bigint").alias("tags"))
 
 
@@ -595,6 +596,114 @@ def conform_nested(spark: SparkSession, d: str) -> DataFrame:
     return out.select("o_orderkey", F.size("parts").alias("parts"), F.inline("parts"))
 
 
+@query(f"WITH t AS ({_TARGET}), s AS (SELECT *, id % 3 = 0 AS may FROM ({_SOURCE})) SELECT * FROM t WHERE id NOT IN (SELECT id FROM s WHERE may) UNION ALL SELECT id, owner, price FROM s WHERE may OR id NOT IN (SELECT id FROM t)")
+def merge_per_row(spark: SparkSession, d: str) -> DataFrame:
+    """One write in which each row says whether it may replace another."""
+    target, source = _sides(spark, d)
+    return merge(target, source.withColumn("may", F.col("id") % 3 == 0), ["id"], replace="may")
+
+
+def _ingested(spark: SparkSession, d: str) -> tuple[RoutedTables, dict]:
+    """Events as responses of the catalog's curves, some failed and some malformed, ingested twice into tables by route."""
+    named = table(spark, d, "events").join(catalog(spark, d).select(F.col("k").alias("user_id"), "name", "curve_type", "data_type"), "user_id")
+    curve = F.struct("name", F.lit("TIMESERIES").alias("curve_type"), "data_type")
+    data = F.array(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("d"), F.col("value").alias("v")))
+    good = F.to_json(F.struct(curve.alias("curve"), F.struct(F.lit("PT1H").alias("frequency"), F.lit("UTC").alias("timezone")).alias("resolution"), data.alias("data")))
+    body = F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("{"), good)).otherwise(good)
+    responses = named.select((F.col("event_id") % 10 != 7).alias("ok"), body.alias("body"))
+    tables = P.curated_tables(spark, f"{shared_folder(spark)}/ingested-{uuid.uuid4().hex}", 1)
+    P.ingest(spark, responses, catalog(spark, d), tables, "UPSERT")
+    return tables, P.ingest(spark, responses, catalog(spark, d), tables, "UPSERT")
+
+
+_INGESTED = f"""{CATALOG_SQL}, r AS (SELECT *, {_ROUTE} AS table_category FROM cat), ev AS (SELECT * FROM events JOIN r ON user_id = k),
+rows_in AS (SELECT name AS curve_name, table_category, date_trunc('second', ts) AS from_timestamp, value FROM ev WHERE event_id % 10 NOT IN (3, 7) AND value IS NOT NULL)"""
+
+
+@query(f"WITH {_INGESTED} SELECT curve_name, table_category, from_timestamp, max(value) AS value FROM rows_in GROUP BY ALL")
+def ingested_routes(spark: SparkSession, d: str) -> DataFrame:
+    """Responses curated and written into all their tables in one job, and again: nothing changes."""
+    return _ingested(spark, d)[0].read().select("curve_name", "table_category", "from_timestamp", "value")
+
+
+@query(f"""WITH {_INGESTED}, s AS (SELECT count(*) AS responses, count(*) FILTER (event_id % 10 = 7) AS failed_responses, count(*) FILTER (event_id % 10 = 3) AS curation_failures FROM ev),
+n AS (SELECT table_category, count(*) AS n FROM rows_in GROUP BY table_category)
+SELECT responses, failed_responses, curation_failures, 0 AS insert_failures, 1 AS batches, table_category, n AS curated_rows FROM s, n""")
+def ingest_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """What a run counted, by route."""
+    stats = _ingested(spark, d)[1]
+    rows = [tuple(stats[c] for c in ("responses", "failed_responses", "curation_failures", "insert_failures", "batches")) + item for item in stats["routes"].items()]
+    return spark.createDataFrame(rows, "responses bigint, failed_responses bigint, curation_failures bigint, insert_failures int, batches int, table_category string, curated_rows bigint")
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS owner, o_orderstatus AS status FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey < 3)")
+def pruned_read(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written into a table for each status, read by customer ids: only the buckets that these fall into."""
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("owner"), F.col("o_orderstatus").alias("status"))
+    tables = RoutedTables(spark, f"{shared_folder(spark)}/routed-{uuid.uuid4().hex}", orders.schema, ["id"], "owner", "status", 64)
+    tables.write(orders)
+    wanted = table(spark, d, "customer").where("c_mktsegment = 'BUILDING' AND c_nationkey < 3").select(F.col("c_custkey").alias("owner"))
+    return tables.read(ids=wanted).select("id", "owner", "status")
+
+
+@query(f"WITH {CATALOG_SQL} SELECT {_ROUTE} AS table_category, count(*) AS curves, string_agg(name, ',' ORDER BY name) AS names FROM cat GROUP BY ALL")
+def curves_of_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The names of each table's curves."""
+    return P.curves_by_table(catalog(spark, d)).select("table_category", "curves", F.array_join("names", ",").alias("names"))
+
+
+@query(f"WITH {CATALOG_SQL} SELECT name, {_ROUTE} AS table_category FROM cat WHERE k % 3 = 0 OR k % 5 = 0")
+def scope_union(spark: SparkSession, d: str) -> DataFrame:
+    """Curves wanted by id (every third) or by name (every fifth), once each."""
+    curves = catalog(spark, d)
+    ids = C.catalog_table(curves.where("k % 3 = 0")).select(F.col("curve_id").cast("string").alias("wanted"))
+    return C.select_curves(curves, ids=ids.unionByName(curves.where("k % 5 = 0").select(F.col("name").alias("wanted")))).select("name", "table_category")
+
+
+@query(f"WITH {CATALOG_SQL} SELECT DISTINCT p_name AS wanted FROM part WHERE p_name NOT IN (SELECT name FROM cat) UNION SELECT DISTINCT 'Customer#' || lpad(CAST(o_custkey + 100 AS VARCHAR), 9, '0') FROM orders WHERE 'Customer#' || lpad(CAST(o_custkey + 100 AS VARCHAR), 9, '0') NOT IN (SELECT name FROM cat)")
+def scope_missing(spark: SparkSession, d: str) -> DataFrame:
+    """What is wanted, by name or id, and no curve is: the ids of all curves are known, some names aren't."""
+    curves = catalog(spark, d)
+    shifted = F.concat(F.lit("Customer#"), F.lpad((F.col("o_custkey") + 100).cast("string"), 9, "0"))
+    ids = C.catalog_table(curves).select(F.col("curve_id").cast("string").alias("wanted"))
+    return C.missing_curves(curves, ids.unionByName(table(spark, d, "part").select(F.col("p_name").alias("wanted"))).unionByName(table(spark, d, "orders").select(shifted.alias("wanted"))))
+
+
+@query(f"WITH {CATALOG_SQL} SELECT DISTINCT lower(p_type) AS wanted FROM part UNION SELECT 'x_' || {_ROUTE} FROM cat")
+def scope_missing_categories(spark: SparkSession, d: str) -> DataFrame:
+    curves = catalog(spark, d)
+    routes = C.with_routes(curves).select("table_category")
+    wanted = routes.unionByName(routes.select(F.concat(F.lit("x_"), "table_category").alias("table_category"))).unionByName(table(spark, d, "part").select(F.lower("p_type").alias("table_category")))
+    return C.missing_categories(curves, wanted)
+
+
+@query(f"WITH {CATALOG_SQL} SELECT name, CASE WHEN k % 2 = 0 THEN 'mine' ELSE area END AS area, CASE WHEN k % 2 = 0 THEN 'x' END AS extra, unit FROM cat")
+def request_tags(spark: SparkSession, d: str) -> DataFrame:
+    """The curve's tags with the request's, which come first."""
+    own = F.when(F.col("k") % 2 == 0, F.create_map(F.lit("area"), F.lit("mine"), F.lit("extra"), F.lit("x")))
+    t = catalog(spark, d).withColumn("t", C.curve_tags(own))
+    return t.select("name", *(F.col("t")[c].alias(c) for c in ("area", "extra", "unit")))
+
+
+@query("SELECT event_id, ['CET', 'WET', 'UTC', 'Europe/Oslo', 'Mars/Base', 'Europe/Gas_Day', NULL, 'Asia/Tokyo'][CAST(1 + event_id % 8 AS INT)] AS zone FROM events")
+def zone_names(spark: SparkSession, d: str) -> DataFrame:
+    text = F.expr("element_at(array('CEST', 'west', ' Z ', 'Europe/Oslo', 'Mars/Base', 'Europe/Gas_Day', ' ', 'JST'), int(event_id % 8 + 1))")
+    return table(spark, d, "events").select("event_id", S.normal_zone(text, {"JST": "Asia/Tokyo"}).alias("zone"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN TIMESTAMP '2024-06-10 05:30:00' WHEN 1 THEN date_trunc('day', ts) WHEN 2 THEN date_trunc('minute', ts) - INTERVAL 2 HOUR END AS at FROM events")
+def instants(spark: SparkSession, d: str) -> DataFrame:
+    """Now, days, times with an offset, and what is none of these, as UTC times."""
+    text = F.expr("CASE event_id % 4 WHEN 0 THEN ' Now ' WHEN 1 THEN date_format(ts, 'yyyy-MM-dd') WHEN 2 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm'+02:00'\") ELSE 'soon' END")
+    return table(spark, d, "events").select("event_id", S.instant(text, F.expr(_NOW)).alias("at"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate + INTERVAL (o_orderkey % 1000000) MICROSECOND, '%Y-%m-%dT%H:%M:%S.%fZ') AS text, '{\"at\":\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') || '\",\"none\":\"\",\"n\":\"' || o_custkey || '\"}' AS identity FROM orders")
+def canonical_times(spark: SparkSession, d: str) -> DataFrame:
+    """Times, nulls and numbers as they go into identities."""
+    fine = F.timestamp_add("MICROSECOND", (F.col("o_orderkey") % 1_000_000).cast("int"), F.col("o_orderdate"))
+    return table(spark, d, "orders").select("o_orderkey", S.hash_time_text(fine).alias("text"), canonical_json(at=S.hash_time_text(F.col("o_orderdate")), none=F.lit(None), n=F.col("o_custkey")).alias("identity"))
+
 
 def queries() -> dict[str, Query]:
     return dict(_queries)

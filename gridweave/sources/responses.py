@@ -15,6 +15,7 @@ from gridweave.shared import cut
 from gridweave.sources.tables import APPEND, UPSERT, KeyedTable
 
 RAW_DDL = "url string, ok boolean, status int, body string"
+RAW_COLUMNS = ["url", "ok", "status", "body"]
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -57,10 +58,16 @@ def only_new(responses: DataFrame, cached: DataFrame) -> DataFrame:
     return responses.join(cached.select("url").distinct(), "url", "left_anti")
 
 
-def cache_raw(responses: DataFrame, cache: KeyedTable, upsert: bool) -> None:
+def cache_raw(responses: DataFrame, cache: KeyedTable, upsert: bool | str) -> None:
     """Keep raw responses by url: those that may change (see plans.requests.must_upsert) are replaced, others stay as first
-    stored."""
-    cache.insert(responses.where("ok").select("url", "ok", "status", "body"), UPSERT if upsert else APPEND)
+    stored. ``upsert`` holds for all, or names the column by which each response says whether it may replace another, in one
+    write."""
+    kept = [*RAW_COLUMNS, upsert] if isinstance(upsert, str) else RAW_COLUMNS
+    rows = responses.where("ok").select(*kept)
+    if isinstance(upsert, str):
+        cache.insert(rows, APPEND, replace=upsert)
+    else:
+        cache.insert(rows, UPSERT if upsert else APPEND)
 
 
 def catalog_from_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A table is a folder of files and of numbered pointers, each naming the folders that make up every bucket; the highest number is
 the table. A write makes new folders and then the next pointer, which must not exist yet: of two writers that started from one
 version, the second finds its number taken and does its work again on the newer table, so neither loses rows and
-readers never see half a write. Rows are spread over hash buckets of their keys' lead column: a write reads and rewrites only
+readers never see half a write (on file systems whose rename fails where there is a target, as HDFS; on object stores this is a test
+and then a rename, so there only one may write). Rows are spread over hash buckets of their keys' lead column: a write reads and rewrites only
 buckets that the source touches; others are carried over by name.
 """
 
@@ -17,7 +18,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
+
+from gridweave.shared import cut
 
 APPEND, OVERWRITE, UPSERT = "APPEND", "OVERWRITE", "UPSERT"
 MODES = (APPEND, OVERWRITE, UPSERT)
@@ -38,24 +40,38 @@ def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
 
 
 def latest(source: DataFrame, keys: list[str], recency: str | None = None) -> DataFrame:
-    """One row per key: the most recent if a recency column is named; else any one of them."""
-    if recency is None:
-        return source.dropDuplicates(keys)
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.col(recency).desc_nulls_last()))
-    return source.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
-
-
-def merge(target: DataFrame, source: DataFrame, keys: list[str], mode: str = UPSERT, recency: str | None = None, scope: str | None = None) -> DataFrame:
+    """One row per key: the most recent if a recency column is named (nulls are the least recent); of equally recent ones the
+    greatest by its other columns, in their order, so that a replay gives the same."""
+    rest = [f for f in source.schema.fields if f.name not in keys]
+    if not rest:
+        return source.select(*keys).distinct()
+    rank = [F.col(recency)] if recency else []
+    rank += [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in rest]
+    chosen = source.groupBy(*keys).agg(F.max_by(F.struct(*(F.col(f"`{f.name}`") for f in rest)), F.struct(*rank)).alias("__row"))
+    return chosen.select(*keys, "__row.*").select(*source.columns)
+
+
+def merge(target: DataFrame, source: DataFrame, keys: list[str], mode: str = UPSERT, recency: str | None = None, scope: str | list[str] | None = None, replace: str | None = None) -> DataFrame:
     """The target after the write. Keys are compared null-safe.
 
     APPEND adds rows with new keys, so a replay changes nothing. UPSERT puts source rows in the place of target rows with
     their keys. OVERWRITE replaces all target rows of the ``scope`` values (the first key) that the source has. Columns that
-    only one side has are null on the other."""
-    mode, new = resolve_mode(mode), latest(source, keys, recency)
+    only one side has are null on the other. With ``replace``, a column of the source that isn't kept, each row says itself whether it may take
+    the place of another (UPSERT) or not (APPEND; null too); of rows of one key, one that may comes first."""
+    mode = resolve_mode(mode)
+    if replace:
+        flagged = source.withColumn(replace, F.coalesce(F.col(replace), F.lit(False)))
+        ranked = flagged.withColumn("__rank", F.struct(replace, *([recency] if recency else [])))
+        new = latest(ranked, keys, "__rank").drop("__rank")
+        changing, rest = new.where(replace).drop(replace), new.where(~F.col(replace)).drop(replace)
+        fresh = rest.join(target, _same(rest, target, keys), "left_anti")
+        kept = target.join(changing, _same(target, changing, keys), "left_anti")
+        return kept.unionByName(changing, allowMissingColumns=True).unionByName(fresh, allowMissingColumns=True)
+    new = latest(source, keys, recency)
     if mode == APPEND:
         fresh = new.join(target, _same(new, target, keys), "left_anti")
         return target.unionByName(fresh, allowMissingColumns=True)
-    by = [scope or keys[0]] if mode == OVERWRITE else keys
+    by = ([scope] if isinstance(scope, str) else scope or [keys[0]]) if mode == OVERWRITE else keys
     replaced = new.select(*by).distinct()
     return target.join(replaced, _same(target, replaced, by), "left_anti").unionByName(new, allowMissingColumns=True)
 
@@ -138,12 +154,14 @@ class KeyedTable:
     def read(self) -> DataFrame:
         return self._read(sorted({f for fs in self._pointer()[1].values() for f in fs}))
 
-    def _change(self, source: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Rewrite the buckets that ``source`` touches; again if the table has moved on meanwhile."""
+    def _change(self, source: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Rewrite the buckets that ``source`` touches; again if the table has moved on meanwhile. The source is written down first: it may
+        name the time or chance, and must be the same in every job."""
+        source = cut(source)
         touched = sorted(r[0] for r in source.select(self._bucket()).distinct().collect())  # one row per bucket
         while touched:
             version, pointer = self._pointer()
-            rows = change(self._read(sorted({f for b in touched for f in pointer.get(str(b), [])})))
+            rows = change(self._read(sorted({f for b in touched for f in pointer.get(str(b), [])})), source)
             folder = f"v-{uuid.uuid4().hex}"
             rows.withColumn("__bucket", self._bucket()).repartition(max(1, len(touched)), "__bucket").write.partitionBy("__bucket").parquet(f"{self.path}/{folder}")
             jvm, fs = self._fs()
@@ -154,14 +172,14 @@ class KeyedTable:
                 return
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"), True)
 
-    def insert(self, source: DataFrame, mode: str | None = UPSERT, recency: str | None = None) -> None:
+    def insert(self, source: DataFrame, mode: str | None = UPSERT, recency: str | None = None, replace: str | None = None) -> None:
         """Write by mode; only buckets that the source has rows for are read and written again."""
         resolve_mode(mode)
-        self._change(source, lambda target: merge(target, source, self.keys, mode, recency, self.lead))
+        self._change(source, lambda target, new: merge(target, new, self.keys, mode, recency, self.lead, replace))
 
     def delete(self, keys: DataFrame) -> None:
         """Remove rows whose keys are in ``keys`` (a frame of the key columns)."""
-        self._change(keys, lambda target: target.join(keys, _same(target, keys, self.keys), "left_anti"))
+        self._change(keys, lambda target, gone: target.join(gone, _same(target, gone, self.keys), "left_anti"))
 
 
 def isinstance_of(error: Py4JJavaError, name: str) -> bool:

@@ -1,10 +1,13 @@
 import datetime as dt
 import json
+from collections import Counter
+from pathlib import Path
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from gridweave import queries as core_queries
 from gridweave.functions import scalars as S
 from gridweave.functions.hashing import signed_xxh3, xxh3_64
 from gridweave.operators import catalog as C
@@ -17,6 +20,7 @@ from gridweave.sources.tables import KeyedTable, merge, resolve_mode
 from gridweave.streaming import events as E
 
 D = dt.datetime
+FOLDER = Path("/root/testdata/sf0.001")
 
 
 def values(spark, column, texts, kind="string"):
@@ -229,23 +233,43 @@ def test_keyed_table(spark, tmp_path):
 def test_dispatch_and_ingest(spark, curves, tmp_path):
     queue = KeyedTable(spark, f"file://{tmp_path}/queue", queue_schema(), ["request_id"], 4)
     config = P.Config(seconds=7200, end="2025-01-02 00:00:00")
-    jobs = P.dispatch(curves, queue, config)
-    assert queue.read().count() == 7 and jobs.agg(F.sum("requests")).first()[0] == 7
+    sent = P.dispatch(curves, queue, config)
+    assert sent.status == "dispatched" and queue.read().count() == 7 and sent.jobs.agg(F.sum("requests")).first()[0] == 7
     P.dispatch(curves, queue, config)
     assert queue.read().count() == 7  # a replay changes nothing
-    raw = spark.createDataFrame([(True, body("TIMESERIES", [{"d": "2025-01-01T00:00Z", "v": 1.0}]).replace("c TIMESERIES", "UK Price Spot")), (False, "x"), (True, body("OHLC", []))], "ok boolean, body string")
-    tables = {}
-    stats = P.ingest(spark, raw, curves, lambda c: tables.setdefault(c, P.curated_table(spark, f"file://{tmp_path}", c, 2)))
-    assert (stats["curated_rows"], stats["inserts"], stats["insert_failures"]) == (1, 1, 0)
-    assert tables["actual_timeseries_price_spot"].read().count() == 1
+    own = lambda name, value: body("TIMESERIES", [{"d": "2025-01-01T00:00Z", "v": value}]).replace("c TIMESERIES", name)
+    raw = spark.createDataFrame([(True, own("UK Price Spot", 1.0), "u1"), (False, "x", "u2"), (True, body("OHLC", []), "u3"), (True, "{not json", "u4"), (True, None, "u5"), (None, "?", "u6"), (True, own("US Price", 2.0), "u7")], "ok boolean, body string, url string")
+    tables = P.curated_tables(spark, f"file://{tmp_path}", 2)
+    stats = P.ingest(spark, raw, curves, tables)
+    assert {k: stats[k] for k in ("status", "batches", "responses", "failed_responses", "curation_failures", "curated_rows", "inserts", "insert_failures")} == {"status": "ingested", "batches": 1, "responses": 7, "failed_responses": 2, "curation_failures": 1, "curated_rows": 2, "inserts": 2, "insert_failures": 0}
+    assert tables.read(["actual_timeseries_price_spot"]).count() == 1 and tables.read().count() == 2
+    assert stats["routes"] == {"actual_timeseries_price_spot": 1, "normal_timeseries_price": 1}
+    again = P.ingest(spark, raw, curves, tables, cached=raw.where("url <> 'u7'"))
+    assert again["responses"] == 1 and again["curated_rows"] == 1 and tables.read().count() == 2
+    assert P.ingest(spark, raw, curves, tables, cached=raw, insert_all=True)["responses"] == 7
+    empty = P.ingest(spark, raw, curves, tables, cached=raw)
+    assert empty["status"] == "empty", empty["reason"]
     done = spark.createDataFrame([("UK Price Spot",)], "curve_name string")
-    assert not P.drain(queue, "actual_timeseries_price_spot", done, stats | {"insert_failures": 1})
-    assert P.drain(queue, "actual_timeseries_price_spot", done, stats) and queue.read().count() == 5
-
-    def broken(_):
-        raise OSError("disk")
-
-    assert P.ingest(spark, raw, curves, broken)["insert_failures"] == 1
+    assert P.drain(queue, "actual_timeseries_price_spot", done, stats | {"insert_failures": 1}) == "kept"
+    assert P.drain(queue, "actual_timeseries_price_spot", done, stats) == "drained" and queue.read().count() == 5  # bad bodies don't block
+    assert P.drain(queue, "actual_timeseries_price_spot", done, stats) == "nothing_pending"
+    (tmp_path / "file").write_text("")
+    failed = P.ingest(spark, raw, curves, P.curated_tables(spark, f"file://{tmp_path}/file"))
+    assert failed["insert_failures"] == 1 and failed["status"] == "failed" and failed["reason"]
+    assert P.dispatch(curves, queue, P.Config(), spark.createDataFrame([], "curve_name string")).status == "no_new_data"
+
+
+def test_dispatch_queues_what_it_plans(spark, tmp_path):
+    """With the time taken at dispatch, and with a plan that depends on chance."""
+    names_ = [(f"curve {k}", "TIMESERIES", "ACTUAL", None, None, ["Gas"], None, None, None, "MWh", None, ("PT1H", "CET")) for k in range(40)]
+    many = spark.createDataFrame(names_, "name string, curve_type string, data_type string, area string, area_sink string, categories array<string>, commodity string, denominator string, source string, unit string, instance_issued_timezone string, resolution struct<frequency string, timezone string>")
+    for k in range(2):
+        queue = KeyedTable(spark, f"file://{tmp_path}/queue{k}", queue_schema(), ["request_id"], 8)
+        sent = P.dispatch(many, queue, P.Config(seconds=7200))
+        assert queue.read().count() == 40 == sent.jobs.agg(F.sum("requests")).first()[0]
+    table = KeyedTable(spark, f"file://{tmp_path}/chance", spark.createDataFrame([], "id string, v int").schema, ["id"], 8)
+    table.insert(spark.range(200).select(F.concat(F.col("id"), F.lit(" "), F.rand().cast("string")).alias("id"), F.lit(1).alias("v")))
+    assert table.read().count() == 200
 
 
 def test_pending_falls_back_to_category(spark, curves):
@@ -286,20 +310,21 @@ def test_entry_lists_queries_and_their_sql():
     assert set(e.oracle_sql()) <= set(e.queries()) and len(core) >= 60
 
 
-@pytest.mark.parametrize("name", ["upsert_merge", "overwrite_scope", "keyed_append", "queue_drained", "request_defaults", "ohlc_rows", "infer_frequency_ends"])
-def test_queries_match_their_sql(spark, name):
-    """On the smallest tables; all queries are compared on larger ones outside of the tests."""
-    import glob
-    from collections import Counter
-
-    import __spark_entry__ as e
-
-    duckdb, folder = pytest.importorskip("duckdb"), "/root/testdata/sf0.001"
-    if not glob.glob(folder):
+@pytest.fixture(scope="module")
+def duck():
+    duckdb = pytest.importorskip("duckdb")
+    if not FOLDER.exists():
         pytest.skip("no tables")
     con = duckdb.connect()
-    for f in glob.glob(f"{folder}/*.parquet"):
-        con.execute(f"CREATE VIEW {f.rsplit('/', 1)[1].split('.')[0]} AS SELECT * FROM '{f}'")
-    got, found = e.queries()[name](spark, folder), con.execute(e.oracle_sql()[name])
+    for f in FOLDER.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(core_queries.oracle_sql()))
+def test_queries_match_their_sql(spark, duck, name):
+    """All of the core's queries that have SQL, on the smallest tables."""
+    got, found = core_queries.queries()[name](spark, str(FOLDER)), duck.execute(core_queries.oracle_sql()[name])
     columns = [c[0] for c in found.description]
-    assert Counter(map(tuple, got.select(*columns).collect())) == Counter(found.fetchall())
+    plain = lambda v: round(v, 6) if isinstance(v, float) else tuple(map(plain, v)) if isinstance(v, list) else v
+    assert Counter(tuple(map(plain, r)) for r in got.select(*columns).collect()) == Counter(tuple(map(plain, r)) for r in found.fetchall())

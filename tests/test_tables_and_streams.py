@@ -5,7 +5,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from gridweave.sources.tables import KeyedTable, merge_into
+from gridweave.plans import requests as R
+from gridweave.sources import responses as X
+from gridweave.sources.routed import RoutedTables
+from gridweave.sources.tables import KeyedTable, latest, merge, merge_into
 from gridweave.streaming import events as E
 
 
@@ -65,3 +68,87 @@ def test_stream_in_one_call_and_restarts(spark, tmp_path):
     with pytest.raises(Exception, match="down"):
         E.follow(E.read_events(spark, f"file://{tmp_path}/in"), broken, f"file://{tmp_path}/cp2", "0 seconds", restarts=1, backoff=0.1)
     assert len(calls) == 2
+
+
+# ---- routed tables
+
+
+def routed(spark, path, buckets=4):
+    return RoutedTables(spark, f"file://{path}", spark.createDataFrame([], "id int, owner bigint, v string").schema, ["id"], "owner", "route", buckets)
+
+
+def some_rows(spark, routes, n=60, v="a"):
+    return spark.createDataFrame([(i, i % 20, f"{v}{i}", f"r{i % routes}") for i in range(n)], "id int, owner bigint, v string, route string")
+
+
+def test_routed_tables_by_mode(spark, tmp_path):
+    tables = routed(spark, tmp_path / "t")
+    assert tables.read().count() == 0 and tables.write(some_rows(spark, 3).where("1 = 0")) == {}
+    assert tables.write(some_rows(spark, 3), "upsert") == {"r0": 20, "r1": 20, "r2": 20}
+    tables.write(some_rows(spark, 3, 6, "b"), "append")
+    assert tables.read().where("v LIKE 'b%'").count() == 0
+    tables.write(some_rows(spark, 3, 6, "b"), "upsert")
+    assert tables.read().where("v LIKE 'b%'").count() == 6 and tables.read().count() == 60
+    # OVERWRITE: all rows of the owner in that route; the same owner elsewhere stays
+    tables.write(spark.createDataFrame([(900, 0, "c", "r0")], "id int, owner bigint, v string, route string"), "overwrite")
+    left = {(r.id, r.route) for r in tables.read().where("owner = 0").collect()}
+    assert left == {(900, "r0"), (20, "r2"), (40, "r1")}
+    tables.write(spark.createDataFrame([(1, 1, "may", "r1", True), (2, 2, "may not", "r2", False), (77, 5, "new", "r5", None)], "id int, owner bigint, v string, route string, may boolean"), replace="may")
+    assert {r.v for r in tables.read().where("id IN (1, 2, 77)").collect()} == {"may", "b2", "new"}
+    assert {r.route for r in tables.read(["r5"]).collect()} == {"r5"}
+
+
+def test_routed_write_takes_as_many_jobs_for_many_routes(spark, tmp_path):
+    counts = []
+    for routes in (2, 40):
+        tables = routed(spark, tmp_path / f"t{routes}", 1)
+        tables.write(some_rows(spark, routes))
+        spark.sparkContext.setJobGroup(f"routes {routes}", "")
+        tables.write(some_rows(spark, routes, v="b"), "upsert")
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"routes {routes}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert tables.read().where("v LIKE 'b%'").count() == 60
+    assert abs(counts[0] - counts[1]) <= 2
+
+
+def test_read_by_ids_prunes_partitions(spark, tmp_path):
+    tables = routed(spark, tmp_path / "t", 16)
+    tables.write(some_rows(spark, 2, 400))
+    ids = spark.createDataFrame([(3,), (3,), (None,)], "owner bigint")
+    read = tables.read(ids=ids)
+    assert {r.owner for r in read.collect()} == {3} and read.count() == 20
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
+def test_latest_is_the_same_in_every_run(spark):
+    rows = [(1, 5, "a", {"k": "1"}), (1, 5, "b", {"k": "0"}), (1, None, "z", None), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "id int, at int, v string, m map<string,string>")
+    for order in (df, df.repartition(3), df.orderBy("v")):
+        assert {(r.id, r.at, r.v) for r in latest(order, ["id"], "at").collect()} == {(1, 5, "b"), (2, None, None)}
+    assert latest(df.select("id"), ["id"]).count() == 2
+
+
+def test_cache_says_by_row_what_may_change(spark, tmp_path):
+    cache = KeyedTable(spark, f"file://{tmp_path}/raw", spark.createDataFrame([], X.RAW_DDL).schema, ["url"], 2)
+    rows = lambda body: spark.createDataFrame([(f"u{k}", k != 9, 200, body, k % 2 == 0) for k in range(10)], f"{X.RAW_DDL}, may boolean")
+    X.cache_raw(rows("old"), cache, "may")
+    X.cache_raw(rows("new"), cache, "may")
+    assert {(r.url, r.body) for r in cache.read().collect()} == {(f"u{k}", "new" if k % 2 == 0 else "old") for k in range(9)}
+    assert merge(cache.read(), rows("x"), ["url"], replace="may").columns == X.RAW_COLUMNS
+
+
+def test_responses_as_files(spark, tmp_path):
+    (tmp_path / "r.json").write_text(json.dumps({"url": "u", "ok": True, "status": 200, "body": "{}"}) + "\n")
+    assert [tuple(r) for r in X.read_responses(spark, f"file://{tmp_path}").collect()] == [("u", True, 200, "{}")]
+
+
+def test_busy_curve_meets_its_requests_block_by_block(spark):
+    """A thousand issues and many requests of one curve: as if each were compared with each, but joined within blocks."""
+    day = "timestamp_ntz'2024-01-01' + make_dt_interval({0})"
+    issues = spark.range(1000).select(F.lit("c").alias("curve_name"), F.expr(day.format("int(id)")).alias("issued"), F.lit("t").alias("tag"))
+    asked = spark.range(50).selectExpr("'c' AS curve_name", "'INSTANCE' AS curve_type", f"{day.format('int(id * 19)')} AS issued_earliest", f"{day.format('int(id * 19 + id % 7 * 20)')} AS issued_latest").unionByName(spark.sql("SELECT 'c' AS curve_name, 'INSTANCE' AS curve_type, timestamp_ntz'2025-01-01' AS issued_earliest, timestamp_ntz'2024-01-01' AS issued_latest"))
+    got = R.in_issue_range(asked, issues)
+    want = sum(sum(k * 19 <= i <= k * 19 + k % 7 * 20 for i in range(1000)) for k in range(50))
+    assert got.count() == want and got.distinct().count() == got.count()
+    assert "__block" in got._jdf.queryExecution().optimizedPlan().toString()
