@@ -13,7 +13,8 @@ compared, so two words of one hash are told apart. The text of a special token i
 
 Null and empty texts have no ids; there is no limit on the length of texts or words. Every row gives one row, whatever its id:
 null and repeated ids, repeated rows and ties are carried along. An empty table gives an empty one. Columns of the input
-other than the id and the text are not looked at, so their names may clash with those of the result.
+other than the id and the text are not looked at, so their names may clash with those of the result. Byte sequences that aren't UTF-8
+are encoded as U+FFFD, one for each that a decoder would replace.
 """
 
 from __future__ import annotations
@@ -345,7 +346,7 @@ def _ids(path: str, names: list[str]):
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids array<int> of every document."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.make_valid_utf8(text).alias("text"))
     return named.mapInArrow(_ids(path, ["doc_id"]), f"doc_id {dict(named.dtypes)['doc_id']}, ids array<int>")
 
 
@@ -364,5 +365,5 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
 def encoding_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, and hashes of the ids and of the text decoded from them."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.make_valid_utf8(text).alias("text"))
     return named.mapInArrow(_digests(path), f"doc_id {dict(named.dtypes)['doc_id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

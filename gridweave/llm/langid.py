@@ -10,7 +10,8 @@ text; everything else covers all rows. Documents with a null language or text, a
 id as text, modulo 3, is 1; a null id is the empty text), are not learned from. Texts that are null or
 have no letter are ``und`` with score 0. If there is nothing to learn from, every text is ``und``. Every row gives one
 row; equal texts get equal answers, whatever their ids, which are only carried along. An empty table gives an empty one. Columns of
-the input named ``lang_pred`` or ``score`` are replaced; others may have any name.
+the input named ``lang_pred`` or ``score`` are replaced; others may have any name. Texts of any length are taken whole, slice by slice.
+Bytes that aren't UTF-8 are no letters.
 """
 
 from __future__ import annotations
@@ -62,16 +63,18 @@ def _script_bits() -> np.ndarray:
 
 
 def _letter_bits(raw: np.ndarray) -> np.ndarray:
-    """The script bit of the letter that starts at each byte of UTF-8; 0 elsewhere."""
+    """The script bit of the letter that starts at each byte of UTF-8; 0 elsewhere, and where a sequence is cut off or none."""
     table, bits = _script_bits(), np.zeros(len(raw), np.uint16)
+    padded = np.append(raw, np.zeros(3, raw.dtype))
     ascii_ = raw < 0x80
     bits[ascii_] = table[raw[ascii_]]
     for low, high, mask, more in ((0xC2, 0xDF, 31, 1), (0xE0, 0xEF, 15, 2), (0xF0, 0xF4, 7, 3)):
         at = np.flatnonzero((raw >= low) & (raw <= high))
-        code = raw[at] & mask
+        code, whole = raw[at] & mask, np.ones(len(at), bool)
         for k in range(1, more + 1):
-            code = code << np.uint32(6) | raw[at + k] & 63
-        bits[at] = table[code]
+            code = code << np.uint32(6) | padded[at + k] & 63
+            whole &= (padded[at + k] & 0xC0) == 0x80
+        bits[at] = table[np.where(whole & (code < len(table)), code, 0)]
     return bits
 
 

@@ -25,7 +25,8 @@ Null, empty and blank texts have no n-grams and link with nothing; texts shorter
 Every row gives one row. Repeated rows and rows of equal texts are one node; of equal ids each row has its own text's
 component. A null id is never a component's id unless all ids of it are null. Ids keep their type, and the smallest by its order
 names the component, so ties have one result. An empty table gives an empty one. Other columns of the input aren't looked at, so
-their names may clash. n-grams and sets are told apart by 64-bit hashes.
+their names may clash. n-grams and sets are told apart by 64-bit hashes. Texts of any length are taken whole, slice by slice. Bytes that aren't UTF-8 are compared as
+they stand.
 """
 
 from __future__ import annotations

@@ -6,7 +6,10 @@ emitted. At the end of a partition the open windows are left over; those of up t
 partitions are merged by best fit. Memory is bounded by the open windows, so there is one pass over
 the documents, and a lost executor costs only its own partitions.
 
-Null and empty texts are a single end token. Documents are never dropped; ids lie in exactly one piece.
+Cases: null and empty texts are a single end token. Documents are never dropped, however long; ids lie in exactly one piece.
+Repeated rows, and rows of equal or null ids, are packed one by one. Of windows that fit equally well the one opened first
+is taken, so ties have one result for one order of rows. An empty table gives an empty one. Other columns take no part, whatever their names.
+Byte sequences that aren't UTF-8 are encoded as U+FFFD, one for each that a decoder would replace.
 """
 
 from __future__ import annotations
@@ -150,7 +153,7 @@ def _merge(capacity: int, names: list[str]):
 def pack_online(docs: DataFrame, path: str, capacity: int = CAPACITY, open_windows: int = OPEN_WINDOWS, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with ``with_ids``
     the ids as little-endian unsigned 32-bit numbers."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.make_valid_utf8(text).alias("text"))
     schema = f"doc_id {dict(named.dtypes)['doc_id']}, {_TYPES}"
     ids = ", ids binary" if with_ids else ""
     names = [*_FIELDS, *["ids"] * with_ids]

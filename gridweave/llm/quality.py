@@ -8,7 +8,8 @@ are removed; a document that loses more than ``max_removed`` of its words is dep
 Null and empty texts have no words and fail the base rules. A null host counts as the empty host. Every row is a document:
 repeated rows, and rows of equal or null ids, count one by one and are kept or rejected alike, as no step joins on ids. A line
 in exactly as many documents as the limit stays. An empty table gives an empty one. Other columns are carried along by
-``apply_quality_rules`` whatever their names, and left out by ``quality_rules``.
+``apply_quality_rules`` whatever their names, and left out by ``quality_rules``. Byte sequences that aren't UTF-8 are words like others
+where texts are counted, and become U+FFFD where texts are rewritten.
 """
 
 from __future__ import annotations
@@ -225,6 +226,7 @@ def apply_quality_rules(docs: DataFrame, max_removed: float = MAX_REMOVED) -> Da
     """Documents (text, source, n_chars bigint and more) that the rules keep, without their limited lines; n_chars follows
     the text. Texts are counted once: the counts are written with the documents that pass the base rules or not, since lines are
     counted over all, and read again for the verdict."""
+    docs = docs.withColumn("text", F.make_valid_utf8("text"))
     whole = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
     schema = T.StructType([*whole.schema.fields, *T._parse_datatype_string(f"{_STATS}, {_LINES}").fields])
     place = docs.columns.index("text")

@@ -7,8 +7,12 @@ in logarithmic time. Rows are padded to the capacity, so the ids of successive r
 
 Each row has input_ids (capacity numbers: unsigned 16 bits where the vocabulary allows, else 32; little-endian), n_tokens
 before padding, cu_seqlens (0 and the cumulative segment lengths), position_ids (unsigned 16 or 32 bits, starting from 0 in every
-segment), and per segment doc_ids and starts (its place in its document's ids). Null and empty
-texts are a single end token; nothing is dropped.
+segment), and per segment doc_ids and starts (its place in its document's ids).
+
+Cases: null and empty texts are a single end token, and nothing is dropped. A text of any length is cut into as many rows as it needs.
+Repeated rows, and rows of equal or null ids, are packed one by one, with their ids as they are. Pieces of equal length
+keep the order in which they were read, so ties have one result for one order of rows. An empty table gives an empty one. Other columns take no part, whatever
+their names. Byte sequences that aren't UTF-8 are encoded as U+FFFD, one for each that a decoder would replace.
 """
 
 from __future__ import annotations
@@ -121,7 +125,7 @@ def _packed(path: str, capacity: int, end_id: int, pad_id: int, block: int):
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 50256, pad_id: int = 50256, block: int = BLOCK_IDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.make_valid_utf8(text).alias("text"))
     kind = dict(named.dtypes)["doc_id"]
     schema = f"sequence_id bigint, n_tokens bigint, input_ids binary, position_ids binary, cu_seqlens array<int>, doc_ids array<{kind}>, starts array<bigint>"
     return named.mapInArrow(_packed(path, capacity, end_id, pad_id, block), schema)

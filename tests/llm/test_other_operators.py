@@ -228,6 +228,23 @@ def test_messy_documents(spark, messy, nothing, tokenizer_file):
         assert empty.count() == 0
 
 
+def test_texts_that_are_not_utf8(spark, tokenizer_file, tmp_path):
+    """A bad byte alone, one cut off at the end of a text, and one that would go on the text before."""
+    texts = ["41FF42", "C3", "A9", b"a fine text of some words. ".hex() * 12, (b"bad \xff\xc3 byte among words, " * 12).hex()]
+    columns = "'en' AS lang, 'a' AS source, 1L AS n_chars"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, hex string").selectExpr("doc_id", "cast(unhex(hex) AS string) AS text", columns.split(", ")[0], *columns.split(", ")[1:])
+    fixed = docs.withColumn("text", F.make_valid_utf8("text"))
+    rows = lambda df: sorted(map(str, df.collect()))
+    for run in (lambda d: token_packing.pack_documents(d, tokenizer_file, 64), lambda d: bpe.encoding_digests(d, tokenizer_file), lambda d: bpe.encode_documents(d, tokenizer_file)):
+        assert rows(run(docs)) == rows(run(fixed))
+    contract = lambda d: sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in online_packing.pack_online(d, tokenizer_file).collect())
+    assert contract(docs) == contract(fixed)
+    for run in (ngram_join.ngram_components, pii.span_digests, langid.language_ids, quality.quality_rules, sharding.balanced_shards):
+        assert run(docs).count() == 5
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, "").write.parquet(f"file://{tmp_path}/{k}")
+
+
 def test_columns_named_like_those_added(spark, messy):
     """Columns of the input with the names that operators add are replaced or left out."""
     odd = messy.selectExpr("*", "'a' AS lang_pred", "1 AS n_words", "2 AS kept", "3 AS base_failed", "4 AS doc", "5 AS h", "6 AS ids", "7 AS text_crc32", "8 AS component_id", "9 AS spans")
