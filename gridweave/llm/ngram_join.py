@@ -8,7 +8,10 @@ order, take up prefix places, and are dropped as soon as they are counted. That
 postings, joined on the n-gram, with filters on length, position and suffix, then verified once per pair.
 
 Postings of one n-gram are not paired with each other. Each list has a probe, its least node; first every node is
-compared with the least probe of its lists that passes the filters. Lists that still hold several components are then taken up
+compared with the least probe of its lists that passes the filters. Where lists still hold many pairs of different components, these go through rounds: of each
+component in a list one member is drawn and compared with that of the list's largest and of another one; of two components one pair is
+verified, and components that link become one. So groups of near copies grow together from few pairs. When few pairs are left, or a round links
+nothing, lists that still hold several components are taken up
 whole: nodes outside a list's largest component are paired with the rest, block by block. A pair inside one component can't change the result, so no link between
 components is lost. Every posting has a summary of the suffix after its place: for each of 128 ranges of hashes, whether it holds an
 odd number of the suffix's n-grams. Where two suffixes differ in this they differ in an n-gram of that range, so what they don't
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from gridweave.llm import textkernel as K
 from gridweave.llm.components import connected_components
-from gridweave.llm.spark_util import cut, release, spread_join
+from gridweave.llm.spark_util import BROADCAST_ROWS, cut, release, spread_join
 
 NGRAM = 5
 #: Similarity threshold as a fraction of whole numbers.
@@ -52,6 +55,8 @@ COUNTER_BITS, FREQUENT_SHARE, FREQUENT_MOST = 21, 0.005, 200_000
 ENTRIES_PER_TASK, ENTRIES_PER_BLOB, FAN = 1_500_000, 2_000_000, 256
 #: Hash ranges of the suffix filter (64 to a number, a bit each), and postings in a block of a list.
 SUFFIX_PARTS, LIST_BLOCK = 128, 1000
+#: Where lists hold more pairs of different components than this for each of their postings, components are first joined by drawn pairs.
+PAIRS_PER_POSTING = 4
 
 _SHIFT = np.uint64(64 - COUNTER_BITS)
 
@@ -376,7 +381,11 @@ def _promising(over: int, under: int, a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, over: int, under: int) -> DataFrame:
-    """Of (a, b) pairs, each tested once: those that link."""
+    """Of (a, b) pairs, each tested once: those that link. If few nodes take part, only their sets are dealt out."""
+    pairs = cut(pairs)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        sets = sets.join(F.broadcast(nodes), "node", "left_semi")
     side = lambda k: sets.select(F.col("node").alias(k), F.struct("n", "grams").alias(f"s{k}"))
     both = spread_join(spread_join(pairs, ["a"], ["b"], side("a")), ["b"], ["a"], side("b"))
     return both.where(f"size(array_intersect(sa.grams, sb.grams)) >= {_needed(over, under, 'sa.n', 'sb.n')}").select("a", "b")
@@ -417,6 +426,29 @@ def _of_mixed(labelled: DataFrame) -> DataFrame:
     return spread_join(labelled, ["gram"], ["p.node"], mixed)
 
 
+def _drawn_links(members: DataFrame, sets: DataFrame, over: int, under: int, draw: int) -> DataFrame:
+    """Links (a, b) between components, from pairs that are drawn: of each list and component one member, compared with that of the
+    list's largest component and of one drawn component. Of two components one promising pair is verified."""
+    chance = lambda c: F.xxhash64(c, F.lit(draw))
+    drawn = members.groupBy("gram", "c").agg(F.count("*").alias("m"), F.min_by("p", chance(F.col("p.node"))).alias("p"))
+    own = F.struct("p", "c")
+    others = drawn.groupBy("gram").agg(F.max_by(own, F.struct("m", "c")).alias("largest"), F.min_by(own, chance(F.col("c"))).alias("any"))
+    both = spread_join(drawn, ["gram"], ["c"], others).select("p", "c", F.explode(F.array("largest", "any")).alias("o"))
+    promising = both.where("c <> o.c").where(_promising(over, under, "o.p", "p"))
+    nodes = F.struct(F.least("p.node", "o.p.node").alias("a"), F.greatest("p.node", "o.p.node").alias("b"))
+    one = promising.groupBy(F.least("c", "o.c").alias("ca"), F.greatest("c", "o.c").alias("cb")).agg(F.min_by(nodes, F.xxhash64("p.node", "o.p.node", F.lit(draw))).alias("pair"))
+    pairs = cut(one.select("ca", "cb", "pair.a", "pair.b"))
+    linked = _verified(pairs.select("a", "b").distinct(), sets, over, under)
+    return pairs.join(linked, ["a", "b"], "left_semi").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+
+def _pairs_left(members: DataFrame) -> bool:
+    """Whether the pairs of different components within lists are many times the postings."""
+    sizes = members.groupBy("gram", "c").agg(F.count("*").cast("double").alias("m")).groupBy("gram").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("own"))
+    pairs, postings = sizes.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("own")) / 2, F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0.0))).first()
+    return pairs > PAIRS_PER_POSTING * postings
+
+
 def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFrame:
     """node, component of every node that links with another."""
     kept = sets.select("node", "n", "u", "suffixes", F.expr(f"slice(grams, 1, int(u - ((n * {over} + {under - 1}) div {under}) + 1))").alias("prefix"))
@@ -426,9 +458,15 @@ def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> Data
     probed = cut(_with_probe(lists))
     pairs = probed.where("c <> probe.c").where(_promising(over, under, "probe.p", "p")).groupBy(F.col("p.node").alias("b")).agg(F.min("probe.p.node").alias("a"))
     labels = connected_components(_verified(pairs, sets, over, under))
-    known = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    edges = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
     labelled = probed.select("gram", "lists", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "lists", "p", F.coalesce("component", "node").alias("c"))
     members = cut(_of_mixed(labelled))
+    draw = 0
+    while _pairs_left(members) and not (links := cut(_drawn_links(members, sets, over, under, draw))).isEmpty():
+        edges, draw = edges.unionByName(links), draw + 1
+        renamed = connected_components(links).select(F.col("node").alias("c"), F.col("component").alias("now"))
+        told = spread_join(members, ["c"], ["p.node"], renamed, "left")
+        members = cut(_of_mixed(told.select("gram", "lists", "p", F.coalesce("now", "c").alias("c"))))
     release(sets.sparkSession)
     # A long list is a square of blocks, each pair of blocks a key of its own.
     members = members.withColumn("blocks", F.expr(f"int((lists + {LIST_BLOCK - 1}) div {LIST_BLOCK})"))
@@ -438,7 +476,7 @@ def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> Data
     others = members.select("gram", "major", F.col("c").alias("cb"), F.col("p").alias("pb"), F.explode(every).alias("i"), block.alias("j"))
     both = minor.join(others, ["gram", "i", "j"]).where(F.expr("ca <> cb AND (cb = major OR ca < cb)") & _promising(over, under, "pa", "pb"))
     rest = both.select(F.least("pa.node", "pb.node").alias("a"), F.greatest("pa.node", "pb.node").alias("b")).distinct()
-    return connected_components(_verified(rest, sets, over, under).unionByName(known))
+    return connected_components(_verified(rest, sets, over, under).unionByName(edges))
 
 
 def ngram_components(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: int = UNDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
