@@ -136,7 +136,25 @@ def curve_tags(spark: SparkSession, d: str) -> DataFrame:
     return tags.select("name", F.col("t")["categories"].alias("categories"), F.coalesce(F.col("t")["unit"], F.lit("")).alias("unit"), F.size("t").cast("bigint").alias("tags"))
 
 
-@query()
+def _xxh3_sql(text: str, n: int) -> str:
+    """SQL of the signed xxh3 of ASCII texts of ``n`` characters, 17 to 32: two 16-byte mixes and an avalanche, in 128-bit numbers."""
+    # The first 32 bytes of the default secret, as little-endian numbers; a prime; the avalanche's multiplier.
+    secret = (0xBE4BA423396CFEB8, 0x1CAD21F72C81017C, 0xDB979083E96DD4DE, 0x1F67B3B7A4A44072)
+    prime, avalanche, word = 0x9E3779B185EBCA87, 0x165667919E3779F9, 2**64
+
+    def read(at: int) -> str:
+        return "(" + " + ".join(f"CAST(ascii({text}[{at + k + 1}]) AS UHUGEINT) * {256**k}" for k in range(8)) + ")"
+
+    def mix(at: int, k: int) -> str:
+        low, high = (f"CAST(xor(CAST({read(at + 8 * i)} AS UBIGINT), CAST({secret[k + i]} AS UBIGINT)) AS UHUGEINT)" for i in range(2))
+        return f"(SELECT CAST(xor(CAST(p % {word} AS UBIGINT), CAST(p // {word} AS UBIGINT)) AS UHUGEINT) FROM (SELECT {low} * {high} AS p))"
+
+    total = f"(SELECT CAST(t % {word} AS UBIGINT) AS h FROM (SELECT CAST({n * prime % word} AS UHUGEINT) + {mix(0, 0)} + {mix(n - 16, 2)} AS t))"
+    spread = f"(SELECT CAST(CAST(xor(h, h >> 37) AS UHUGEINT) * CAST({avalanche} AS UHUGEINT) % {word} AS UBIGINT) AS g FROM {total})"
+    return f"(SELECT CASE WHEN r >= {2**63} THEN CAST(CAST(r AS HUGEINT) - {word} AS BIGINT) ELSE CAST(r AS BIGINT) END FROM (SELECT xor(g, g >> 32) AS r FROM {spread}))"
+
+
+@query(f"WITH {CATALOG_SQL} SELECT {_xxh3_sql('name', 18)} AS curve_id, name AS curve_name FROM cat")
 def curve_id_hash(spark: SparkSession, d: str) -> DataFrame:
     return C.catalog_table(catalog(spark, d)).select("curve_id", "curve_name")
 

@@ -70,6 +70,39 @@ def test_stream_in_one_call_and_restarts(spark, tmp_path):
     assert len(calls) == 2
 
 
+def test_silent_streams_are_started_again(spark, tmp_path):
+    write_events(tmp_path / "in", 2)
+    made, began, said = [], time.monotonic(), []
+    progress = E.Progress(said.append)
+    spark.streams.addListener(progress)
+
+    def source():
+        made.append(time.monotonic())
+        return E.read_events(spark, f"file://{tmp_path}/in")
+
+    try:
+        with pytest.raises(E.Idle):
+            E.follow(source, lambda b, _: b.count(), f"file://{tmp_path}/cp", "0 seconds", restarts=1, backoff=0.1, idle_seconds=4)
+    finally:
+        spark.streams.removeListener(progress)
+    # the first start gets events, so both restarts are still to come; the later ones are silent
+    assert len(made) >= 2 and time.monotonic() - began >= 8 and any("rows" in x for x in said) and progress.rows >= 2
+
+
+def test_stream_in_batches(spark, tmp_path):
+    write_events(tmp_path / "in", 6)
+    curves = spark.createDataFrame([("c", "TIMESERIES", "ACTUAL", "MWh", ["x"])], "name string, curve_type string, data_type string, unit string, categories array<string>")
+    got = []
+    run = lambda folder, **k: E.stream(spark, f"file://{tmp_path}/in", curves, lambda b, _: got.extend((r.batch, r.event_id) for r in b.orderBy("batch", "place").collect()), f"file://{tmp_path}/{folder}", **k)
+    run("cp1", batch_size=3)
+    assert [b for b, _ in got] == [0, 0, 0, 1, 1, 1]
+    got.clear()
+    run("cp2", batch_size=2, recent=10)
+    assert sorted(e for _, e in got) == ["0", "1", "2", "3"]
+    with pytest.raises(ValueError):
+        run("cp3", batch_size=2, batch_seconds=5.0)
+
+
 # ---- routed tables
 
 
