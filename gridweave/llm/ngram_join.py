@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from gridweave.llm import textkernel as K
 from gridweave.llm.components import connected_components
-from gridweave.llm.spark_util import BROADCAST_ROWS, cut, release, spread_join
+from gridweave.llm.spark_util import BROADCAST_ROWS, cut, release, spread_join, union
 
 NGRAM = 5
 #: Similarity threshold as a fraction of whole numbers.
@@ -381,14 +381,14 @@ def _promising(over: int, under: int, a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, over: int, under: int) -> DataFrame:
-    """Of (a, b) pairs, each tested once: those that link. If few nodes take part, only their sets are dealt out."""
+    """Of (a, b, ...) pairs, each tested once: those that link. If few nodes take part, only their sets are dealt out."""
     pairs = cut(pairs)
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     if nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         sets = sets.join(F.broadcast(nodes), "node", "left_semi")
     side = lambda k: sets.select(F.col("node").alias(k), F.struct("n", "grams").alias(f"s{k}"))
     both = spread_join(spread_join(pairs, ["a"], ["b"], side("a")), ["b"], ["a"], side("b"))
-    return both.where(f"size(array_intersect(sa.grams, sb.grams)) >= {_needed(over, under, 'sa.n', 'sb.n')}").select("a", "b")
+    return both.where(f"size(array_intersect(sa.grams, sb.grams)) >= {_needed(over, under, 'sa.n', 'sb.n')}").select(*pairs.columns)
 
 
 def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: int = UNDER, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -437,9 +437,13 @@ def _drawn_links(members: DataFrame, sets: DataFrame, over: int, under: int, dra
     promising = both.where("c <> o.c").where(_promising(over, under, "o.p", "p"))
     nodes = F.struct(F.least("p.node", "o.p.node").alias("a"), F.greatest("p.node", "o.p.node").alias("b"))
     one = promising.groupBy(F.least("c", "o.c").alias("ca"), F.greatest("c", "o.c").alias("cb")).agg(F.min_by(nodes, F.xxhash64("p.node", "o.p.node", F.lit(draw))).alias("pair"))
-    pairs = cut(one.select("ca", "cb", "pair.a", "pair.b"))
-    linked = _verified(pairs.select("a", "b").distinct(), sets, over, under)
-    return pairs.join(linked, ["a", "b"], "left_semi").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    return _verified(one.select("ca", "cb", "pair.a", "pair.b"), sets, over, under).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+
+def _renamed(members: DataFrame, names: DataFrame) -> DataFrame:
+    """The members of lists that still hold several components when those of ``names`` (node, component) have their new names."""
+    told = spread_join(members, ["c"], ["p.node"], names.select(F.col("node").alias("c"), F.col("component").alias("now")), "left")
+    return cut(_of_mixed(told.select("gram", "lists", "p", F.coalesce("now", "c").alias("c"))))
 
 
 def _pairs_left(members: DataFrame) -> bool:
@@ -449,8 +453,8 @@ def _pairs_left(members: DataFrame) -> bool:
     return pairs > PAIRS_PER_POSTING * postings
 
 
-def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFrame:
-    """node, component of every node that links with another."""
+def _mixed_lists(sets: DataFrame, over: int, under: int) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of nodes that link with a probe, and the postings of lists that hold several components."""
     kept = sets.select("node", "n", "u", "suffixes", F.expr(f"slice(grams, 1, int(u - ((n * {over} + {under - 1}) div {under}) + 1))").alias("prefix"))
     width = SUFFIX_PARTS // 64
     places = kept.select("node", "n", "suffixes", F.posexplode("prefix").alias("k", "gram"), (F.col("n") - F.col("u")).alias("before"))
@@ -458,15 +462,27 @@ def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> Data
     probed = cut(_with_probe(lists))
     pairs = probed.where("c <> probe.c").where(_promising(over, under, "probe.p", "p")).groupBy(F.col("p.node").alias("b")).agg(F.min("probe.p.node").alias("a"))
     labels = connected_components(_verified(pairs, sets, over, under))
-    edges = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
     labelled = probed.select("gram", "lists", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "lists", "p", F.coalesce("component", "node").alias("c"))
-    members = cut(_of_mixed(labelled))
-    draw = 0
-    while _pairs_left(members) and not (links := cut(_drawn_links(members, sets, over, under, draw))).isEmpty():
-        edges, draw = edges.unionByName(links), draw + 1
-        renamed = connected_components(links).select(F.col("node").alias("c"), F.col("component").alias("now"))
-        told = spread_join(members, ["c"], ["p.node"], renamed, "left")
-        members = cut(_of_mixed(told.select("gram", "lists", "p", F.coalesce("now", "c").alias("c"))))
+    return labels, cut(_of_mixed(labelled))
+
+
+def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> DataFrame:
+    """node, component of every node that links with another."""
+    labels, members = _mixed_lists(sets, over, under)
+    edges = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    release(sets.sparkSession)
+    links = []
+    while _pairs_left(members):
+        links.append(cut(_drawn_links(members, sets, over, under, len(links))))
+        if links[-1].isEmpty():
+            break
+        # a step is enough here: each component takes the name of the least that it links with; those of one name are connected
+        both = links[-1].unionByName(links[-1].select(F.col("b").alias("a"), F.col("a").alias("b")))
+        members = _renamed(members, both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")))
+        release(sets.sparkSession)
+    if links:
+        edges = edges.unionByName(union(*links))
+        members = _renamed(members, connected_components(union(*links)))
     release(sets.sparkSession)
     # A long list is a square of blocks, each pair of blocks a key of its own.
     members = members.withColumn("blocks", F.expr(f"int((lists + {LIST_BLOCK - 1}) div {LIST_BLOCK})"))
