@@ -7,7 +7,7 @@ in logarithmic time. Rows are padded to the capacity, so the ids of successive r
 
 Each row has input_ids (capacity numbers: unsigned 16 bits where the vocabulary allows, else 32; little-endian), n_tokens
 before padding, cu_seqlens (0 and the cumulative segment lengths), position_ids (unsigned 16 or 32 bits, starting from 0 in every
-segment), and per segment doc_ids and starts (its place in its document's ids).
+segment), and per segment doc_ids and starts (its place in its document's ids). ``token_files`` writes these rows as matrix files.
 
 Cases: null and empty texts are a single end token, and nothing is dropped. A text of any length is cut into as many rows as it needs.
 Repeated rows, and rows of equal or null ids, are packed one by one, with their ids as they are. Pieces of equal length
