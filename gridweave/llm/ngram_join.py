@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from gridweave.llm import textkernel as K
 from gridweave.llm.components import connected_components
-from gridweave.llm.spark_util import BROADCAST_ROWS, cut, release, spread_join, union
+from gridweave.llm.spark_util import BROADCAST_ROWS, cut, release, spread_join
 
 NGRAM = 5
 #: Similarity threshold as a fraction of whole numbers.
@@ -471,18 +471,11 @@ def ngram_classes(sets: DataFrame, over: int = OVER, under: int = UNDER) -> Data
     labels, members = _mixed_lists(sets, over, under)
     edges = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
     release(sets.sparkSession)
-    links = []
-    while _pairs_left(members):
-        links.append(cut(_drawn_links(members, sets, over, under, len(links))))
-        if links[-1].isEmpty():
-            break
-        # a step is enough here: each component takes the name of the least that it links with; those of one name are connected
-        both = links[-1].unionByName(links[-1].select(F.col("b").alias("a"), F.col("a").alias("b")))
-        members = _renamed(members, both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")))
+    draw = 0
+    while _pairs_left(members) and not (links := cut(_drawn_links(members, sets, over, under, draw))).isEmpty():
+        edges, draw = edges.unionByName(links), draw + 1
+        members = _renamed(members, connected_components(links))
         release(sets.sparkSession)
-    if links:
-        edges = edges.unionByName(union(*links))
-        members = _renamed(members, connected_components(union(*links)))
     release(sets.sparkSession)
     # A long list is a square of blocks, each pair of blocks a key of its own.
     members = members.withColumn("blocks", F.expr(f"int((lists + {LIST_BLOCK - 1}) div {LIST_BLOCK})"))
