@@ -83,22 +83,6 @@ def test_ngram_join_frequent_ngrams(spark, monkeypatch):
     assert rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(plain_components(rows), key=str)
 
 
-def test_large_group_of_near_copies_takes_few_pairs(spark, monkeypatch):
-    """Copies that each lack or change a few of 300 words: most of their 31,125 pairs link, but far fewer are verified."""
-    rng, checked = np.random.default_rng(5), []
-    words, texts = [f"w{k}" for k in range(300)], []
-    for i in range(250):
-        own = list(words)
-        for at in rng.integers(0, 300, int(rng.integers(1, 8))):
-            own[at] = f"x{i}y{at}"
-        texts.append(" ".join(own))
-    verified = ngram_join._verified
-    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *rest: (checked.append(pairs.checkpoint()), verified(checked[-1], *rest))[1])
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
-    assert sorted(map(tuple, ngram_join.ngram_components(docs).select("doc_id", "n_shingles", "component_id").collect())) == plain_components(list(enumerate(texts)))
-    assert sum(p.count() for p in checked) < 8 * 250
-
-
 def test_ngram_join_near_copies_about_the_threshold(spark):
     """Groups in which some pairs link and many don't: links of later steps reach nodes that are not the name of their component."""
     rng = random.Random(8)
