@@ -1,7 +1,7 @@
 """Curation: nested responses of every curve kind become one flat table of interval observations.
 
 Every row is handled by its own curve type, so one frame may mix all kinds. Plan: parse with one superset schema, flatten,
-explode observations, localise times, infer missing frequencies by a window per curve, bound the intervals, fill nulls from
+explode observations, localise times, infer missing frequencies by a window per curve (rows that declare theirs take no part), bound the intervals, fill nulls from
 the catalog by a broadcast join, hash the series identity, filter the range, project to the target schema.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from gridweave.functions import scalars as S
 from gridweave.functions.hashing import canonical_json, xxh3_64
 from gridweave.schemas import RESPONSE_DDL, curated_schema
+from gridweave.shared import cut
 
 #: Catalogs up to this many curves are broadcast to the join; larger ones are shuffled.
 BROADCAST_CURVES = 1_000_000
@@ -106,17 +107,31 @@ def infer_frequency(df: DataFrame, begin: str, end: str, declared: str, keys: tu
     return df.withColumn("__spread", spread).withColumn("effective_frequency", effective.cast("bigint")).drop("__spread")
 
 
-def bound_intervals(rows: DataFrame) -> DataFrame:
+def bound_intervals(rows: DataFrame, declared: bool = False) -> DataFrame:
     """Localised times, effective frequencies and interval bounds. The far end goes by the declared frequency;
     the frequency that is stored is the effective one. Rows without a name, value or time are left out after the window,
-    in which they take no part: a filter below it would compute the times twice."""
+    in which they take no part: a filter below it would compute the times twice. ``declared``: all rows declare their frequency, so
+    nothing is inferred and nothing shuffled."""
     zone = F.coalesce(*(S.blank_to_null(F.col(c)) for c in ("resolution_timezone", "curve_resolution_timezone", "curve_instance_issued_timezone")))
     zoned = rows.withColumn("zone", F.when(F.col("curve_type") == "OHLC", F.coalesce("resolution_timezone", F.lit("UTC"))).otherwise(zone))
     timed = S.localize(S.localize(zoned, "data_begin", "zone", "b", "bo"), "data_end", "zone", "e", "eo")
     valid = F.expr("curve_name IS NOT NULL AND value IS NOT NULL AND (b IS NOT NULL OR e IS NOT NULL)")
-    timed = infer_frequency(timed.withColumn("__valid", valid), "b", "e", "resolution_frequency", ties=("value",), valid=F.col("__valid")).where("__valid")
+    if declared:
+        timed = timed.where(valid).withColumn("effective_frequency", F.col("resolution_frequency"))
+    else:
+        timed = infer_frequency(timed.withColumn("__valid", valid), "b", "e", "resolution_frequency", ties=("value",), valid=F.col("__valid")).where("__valid").drop("__valid")
     timed = timed.withColumns(S.interval_bounds(F.col("b"), F.col("bo"), F.col("e"), F.col("eo"), F.col("resolution_frequency")))
-    return timed.withColumn("resolution_frequency", F.col("effective_frequency")).drop("b", "bo", "e", "eo", "zone", "effective_frequency", "data_begin", "data_end", "__valid")
+    return timed.withColumn("resolution_frequency", F.col("effective_frequency")).drop("b", "bo", "e", "eo", "zone", "effective_frequency", "data_begin", "data_end")
+
+
+def observations(flat: DataFrame) -> DataFrame:
+    """Bounded observations of flat responses. Whether a response declares its frequency is known before its observations are exploded: those
+    that do go straight through, and only the others are dealt by curve and sorted. Responses are written down once, parsed and
+    compact, so neither branch parses them again."""
+    parsed = cut(flat)
+    declares = F.coalesce("resolution_frequency", F.lit(0)) != 0
+    straight = bound_intervals(explode_observations(parsed.where(declares)), declared=True)
+    return straight.unionByName(bound_intervals(explode_observations(parsed.where(~declares))))
 
 
 def fill_defaults(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
@@ -180,6 +195,6 @@ def unexpected_columns(df: DataFrame, schema: T.StructType | None = None) -> lis
 
 
 def curate(responses: DataFrame, catalog: DataFrame | None = None, begin: str | None = None, end: str | None = None) -> DataFrame:
-    """Responses (columns of the superset schema) as rows of the curated schema. Needs a UTC session."""
-    rows = bound_intervals(explode_observations(flatten(responses)))
-    return conform(within(identify(fill_defaults(rows, catalog)), begin, end))
+    """Responses (columns of the superset schema) as rows of the curated schema. Needs a UTC session. Parses at once, and leaves the rest to
+    the query that uses it."""
+    return conform(within(identify(fill_defaults(observations(flatten(responses)), catalog)), begin, end))

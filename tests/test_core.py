@@ -114,6 +114,19 @@ def test_curate_range_defaults_and_missing(spark):
     assert curated(spark, body("TIMESERIES", [])).count() == 0
 
 
+def test_only_undeclared_rows_are_dealt_by_curve(spark):
+    """The same rows as through one window, with declared and undeclared responses of one curve; no window above the declared ones."""
+    data = [{"d": f"2025-01-01T0{h}:00Z", "v": float(h)} for h in range(5)]
+    bodies = [(body("TIMESERIES", data),), (json.dumps(json.loads(body("TIMESERIES", [{"d": f"2025-02-01T00:{m:02d}Z", "v": 1.0} for m in (0, 15, 30)])) | {"resolution": None}),)]
+    flat = U.flatten(U.parse_responses(spark.createDataFrame(bodies, "body string")))
+    one, two = U.bound_intervals(U.explode_observations(flat)), U.observations(flat)
+    rows = lambda df: sorted(map(str, df.select(*sorted(one.columns)).collect()))
+    assert sorted(one.columns) == sorted(two.columns) and rows(one) == rows(two) and len(rows(one)) == 8
+    assert {r.resolution_frequency for r in two.collect()} == {3600, 900}
+    plan = U.bound_intervals(U.explode_observations(flat), declared=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_infer_frequency(spark):
     data = [{"d": f"2025-01-01T{h:02}:00Z", "v": 1.0} for h in (0, 1, 3)]
     rows = curated(spark, body("TIMESERIES", data, resolution=None)).orderBy("from_timestamp").collect()
