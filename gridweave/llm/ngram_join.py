@@ -401,7 +401,9 @@ def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: in
     blobs = named.mapInArrow(_second_pass(width, levels[0], spark.sparkContext.broadcast(frequent)), _BLOB)
     for level in levels[1:]:
         blobs = blobs.groupBy("key").applyInArrow(_deal_again(level), _BLOB)
-    blobs = blobs.groupBy("key").applyInArrow(_count(levels[0]), _BLOB)
+    # written down, so that the largest shuffle can go before the sets are put together
+    blobs = cut(blobs.groupBy("key").applyInArrow(_count(levels[0]), _BLOB))
+    release(spark)
     for level in levels[1:]:
         blobs = blobs.groupBy("key").applyInArrow(_deal_nodes_again(level), _BLOB)
     sets = blobs.groupBy("key").applyInArrow(_assemble(over, under), "node bigint, n bigint, u bigint, grams array<bigint>, suffixes array<bigint>")
