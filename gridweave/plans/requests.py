@@ -91,13 +91,14 @@ ISSUE_BLOCK_DAYS = 30
 def in_issue_range(requests: DataFrame, instances: DataFrame, days: int = ISSUE_BLOCK_DAYS) -> DataFrame:
     """Requests (curve_name, issued_earliest, issued_latest, ...) with the instances (issued, issue_tag) of their curve in range, both ends
     included. A request's range is dealt to the blocks that it meets, so instances and requests of a busy curve are joined block by
-    block, not each with each; an instance is in one block, so no pair comes twice."""
+    block, not each with each; an instance is in one block, so no pair comes twice. Both sides are shuffled: dealt to blocks, requests are many
+    times what the engine takes them for, so it would broadcast more than a driver holds."""
     block = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / (days * 86_400_000_000)).cast("int")
     issued = instances.select(F.col("curve_name").alias("__name"), "issued", F.col("tag").alias("issue_tag"), block(F.col("issued")).alias("__block"))
     first, last = block(F.col("issued_earliest")), block(F.col("issued_latest"))
     asked = requests.where("issued_earliest <= issued_latest").withColumn("__asked", F.explode(F.sequence(first, last)))
     inside = (F.col("curve_name") == F.col("__name")) & (F.col("__asked") == F.col("__block")) & F.col("issued").between(F.col("issued_earliest"), F.col("issued_latest"))
-    return asked.join(issued, inside).drop("__name", "__block", "__asked")
+    return asked.hint("merge").join(issued, inside).drop("__name", "__block", "__asked")
 
 
 def fan_out_instances(requests: DataFrame, instances: DataFrame) -> DataFrame:

@@ -185,3 +185,12 @@ def test_busy_curve_meets_its_requests_block_by_block(spark):
     want = sum(sum(k * 19 <= i <= k * 19 + k % 7 * 20 for i in range(1000)) for k in range(50))
     assert got.count() == want and got.distinct().count() == got.count()
     assert "__block" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_requests_dealt_to_blocks_are_not_broadcast(spark):
+    """A small table of requests is many rows once it is dealt to blocks, whatever its size on disk says."""
+    requests = spark.range(5).select(F.concat(F.lit("c"), "id").alias("curve_name"), F.expr("timestamp_ntz'1995-01-01'").alias("issued_earliest"), F.expr("timestamp_ntz'1997-01-01'").alias("issued_latest"))
+    instances = spark.range(20).select(F.concat(F.lit("c"), F.col("id") % 4).alias("curve_name"), F.expr("timestamp_ntz'1995-01-01' + make_interval(0, 0, 0, int(id * 50))").alias("issued"), F.lit("t").alias("tag"))
+    met = R.in_issue_range(requests, instances)
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+    assert met.count() == 15
