@@ -5,17 +5,29 @@ gives as many as the cluster has tasks. A lane's state is its open batch (at mos
 bound), in the state store: both survive restarts with the query's checkpoint. Within a micro-batch a lane's events are taken in
 the order of time and id, so results don't depend on how rows were dealt.
 
+A task holds a part of a lane's events at a time, however many a micro-batch brings: they come in and go out by blocks, each as one packed
+value, and are sorted in runs on the local disk.
+
 Needs the RocksDB state store (see ``use_state``).
 """
 
 from __future__ import annotations
 
+import heapq
+import os
+import pickle
+import tempfile
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import batched, islice
+from typing import IO
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -23,6 +35,8 @@ DISCONNECTED = "DISCONNECTED"
 SIZE, TIME, DISCONNECT = "size", "time", "disconnect"
 #: Keys that are remembered unless another bound is given.
 RECENT = 512
+#: Events that are sorted in memory, and events of a block that goes to disk or out of the task.
+RUN, BLOCK = 100_000, 2_000
 
 
 def use_state(spark: SparkSession) -> None:
@@ -45,40 +59,65 @@ class Recent:
         return known
 
 
+def in_order(events: Iterable[tuple], run: int = RUN, block: int = BLOCK) -> Iterator[tuple]:
+    """``events`` sorted by their first element. More than a run are sorted run by run, and merged from the task's local disk."""
+    rest, runs, first = iter(events), [], lambda e: e[0]
+
+    def read(file: IO[bytes], blocks: int) -> Iterator[tuple]:
+        file.seek(0)
+        for _ in range(blocks):
+            yield from pickle.load(file)
+
+    while part := sorted(islice(rest, run), key=first):
+        if not runs and len(part) < run:
+            return iter(part)
+        file = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
+        blocks = 0
+        for some in batched(part, block):
+            pickle.dump(some, file, pickle.HIGHEST_PROTOCOL)
+            blocks += 1
+        runs.append(read(file, blocks))
+    return heapq.merge(*runs, key=first)
+
+
 class LaneProcessor(StatefulProcessor):
-    """Rows are (lane, __key, __control, event columns). size None: batches end by age alone; 0: no batches, events pass as they are."""
+    """Rows are (lane as text, packed); what is given out is (batch, place, reason, event), the event as it was packed. size None: batches end by
+    age alone; 0: no batches, events pass as they are, with batch -1."""
 
-    def __init__(self, event: T.StructType, order: list[str], size: int | None, seconds: float | None, recent: int):
-        self.event, self.order, self.size, self.seconds, self.bound = event, order, size, seconds, recent
+    def __init__(self, size: int | None, seconds: float | None, recent: int):
+        self.size, self.seconds, self.bound = size, seconds, recent
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.made = handle, Row("lane", "batch", "place", "reason", *self.event.names)
-        self.open = handle.getListState("open", self.event)
+        self.handle = handle
+        self.open = handle.getListState("open", T.StructType().add("event", T.BinaryType()))
         self.recent = handle.getListState("recent", T.StructType().add("key", T.StringType()))
         self.mark = handle.getValueState("mark", T.StructType().add("number", T.LongType()).add("due", T.LongType()))
 
-    def _out(self, lane: object, number: int | None, place: int, reason: str | None, event: Row) -> Row:
-        return self.made(lane, number, place, reason, *event)
+    def _blocks(self, made: Iterable[tuple]) -> Iterator[pd.DataFrame]:
+        for some in batched(made, BLOCK):
+            yield pd.DataFrame(some, columns=["batch", "place", "reason", "event"])
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._blocks(self._taken((pickle.loads(x) for block in rows for x in block["packed"]), timerValues))
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names = self.event.names
+    def _taken(self, events: Iterable[tuple], timerValues) -> Iterator[tuple]:
         number, due = self.mark.get() if self.mark.exists() else (0, -1)
         recent = Recent(self.bound, [k for (k,) in self.recent.get()]) if self.bound > 0 and self.recent.exists() else Recent(self.bound, [])
-        batch = [Row(*x) for x in self.open.get()] if self.open.exists() else []
+        batch = [bytes(x) for (x,) in self.open.get()] if self.open.exists() else []
         was_due, fresh = due, not batch
-        for row in sorted(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in self.order)):
-            event, reason = Row(*(row[c] for c in names)), None
-            if row["__control"]:
+        for _, own_key, control, event in in_order(events):
+            reason = None
+            if control:
                 reason = DISCONNECT
-            elif self.bound <= 0 or not recent.repeated(row["__key"]):
+            elif self.bound <= 0 or not recent.repeated(own_key):
                 if self.size == 0:
-                    yield self._out(key[0], None, 0, None, event)
+                    yield -1, 0, None, event
                     continue
                 batch.append(event)
                 reason = SIZE if self.size is not None and len(batch) >= self.size else None
             if reason and batch:
                 for place, own in enumerate(batch):
-                    yield self._out(key[0], number, place, reason, own)
+                    yield number, place, reason, own
                 number, batch, fresh = number + 1, [], True
         if fresh:
             due = timerValues.getCurrentProcessingTimeInMs() + int(self.seconds * 1000) if batch and self.seconds is not None else -1
@@ -87,16 +126,15 @@ class LaneProcessor(StatefulProcessor):
                 self.handle.deleteTimer(was_due)
             if due >= 0:
                 self.handle.registerTimer(due)
-        self.open.put([tuple(x) for x in batch]) if batch else self.open.clear()
+        self.open.put([(x,) for x in batch]) if batch else self.open.clear()
         if self.bound > 0:
             self.recent.put([(k,) for k in recent.keys])
         self.mark.update((number, due))
 
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         number, due = self.mark.get() if self.mark.exists() else (0, -1)
         if due == expiredTimerInfo.getExpiryTimeInMs() and self.open.exists():
-            for place, own in enumerate(self.open.get()):
-                yield self._out(key[0], number, place, TIME, Row(*own))
+            yield from self._blocks([(number, place, TIME, bytes(own)) for place, (own,) in enumerate(self.open.get())])
             self.open.clear()
             self.mark.update((number + 1, -1))
 
@@ -104,14 +142,42 @@ class LaneProcessor(StatefulProcessor):
         pass
 
 
+def _packed(names: list[str], order: list[str]):
+    """Of each row of (__lane, __key, __control, lane, event columns): the lane as text, and (order, key, control, packed lane and event)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {c: batch.column(c).to_pylist() for c in batch.schema.names}
+            ranks = zip(*([(x is not None, x) for x in columns[c]] for c in order), strict=True)
+            events = (pickle.dumps(x, pickle.HIGHEST_PROTOCOL) for x in zip(*(columns[c] for c in names), strict=True))
+            packed = [pickle.dumps(x, pickle.HIGHEST_PROTOCOL) for x in zip(ranks, columns["__key"], columns["__control"], events, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("__lane"), pa.array(packed, pa.binary())], ["__lane", "packed"])
+
+    return run
+
+
+def _unpacked(out: T.StructType, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(out)
+        for batch in batches:
+            columns = dict(zip(names, zip(*map(pickle.loads, batch.column("event").to_pylist()), strict=True), strict=True)) if batch.num_rows else dict.fromkeys(names, ())
+            columns |= {c: batch.column(c).to_pylist() for c in ("place", "reason")} | {"batch": [None if x < 0 else x for x in batch.column("batch").to_pylist()]}
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in kinds], schema=kinds)
+
+    return run
+
+
 def _by_lane(events: DataFrame, lane: Column, keys: list[str], order: list[str], size: int | None, seconds: float | None, recent: int, lanes: DataFrame | None = None) -> DataFrame:
     use_state(events.sparkSession)
     control = F.coalesce(F.col("event_type") == DISCONNECTED, F.lit(False)) if "event_type" in events.columns else F.lit(False)
     key = F.to_json(F.struct(*(F.col(k) for k in keys)), {"ignoreNullFields": "false"})
-    rows = events.select(lane.alias("lane"), key.alias("__key"), control.alias("__control"), *(F.col(c) for c in events.columns))
+    text = F.to_json(F.struct(lane.alias("lane")))  # the lane as a text that isn't null, whatever its type
+    rows = events.select(text.alias("__lane"), key.alias("__key"), control.alias("__control"), lane.alias("lane"), *(F.col(c) for c in events.columns))
     out = T.StructType([rows.schema["lane"], T.StructField("batch", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("reason", T.StringType()), *events.schema.fields])
-    processor = LaneProcessor(events.schema, order, size, seconds, recent)
-    return rows.groupBy("lane").transformWithState(processor, out, "Append", "ProcessingTime" if seconds is not None and size != 0 else "None")
+    names = ["lane", *events.columns]
+    timed = "ProcessingTime" if seconds is not None and size != 0 else "None"
+    made = rows.mapInArrow(_packed(names, order), "__lane string, packed binary").groupBy("__lane").transformWithStateInPandas(LaneProcessor(size, seconds, recent), "batch bigint, place int, reason string, event binary", "Append", timed)
+    return made.mapInArrow(_unpacked(out, names), out)
 
 
 def batch_events(events: DataFrame, size: int | None = 1, seconds: float | None = 300.0, lane: Column | None = None, recent: int = 0, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:

@@ -208,3 +208,30 @@ def test_recent_keys_are_least_recently_used():
     for key in "abacbca":
         order[key].append(recent.repeated(key))
     assert order == {"a": [False, True, False], "b": [False, False], "c": [False, True]}
+
+
+def test_a_lane_is_sorted_by_runs():
+    """However many events a micro-batch brings, a run of them is held, and what is merged is read by blocks."""
+    events = [((k * 7919 % 1000, k), k) for k in range(1000)]
+    for run in (64, 250, 999, 1000, 1001):
+        merged = stateful.in_order(iter(events), run, 16)
+        assert list(merged) == sorted(events)
+    assert list(stateful.in_order([])) == []
+
+
+def test_a_lane_gives_its_events_out_by_blocks():
+    """The first events of a large lane leave the task before the last are batched."""
+    processor, taken = stateful.LaneProcessor(None, None, 0), []
+    blocks = processor._blocks((k, 0, None, taken.append(k) or b"x") for k in range(3 * stateful.BLOCK))
+    assert len(next(blocks)) == stateful.BLOCK and len(taken) == stateful.BLOCK
+
+
+def test_events_of_any_type_and_lane_pass_unchanged(spark, tmp_path):
+    """Whole numbers beyond doubles beside nulls, decimals, fine times, nested values, and a lane that is null."""
+    columns = "event_id BIGINT, ts TIMESTAMP, naive TIMESTAMP_NTZ, price DECIMAL(20,4), raw BINARY, tags ARRAY<STRING>, m MAP<STRING,INT>, s STRUCT<a: INT, b: TIMESTAMP>, lane INT"
+    spark.sql("""SELECT id * 9007199254740993 AS event_id, timestamp_micros(1700000000000001 + id) AS ts, timestamp_ntz'1400-01-01 00:00:00.000001' AS naive, CAST(id + 0.0001 AS DECIMAL(20,4)) AS price, CAST('x' AS BINARY) AS raw,
+        array('a', NULL) AS tags, map('k', int(id)) AS m, named_struct('a', int(NULL), 'b', timestamp'2500-01-01') AS s, int(if(id = 1, NULL, 1)) AS lane FROM range(3) UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""").coalesce(1).write.parquet(f"{tmp_path}/in")
+    events, got = spark.readStream.schema(columns).parquet(f"{tmp_path}/in"), []
+    E.drain(stateful.batch_events(events.withColumnRenamed("lane", "l"), 1, None, F.col("l")), lambda b, _: got.extend(tuple(r) for r in b.select("lane", "event_id", "ts", "naive", "price", "raw", "tags", "m", "s", "l").collect()), f"file://{tmp_path}/cp")
+    want = [(r[-1], *r) for r in spark.read.schema(columns).parquet(f"{tmp_path}/in").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(got) == 4
