@@ -7,8 +7,9 @@ that many last ones: the prefix. N-grams of a single set cannot be shared at all
 order, take up prefix places, and are dropped as soon as they are counted. That leaves few nodes and few
 postings, joined on the n-gram, with filters on length, position and suffix, then verified once per pair.
 
-Postings of one n-gram are not paired with each other. Each list has a probe, its least node; first every node is
-compared with the least probe of its lists that passes the filters. Lists that still hold several components are then taken up
+Postings of one n-gram are not paired with each other. Each list has a probe, the node with the fewest n-grams of its own (that no other
+set has): in a group of near copies that is the one with the fewest changes, which most others link with, however few links they have among
+themselves. First every node is compared with the one of its lists' probes that passes the filters and has the fewest such n-grams. Lists that still hold several components are then taken up
 whole: nodes outside a list's largest component are paired with the rest, block by block. A pair inside one component can't change the result, so no link between
 components is lost. Every posting has a summary of the suffix after its place: for each of 128 ranges of hashes, whether it holds an
 odd number of the suffix's n-grams. Where two suffixes differ in this they differ in an n-gram of that range, so what they don't
@@ -411,9 +412,9 @@ def ngram_nodes(docs: DataFrame, width: int = NGRAM, over: int = OVER, under: in
 
 
 def _with_probe(lists: DataFrame) -> DataFrame:
-    """``lists`` (gram, p, c) of two postings or more, with their least posting and their length."""
-    probes = lists.groupBy("gram").agg(F.min(F.struct("p", "c")).alias("probe"), F.count("*").alias("lists")).where("lists > 1")
-    return spread_join(lists, ["gram"], ["p.node"], probes)
+    """``lists`` (gram, own, p, c) of two postings or more, with the posting of the fewest own n-grams and their length."""
+    probes = lists.groupBy("gram").agg(F.min(F.struct("own", "p", "c")).alias("probe"), F.count("*").alias("lists")).where("lists > 1")
+    return spread_join(lists.drop("own"), ["gram"], ["p.node"], probes)
 
 
 def _of_mixed(labelled: DataFrame) -> DataFrame:
@@ -428,9 +429,9 @@ def _mixed_lists(sets: DataFrame, over: int, under: int) -> tuple[DataFrame, Dat
     kept = sets.select("node", "n", "u", "suffixes", F.expr(f"slice(grams, 1, int(u - ((n * {over} + {under - 1}) div {under}) + 1))").alias("prefix"))
     width = SUFFIX_PARTS // 64
     places = kept.select("node", "n", "suffixes", F.posexplode("prefix").alias("k", "gram"), (F.col("n") - F.col("u")).alias("before"))
-    lists = places.select("gram", F.struct("node", "n", (F.col("before") + F.col("k")).alias("pos"), F.slice("suffixes", F.col("k") * width + 1, F.lit(width)).alias("suffix")).alias("p"), F.col("node").alias("c"))
+    lists = places.select("gram", F.col("before").alias("own"), F.struct("node", "n", (F.col("before") + F.col("k")).alias("pos"), F.slice("suffixes", F.col("k") * width + 1, F.lit(width)).alias("suffix")).alias("p"), F.col("node").alias("c"))
     probed = cut(_with_probe(lists))
-    pairs = probed.where("c <> probe.c").where(_promising(over, under, "probe.p", "p")).groupBy(F.col("p.node").alias("b")).agg(F.min("probe.p.node").alias("a"))
+    pairs = probed.where("c <> probe.c").where(_promising(over, under, "probe.p", "p")).groupBy(F.col("p.node").alias("b")).agg(F.min(F.struct("probe.own", "probe.p.node")).alias("best")).select(F.col("best.node").alias("a"), "b")
     labels = connected_components(_verified(pairs, sets, over, under))
     labelled = probed.select("gram", "lists", "p", F.col("p.node").alias("node")).join(labels, "node", "left").select("gram", "lists", "p", F.coalesce("component", "node").alias("c"))
     return labels, cut(_of_mixed(labelled))

@@ -99,6 +99,25 @@ def test_ngram_join_near_copies_about_the_threshold(spark):
     assert 8 < len({x[2] for x in want}) < len(rows)
 
 
+def test_ngram_join_first_step_joins_a_star_of_near_copies(spark):
+    """Copies that link with one text but hardly with each other are one component before lists are taken up whole, so these leave no pairs."""
+    rng = random.Random(9)
+    rows = []
+    for g in range(3):
+        text = [f"g{g}w{k}" for k in range(150)]
+        rows.append((len(rows), " ".join(text)))
+        for _ in range(60):
+            own = list(text)
+            for at in rng.sample(range(10, 140), 3):
+                own[at] = f"x{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, sets = ngram_join.ngram_nodes(df)
+    labels, mixed = ngram_join._mixed_lists(sets, ngram_join.OVER, ngram_join.UNDER)
+    assert sorted(Counter(r.component for r in labels.collect()).values()) == [61] * 3 and mixed.count() == 0
+    assert Counter(r.component_id for r in ngram_join.ngram_components(df).collect()) == {0: 61, 61: 61, 122: 61}
+
+
 def test_components_take_known_ones_as_edges(spark):
     """A new link at a member of a known component moves the whole of it."""
     known, new = [(50, 51), (50, 52), (50, 53), (70, 71)], [(53, 10), (71, 52)]
