@@ -5,8 +5,9 @@ move to the shard that holds most of its group (counts weighed by what shards co
 holds no fewer than its own. Moves are admitted net of departures: as many rows of each pair of shards as swaps,
 cycles and room allow, so sizes stay within bounds while cut links fall, however full the shards are. A move never takes a
 row to where its group has fewer, so links within shards do not fall; rounds end when ``STILL`` in a row, each with other ties, move
-nothing, and there is no other limit. A group is one node of a star, so its links are as many as its rows; the rounds handle counts
-per group and shard, and rows look these up by salted keys, so a group of a third of all rows is many keys. Afterwards
+nothing, and there is no other limit. A group is one node of a star, so its links are as many as its rows, and its rows are alike: the rounds handle
+one row per group with its count in each shard, and documents take part only before and after. They look their group up by salted keys
+and are numbered in bins, so a group of a third of all rows is many keys. Afterwards
 rows over quota and unlinked documents fill the shards to counts at most one apart.
 
 Null texts count as empty, of size 16; all null and empty texts are one group. Every row is placed once: repeated rows are
@@ -32,15 +33,17 @@ STILL = 3
 LEAST_WORTH = 0.001
 
 
-def numbered(df: DataFrame, key: Column, row: str, bins: int, name: str) -> DataFrame:
-    """``df`` and a gapless number from 0 within each key. Rows are ordered in hash bins of bounded size, whose
-    offsets come from their counts."""
-    dealt = df.withColumn("__key", key).withColumn("__bin", F.pmod(F.xxhash64(row), F.lit(bins)))
-    counts = dealt.groupBy("__key", "__bin").agg(F.count("*").alias("__n"))
-    before = W.partitionBy("__key").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("__key", "__bin", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(W.partitionBy("__key", "__bin").orderBy(row)) - 1
-    return dealt.withColumn("__in", inside).join(offsets, ["__key", "__bin"]).withColumn(name, F.col("__before") + F.col("__in")).drop("__key", "__bin", "__n", "__before", "__in")
+def numbered(df: DataFrame, key: Column, row: str, bins: int, name: str, weight: Column | None = None) -> DataFrame:
+    """``df`` and a gapless number from 0 within each key, or the weights of the rows before. Rows are ordered in hash bins of
+    bounded size, whose offsets come from their sums."""
+    dealt = df.withColumn("__key", key).withColumn("__bin", F.pmod(F.xxhash64(row), F.lit(bins))).withColumn("__w", F.lit(1) if weight is None else weight)
+    earlier = lambda w: F.coalesce(F.sum("__w").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    inside = dealt.withColumn("__in", earlier(W.partitionBy("__key", "__bin").orderBy(row)))
+    if bins == 1:
+        return inside.withColumn(name, F.col("__in")).drop("__key", "__bin", "__w", "__in")
+    sums = dealt.groupBy("__key", "__bin").agg(F.sum("__w").alias("__w"))
+    offsets = sums.select("__key", "__bin", earlier(W.partitionBy("__key").orderBy("__bin")).alias("__before"))
+    return inside.join(offsets, ["__key", "__bin"]).withColumn(name, F.col("__before") + F.col("__in")).drop("__key", "__bin", "__w", "__before", "__in")
 
 
 def _flows(demand: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
@@ -89,19 +92,19 @@ def _flows(demand: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[in
     return +flow
 
 
-def _propagate(linked: DataFrame, shards: int, room_for: int, bins: int) -> DataFrame:
-    """row, grp, shard of linked documents after the rounds. A move takes rows only to where their group has as many or
+def _propagate(base: DataFrame, shards: int, room_for: int, bins: int) -> DataFrame:
+    """grp, spread (shard, n) of the groups of two rows or more after the rounds. A move takes rows only to where their group has as many or
     more, so the links within shards grow with each and the rounds come to an end."""
-    labels = cut(linked.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int")))
+    start = base.groupBy("grp", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int").alias("shard")).agg(F.count("*").alias("n"))
+    groups = cut(start.groupBy("grp").agg(F.collect_list(F.struct("shard", "n")).alias("spread")).where("size(spread) > 1 OR spread[0].n > 1"))
     admits, still, turn = [1.0] * shards, 0, 0  # the share of wishes that each shard could admit lately
     while still < STILL:
         turn += 1
-        spread = labels.groupBy("grp", "shard").agg(F.count("*").alias("n"))
-        worth = F.col("n") * F.get(F.expr(f"array({', '.join(f'{x}D' for x in admits)})"), F.col("shard"))
-        best = spread.groupBy("grp").agg(F.max(F.struct(worth.alias("worth"), F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), "n", "shard")).alias("best"))
-        own = spread.join(best, "grp").where((F.col("best.shard") != F.col("shard")) & (F.col("best.n") >= F.col("n"))).select("grp", "shard", F.col("best.shard").alias("target"))
-        wishes = cut(spread_join(labels, ["grp", "shard"], ["row"], own, "left").select("row", "grp", "shard", "target"))
-        counts = wishes.groupBy("shard", "target").agg(F.count("*").alias("n")).collect()  # shards * (shards + 1) rows at most
+        worth = F.expr(f"array({', '.join(f'{x}D' for x in admits)})")
+        best = F.array_max(F.transform("spread", lambda x: F.struct((x.n * F.get(worth, x.shard)).alias("worth"), F.xxhash64("grp", x.shard, F.lit(turn)).alias("tie"), x.n.alias("n"), x.shard.alias("shard"))))
+        own = groups.withColumn("best", best).select("grp", "best", F.inline("spread"))
+        wishes = own.select("grp", "shard", "n", F.when((F.col("best.shard") != F.col("shard")) & (F.col("best.n") >= F.col("n")), F.col("best.shard")).alias("target"))
+        counts = wishes.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()  # shards * (shards + 1) rows at most
         room, demand = [room_for] * shards, {}
         for s, t, n in counts:
             room[s] -= n
@@ -114,16 +117,27 @@ def _propagate(linked: DataFrame, shards: int, room_for: int, bins: int) -> Data
         if flow:
             pair = F.col("shard") * shards + F.col("target")
             quota = F.get(F.expr(f"array({', '.join(str(flow[s, t]) for s in range(shards) for t in range(shards))})"), pair)
-            asked = numbered(wishes.where("target IS NOT NULL"), pair, "row", bins, "place")
-            moved = asked.select("row", "grp", F.when(F.col("place") < quota, F.col("target")).otherwise(F.col("shard")).alias("shard"))
-            labels = cut(wishes.where("target IS NULL").select("row", "grp", "shard").unionByName(moved))
+            asked = numbered(wishes.where("target IS NOT NULL"), pair, "grp", bins, "place", F.col("n"))
+            moved = asked.select("grp", "shard", "n", "target", F.greatest(F.lit(0), F.least(F.col("n"), quota - F.col("place"))).alias("goes"))
+            every = wishes.where("target IS NULL").withColumn("goes", F.lit(0)).unionByName(moved)
+            met = every.groupBy("grp").agg(F.max("target").alias("target"), F.sum("goes").alias("come"), F.collect_list(F.struct("shard", (F.col("n") - F.col("goes")).alias("n"))).alias("spread"))
+            with_come = F.transform("spread", lambda x: F.struct(x.shard.alias("shard"), F.when(x.shard == F.col("target"), x.n + F.col("come")).otherwise(x.n).alias("n")))
+            groups = cut(met.select("grp", F.filter(with_come, lambda x: x.n > 0).alias("spread")))
         wished, let = Counter(), Counter()
         for (s, t), n in demand.items():
             wished[t] += n
             let[t] += flow[s, t]
         # a shard that was not asked regains its worth by steps; if none was, all do
         admits = [max(LEAST_WORTH, let[t] / wished[t]) if wished[t] else min(1.0, 4 * admits[t]) if demand else 1.0 for t in range(shards)]
-    return labels
+    return groups
+
+
+def _of_groups(base: DataFrame, groups: DataFrame, bins: int) -> DataFrame:
+    """row, shard of the rows of groups: of a group's rows, which are alike, as many to each shard as its spread says."""
+    linked = spread_join(base.select("row", "grp"), ["grp"], ["row"], groups)
+    ends = F.transform("spread", lambda x, k: F.struct(F.aggregate(F.slice("spread", 1, k + 1), F.lit(0).cast("bigint"), lambda a, y: a + y.n).alias("end"), x.shard.alias("shard")))
+    placed = numbered(linked, F.col("grp"), "row", bins, "place")
+    return placed.select("row", F.filter(ends, lambda x: x.end > F.col("place"))[0].shard.alias("shard"))
 
 
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -132,8 +146,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id
     base = cut(docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(raw) + 16).cast("bigint").alias("size"), F.crc32(raw).alias("text_crc32"), F.xxhash64(raw).alias("grp"), F.monotonically_increasing_id().alias("row")))
     total = base.count()
     bins = max(1, -(-total // (shards * ROWS_PER_TASK)))
-    groups = base.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp")
-    labels = _propagate(spread_join(base.select("row", "grp"), ["grp"], ["row"], groups), shards, total // shards, bins)
+    labels = _of_groups(base, _propagate(base.select("row", "grp"), shards, total // shards, bins), bins * shards)
     # rows over a shard's quota give up their place
     placed = cut(numbered(labels, F.col("shard"), "row", bins, "slot").where(F.col("slot") < total // shards).select("row", "shard", "slot"))
     held = dict(placed.groupBy("shard").agg(F.count("*")).collect())

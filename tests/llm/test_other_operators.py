@@ -164,6 +164,25 @@ def test_balanced_shards_when_all_rows_are_linked(spark):
     assert sum(len(set(x)) == 1 for x in where.values()) >= 0.95 * len(where)
 
 
+@pytest.mark.parametrize("rows_per_task", [20, 20_000])
+def test_shard_rounds_handle_groups_and_not_rows(spark, monkeypatch, rows_per_task):
+    """What rounds write down has a row per group, however many rows these have; with many bins and with one."""
+    written = []
+    monkeypatch.setattr(sharding, "ROWS_PER_TASK", rows_per_task)
+    monkeypatch.setattr(sharding, "cut", lambda df, cut=sharding.cut: written.append(out := cut(df)) or out)
+    rows = [(i, f"text {i % 70}" if i < 2100 else f"single {i}") for i in range(3000)] + [(3000 + i, "hot") for i in range(600)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), shards=8).collect()
+    assert len(written) > 3 and all(x.count() <= 71 for x in written[1:-1])  # the first has all rows, the last those that have a place
+    assert {r.doc_id for r in got} == set(range(3600)) and len(got) == 3600
+    slots, where = {}, {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+        where.setdefault(r.grp, []).append(r.shard)
+    assert all(sorted(x) == list(range(450)) for x in slots.values()) and len(slots) == 8
+    linked = [x for x in where.values() if len(x) == 30]
+    assert len(linked) == 70 and sum(len(set(x)) == 1 for x in linked) >= 60
+
+
 def test_sharding_query_keeps_its_contract(spark, tmp_path):
     """Every column against plain counts over whole tables; and by propagation fewer cut links than by hash."""
     import zlib
