@@ -139,8 +139,8 @@ def fill_defaults(rows: DataFrame, catalog: DataFrame | None) -> DataFrame:
     if catalog is None:
         return rows
     defaults = catalog.groupBy(F.col("name").alias("curve_name")).agg(*(F.first(c, ignorenulls=True).alias(f"default_{c}") for c in ("unit", "denominator", "frequency", "timezone")))
-    if defaults.limit(BROADCAST_CURVES + 1).count() <= BROADCAST_CURVES:
-        defaults = F.broadcast(defaults)
+    few = defaults.limit(BROADCAST_CURVES + 1).count() <= BROADCAST_CURVES
+    defaults = F.broadcast(defaults) if few else defaults.hint("shuffle_hash")  # the wide rows are not sorted
     pairs = {"unit": "unit", "denominator": "denominator", "resolution_frequency": "frequency", "resolution_timezone": "timezone"}
     joined = rows.join(defaults, "curve_name", "left").withColumns({c: F.coalesce(c, f"default_{d}") for c, d in pairs.items()})
     return joined.drop(*(f"default_{d}" for d in pairs.values()))

@@ -115,9 +115,9 @@ def pending_curves(queue: DataFrame, curves: DataFrame, category: str) -> DataFr
 
 
 def route(curated: DataFrame, curves: DataFrame) -> DataFrame:
-    """Curated rows with the table they go to; rows of unknown curves go nowhere."""
+    """Curated rows with the table they go to; rows of unknown curves go nowhere. The curves are what a task holds: the wide rows are not sorted."""
     routes = C.with_routes(curves).select(F.col("name").alias("curve_name"), "table_category").dropDuplicates(["curve_name"])
-    return curated.join(routes, "curve_name")
+    return curated.join(routes.hint("shuffle_hash"), "curve_name")
 
 
 def _counted(found: Observation) -> dict[str, int]:

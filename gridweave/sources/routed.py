@@ -1,8 +1,8 @@
 """Many tables of one schema as one Parquet dataset: a partition for each route and for each bucket of the lead key.
 
 A write deals all routes in one job: rows are written down once, the partitions that they touch are read, merged by key, and put
-in place by dynamic partition overwrite; other partitions aren't looked at. Partitions are split and joined into tasks by their
-size. How many jobs run doesn't depend on how many routes there are.
+in place by dynamic partition overwrite; other partitions aren't looked at. Rows are counted before they are dealt, and a task of a write sorts
+a fixed number of them, however many there are. How many jobs run doesn't depend on how many routes there are.
 
 A task that is lost, or tried twice, leaves no trace; a write that fails before its end leaves the tables as they were. When it ends, partitions are put in place one after
 another: a reader may meanwhile see some of them new and others old, and after a crash just then the same write, made
@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridweave.shared import cut
-from gridweave.sources.tables import OVERWRITE, merge, resolve_mode
+from gridweave.sources.tables import OVERWRITE, chosen, merge, resolve_mode
 
 #: Ids up to this many are broadcast to the read that they prune; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Rows that a task of a write takes, about; a smaller write is dealt to all cores, down to SMALL rows a task.
+ROWS, SMALL = 200_000, 10_000
 
 
 class RoutedTables:
@@ -61,14 +63,34 @@ class RoutedTables:
         mode = resolve_mode(mode)
         extra = [replace] if replace else []
         source = cut(rows.where(F.col(self.route).isNotNull()).select(*self.columns, self.route, *extra, self._bucket().alias("bucket")))
-        parts = source.groupBy(self.route, "bucket").agg(F.count("*").alias("n")).collect()  # one row per partition touched
+        at = [self.route, "bucket"]
+        count = lambda rows: rows.groupBy(*at).agg(F.count("*").alias("n")).collect()  # noqa: E731 (one row per partition touched)
+        parts = count(source)
         if not parts:
             return {}
         place = F.concat_ws("/", self.route, F.col("bucket").cast("string"))
         target = self._all().where(place.isin(*(f"{r[0]}/{r[1]}" for r in parts)))
-        merged = merge(target, source, [self.route, "bucket", *self.keys], mode, recency, [self.route, self.lead] if mode == OVERWRITE else None, replace)
-        dealt = merged.select(*self.columns, self.route, "bucket").hint("rebalance", self.route, "bucket")
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.route, "bucket").parquet(self.path)
+        sizes = {(r[0], r[1]): r["n"] for r in parts}
+        for r in count(target):
+            sizes[r[0], r[1]] += r["n"]
+        total = sum(sizes.values())
+        tasks = max(-(-total // ROWS), min(self.spark.sparkContext.defaultParallelism, -(-total // SMALL)))
+        # one key that is never null, and of one type, so that both sides are dealt as they are joined
+        kind = T.StructType([T.StructField(k, self.schema[k].dataType) for k in [*at, *self.keys]])
+        source, target = (rows.withColumn("__key", F.struct(*at, *self.keys).cast(kind)) for rows in (source, target))
+        if tasks > 1:  # rows of one key are first thinned out wherever they are, so that they don't meet in one task
+            spread = source.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(tasks)).cast("int")).repartitionById(tasks, "__part")
+            source = chosen(spread, ["__part", "__key"], recency, replace).drop("__part")
+        merged = merge(target.repartition(tasks, "__key"), source.repartition(tasks, "__key"), ["__key"], mode, recency, [self.route, self.lead] if mode == OVERWRITE else None, replace)
+        # partitions stand one after another, and tasks are equal stretches of all: a large one is split, small ones share a task
+        each, starts, begin = -(-total // tasks), [], 0
+        for (route, bucket), n in sorted(sizes.items()):
+            starts.append((route, bucket, begin, n))
+            begin += n
+        ranges = self.spark.createDataFrame(starts, T.StructType([*self.schema.fields[-2:], T.StructField("__begin", T.LongType()), T.StructField("__n", T.LongType())]))
+        task = F.floor((F.col("__begin") + F.pmod(F.xxhash64("__key"), "__n")) / F.lit(each)).cast("int")
+        dealt = merged.join(F.broadcast(ranges), at).select(*self.columns, *at, task.alias("__task")).repartitionById(tasks, "__task").drop("__task")
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*at).parquet(self.path)
         sent: dict[str, int] = {}
         for r in parts:
             sent[r[0]] = sent.get(r[0], 0) + r["n"]

@@ -35,10 +35,17 @@ def resolve_mode(mode: str | None) -> str:
 def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
-        cond = cond & a[k].eqNullSafe(b[k])
+        # plain where nothing is null: frames that are dealt by such a column meet without another shuffle
+        cond = cond & (a[k].eqNullSafe(b[k]) if a.schema[k].nullable or b.schema[k].nullable else a[k] == b[k])
     return cond
 
 
+def _without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys aren't in ``others``. An outer join, as the optimizer moves an anti join below the step that deals the rows to tasks."""
+    there = others.select(*keys).distinct().withColumn("__there", F.lit(True))
+    return rows.join(there, _same(rows, there, keys), "left").where(there["__there"].isNull()).select(rows["*"])
+
+
 def latest(source: DataFrame, keys: list[str], recency: str | None = None) -> DataFrame:
     """One row per key: the most recent if a recency column is named (nulls are the least recent); of equally recent ones the
     greatest by its other columns, in their order, so that a replay gives the same."""
@@ -47,8 +54,17 @@ def latest(source: DataFrame, keys: list[str], recency: str | None = None) -> Da
         return source.select(*keys).distinct()
     rank = [F.col(recency)] if recency else []
     rank += [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in rest]
-    chosen = source.groupBy(*keys).agg(F.max_by(F.struct(*(F.col(f"`{f.name}`") for f in rest)), F.struct(*rank)).alias("__row"))
-    return chosen.select(*keys, "__row.*").select(*source.columns)
+    found = source.groupBy(*keys).agg(F.max_by(F.struct(*(F.col(f"`{f.name}`") for f in rest)), F.struct(*rank)).alias("__row"))
+    return found.select(*keys, "__row.*").select(*source.columns)
+
+
+def chosen(source: DataFrame, keys: list[str], recency: str | None = None, replace: str | None = None) -> DataFrame:
+    """One row per key, as ``merge`` takes them: of rows that say by ``replace`` whether they may replace others, those that may come first."""
+    if not replace:
+        return latest(source, keys, recency)
+    flagged = source.withColumn(replace, F.coalesce(F.col(replace), F.lit(False)))
+    ranked = flagged.withColumn("__rank", F.struct(replace, *([recency] if recency else [])))
+    return latest(ranked, keys, "__rank").drop("__rank")
 
 
 def merge(target: DataFrame, source: DataFrame, keys: list[str], mode: str = UPSERT, recency: str | None = None, scope: str | list[str] | None = None, replace: str | None = None) -> DataFrame:
@@ -59,21 +75,17 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], mode: str = UPS
     only one side has are null on the other. With ``replace``, a column of the source that isn't kept, each row says itself whether it may take
     the place of another (UPSERT) or not (APPEND; null too); of rows of one key, one that may comes first."""
     mode = resolve_mode(mode)
+    new = chosen(source, keys, recency, replace)
     if replace:
-        flagged = source.withColumn(replace, F.coalesce(F.col(replace), F.lit(False)))
-        ranked = flagged.withColumn("__rank", F.struct(replace, *([recency] if recency else [])))
-        new = latest(ranked, keys, "__rank").drop("__rank")
         changing, rest = new.where(replace).drop(replace), new.where(~F.col(replace)).drop(replace)
-        fresh = rest.join(target, _same(rest, target, keys), "left_anti")
-        kept = target.join(changing, _same(target, changing, keys), "left_anti")
+        fresh = _without(rest, target, keys)
+        kept = _without(target, changing, keys)
         return kept.unionByName(changing, allowMissingColumns=True).unionByName(fresh, allowMissingColumns=True)
-    new = latest(source, keys, recency)
     if mode == APPEND:
-        fresh = new.join(target, _same(new, target, keys), "left_anti")
+        fresh = _without(new, target, keys)
         return target.unionByName(fresh, allowMissingColumns=True)
     by = ([scope] if isinstance(scope, str) else scope or [keys[0]]) if mode == OVERWRITE else keys
-    replaced = new.select(*by).distinct()
-    return target.join(replaced, _same(target, replaced, by), "left_anti").unionByName(new, allowMissingColumns=True)
+    return _without(target, new, by).unionByName(new, allowMissingColumns=True)
 
 
 class KeyedTable:

@@ -243,6 +243,11 @@ def test_keyed_table(spark, tmp_path):
     assert sorted(r.id for r in table.read().select("id").collect()) == [*range(10, 20), 30]
 
 
+def test_curated_rows_are_not_sorted_to_find_their_route(spark, curves):
+    rows = spark.range(10).select(F.col("id").cast("string").alias("curve_name"), "id")
+    assert "ShuffledHashJoin" in P.route(rows, curves)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dispatch_and_ingest(spark, curves, tmp_path):
     queue = KeyedTable(spark, f"file://{tmp_path}/queue", queue_schema(), ["request_id"], 4)
     config = P.Config(seconds=7200, end="2025-01-02 00:00:00")

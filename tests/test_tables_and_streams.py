@@ -144,6 +144,29 @@ def test_routed_write_takes_as_many_jobs_for_many_routes(spark, tmp_path):
     assert abs(counts[0] - counts[1]) <= 2
 
 
+def test_routed_write_deals_rows_by_their_number(spark, tmp_path, monkeypatch):
+    """A task takes a fixed number of rows: of a large partition, and of many rows of one key; what is stored is the same."""
+    monkeypatch.setattr("gridweave.sources.routed.ROWS", 100, raising=False)
+    rows = lambda v, n=1000: spark.range(n).selectExpr("int(id) AS id", "id % 20 AS owner", f"'{v}' || id AS v", "if(id % 10 = 0, 's' || id % 7, 'big') AS route")
+    tables = routed(spark, tmp_path / "t", 1)
+    assert tables.write(rows("a"))["big"] == 900
+    plain = tables.read().select("id", "v", "route", F.input_file_name().alias("f"))
+    assert plain.groupBy("f").count().agg(F.max("count")).first()[0] <= 200
+    assert 8 <= plain.where("route = 'big'").select("f").distinct().count() <= 11
+    assert plain.where("route <> 'big'").select("f").distinct().count() <= 10
+    tables.write(rows("b", 500), "upsert")
+    tables.write(rows("c", 1200), "append")
+    assert {(r.id, r.v[0]) for r in tables.read().collect()} == {(i, "b" if i < 500 else "a" if i < 1000 else "c") for i in range(1200)}
+    many = spark.range(2000).selectExpr("7 AS id", "id % 1000 AS owner", "string(id) AS v", "'big' AS route", "id >= 1500 AS may")
+    tables.write(many, "upsert", "owner")
+    assert [r.v for r in tables.read().where("id = 7").collect()] == ["999"]  # of 1999 and 999, equally recent, the greater text
+    tables.write(many, recency="owner", replace="may")
+    assert [r.v for r in tables.read().where("id = 7").collect()] == ["1999"]
+    assert tables.read().count() == 1200
+    tables.write(spark.createDataFrame([(9000, 3, "d", "big")], "id int, owner bigint, v string, route string"), "overwrite")
+    assert {r.id for r in tables.read(["big"]).where("owner = 3").collect()} == {9000} and tables.read(["big"]).count() == 1080 - 60 + 1
+
+
 def test_read_by_ids_prunes_partitions(spark, tmp_path):
     tables = routed(spark, tmp_path / "t", 16)
     tables.write(some_rows(spark, 2, 400))
